@@ -13,6 +13,7 @@ from lakelog.functions.coords import COORDINATES, OFFSET, PARTITION, TIMESTAMP
 from lakelog.sources.store import Table
 
 KEY_BUCKET = "key_bucket"
+DELETED = "is_deleted"
 
 
 def payload_names(log: DataFrame) -> list[str]:
@@ -73,32 +74,37 @@ def _newer(cold_part: Column, cold_off: Column, part: Column, off: Column) -> Co
     return cold_off.isNull() | (cold_part != part) | (off >= cold_off)
 
 
-def merged(cold: DataFrame, log: DataFrame, key: str) -> DataFrame:
-    """Archive and live log as one state: the live event of a key wins.
+def _fold(cold: DataFrame, log: DataFrame, key: str) -> DataFrame:
+    """One row per key of either side, with ``DELETED`` set where the key is gone.
 
     One full outer join of the archive with one row per live key, instead of an
     anti join and a union that would scan the live log twice.
     """
     state = latest(log, key)
-    names = [c for c in cold.columns if c not in COORDINATES and c != KEY_BUCKET]
-    c, h = cold.alias("c"), state.alias("h")
-    both = c.join(h, F.col(f"c.{key}") == F.col("h.__key"), "full_outer")
+    names = [c for c in cold.columns if c not in (*COORDINATES, KEY_BUCKET, DELETED, key)]
+    both = cold.alias("c").join(
+        state.alias("h"), F.col(f"c.{key}") == F.col("h.__key"), "full_outer"
+    )
     hot_wins = F.col("h.__key").isNotNull() & (
         F.col(f"c.{key}").isNull()
         | _newer(F.col(f"c.{PARTITION}"), F.col(f"c.{OFFSET}"),
                  F.col(f"h.{PARTITION}"), F.col(f"h.{OFFSET}"))
     )
-    kept = both.where(~(hot_wins & (F.col("h.op") == "d")))
     after = set(state.schema["__after"].dataType.names)
-    picked = [
-        F.when(hot_wins, F.col(f"h.__after.{n}") if n in after else F.lit(None))
-        .otherwise(F.col(f"c.{n}")).alias(n)
-        for n in names
-    ] + [
-        F.when(hot_wins, F.col(f"h.{n}")).otherwise(F.col(f"c.{n}")).alias(n)
-        for n in COORDINATES
-    ]
-    return kept.select(*picked)
+    was_deleted = F.col(f"c.{DELETED}") if DELETED in cold.columns else F.lit(False)
+    return both.select(
+        F.coalesce(F.col(f"c.{key}"), F.col("h.__key")).alias(key),
+        *[F.when(hot_wins, F.col(f"h.__after.{n}") if n in after else F.lit(None))
+          .otherwise(F.col(f"c.{n}")).alias(n) for n in names],
+        *[F.when(hot_wins, F.col(f"h.{n}")).otherwise(F.col(f"c.{n}")).alias(n)
+          for n in COORDINATES],
+        F.when(hot_wins, F.col("h.op") == "d").otherwise(was_deleted).alias(DELETED),
+    ).select(*[n for n in cold.columns if n not in (KEY_BUCKET, DELETED)], DELETED)
+
+
+def merged(cold: DataFrame, log: DataFrame, key: str) -> DataFrame:
+    """Archive and live log as one state: the live event of a key wins."""
+    return _fold(cold, log, key).where(~F.col(DELETED)).drop(DELETED)
 
 
 def key_bucket(key: str, buckets: int) -> Column:
@@ -108,22 +114,28 @@ def key_bucket(key: str, buckets: int) -> Column:
 def create_archive(table: Table, rows: DataFrame, key: str, buckets: int) -> None:
     """A keyed archive in ``buckets`` folders, the unit that a roll rewrites."""
     table.create(
-        rows.withColumn(KEY_BUCKET, key_bucket(key, buckets)), [KEY_BUCKET],
-        sort=[key], props={"key": key, "buckets": buckets},
+        rows.withColumn(DELETED, F.lit(False)).withColumn(KEY_BUCKET, key_bucket(key, buckets)),
+        [KEY_BUCKET], sort=[key],
+        props={"key": key, "buckets": buckets},
     )
 
 
 def read_archive(table: Table) -> DataFrame:
-    return table.read().drop(KEY_BUCKET)
+    return table.read().where(~F.col(DELETED)).drop(KEY_BUCKET, DELETED)
 
 
-def roll(table: Table, log: DataFrame, *, txn: tuple[str, int] | None = None) -> int:
+def roll(table: Table, log: DataFrame, *, keep_deleted: bool = False,
+         txn: tuple[str, int] | None = None) -> int:
     """Fold the live log into the archive and publish the result at once.
 
     Deleted keys leave, changed keys are updated with all columns and their
     coordinates, new keys are added, and a delete of an unknown key is ignored.
     Only key buckets that the log touches are read and rewritten. Rolling the
     same log again changes nothing. Returns the number of buckets rewritten.
+
+    ``log`` may be one piece of a longer log. With ``keep_deleted`` a deleted
+    key stays as a hidden row, so that an older event of that key in a later
+    piece does not bring it back; ``forget_deleted`` removes such rows.
     """
     snap = table.snapshot()
     if txn and snap.applied.get(txn[0], -1) >= txn[1]:
@@ -144,7 +156,23 @@ def roll(table: Table, log: DataFrame, *, txn: tuple[str, int] | None = None) ->
         return leaf.values[KEY_BUCKET] in touched
 
     before = table.read(snap, hit)
-    after = merged(before.drop(KEY_BUCKET), log, key)
-    after = after.withColumn(KEY_BUCKET, key_bucket(key, buckets))
-    table.replace(after, hit, txn=txn)
+    after = _fold(before, log, key)
+    if not keep_deleted:
+        after = after.where(~F.col(DELETED))
+    table.replace(after.withColumn(KEY_BUCKET, key_bucket(key, buckets)), hit, txn=txn)
     return len(touched)
+
+
+def forget_deleted(table: Table) -> None:
+    """Rewrite the buckets that hold hidden rows of deleted keys."""
+    snap = table.snapshot()
+    rows = table.read(snap)
+    # At most one row per bucket.
+    dirty = {
+        r[0] for r in rows.where(DELETED).select(KEY_BUCKET).distinct().toLocalIterator()
+    }
+    if dirty:
+        def hit(leaf) -> bool:
+            return leaf.values[KEY_BUCKET] in dirty
+
+        table.replace(table.read(snap, hit).where(~F.col(DELETED)), hit)

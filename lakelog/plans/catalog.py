@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from lakelog.functions.coords import COORDINATES, OFFSET, PARTITION
 from lakelog.functions.scalars import FIELD
-from lakelog.operators.cdc import KEY_BUCKET
+from lakelog.operators.cdc import DELETED, KEY_BUCKET
 from lakelog.operators.frontier import LITERAL_ENTRIES
 from lakelog.operators.index import OffsetIndex, choose
 from lakelog.operators.tiers import Topic
@@ -213,5 +213,6 @@ class TierCatalog:
 
 def _select(table: Table) -> str:
     snap = table.snapshot()
-    names = ", ".join(f"`{n}`" for n in snap.schema.names if n != KEY_BUCKET)
-    return f"SELECT {names} FROM ({table.view_sql(snap)})"
+    names = ", ".join(f"`{n}`" for n in snap.schema.names if n not in (KEY_BUCKET, DELETED))
+    hidden = f" WHERE NOT {DELETED}" if DELETED in snap.schema.names else ""
+    return f"SELECT {names} FROM ({table.view_sql(snap)}){hidden}"

@@ -157,13 +157,13 @@ _BODIES: dict[str, str] = {
                ROUND(STDDEV_SAMP(g.x) + STDDEV_SAMP(g.y), 6) AS local_area_knowledge
         FROM stops s JOIN positions g ON s."routeId" = g."routeId" GROUP BY s."routeId" """,
     "route_population_preagg": """
-        SELECT s."routeId", n_stops, n_delivered, n_positions, var_x, var_y
+        SELECT s."routeId", n_stops, n_delivered, n_positions, dev_x, dev_y
         FROM (SELECT "routeId", COUNT(*) AS n_stops,
                      CAST(SUM(CASE WHEN state = 'purchase' THEN 1 ELSE 0 END) AS BIGINT)
                        AS n_delivered
               FROM stops GROUP BY 1) s
-        JOIN (SELECT "routeId", COUNT(*) AS n_positions, ROUND(VAR_POP(x), 6) AS var_x,
-                     ROUND(VAR_POP(y), 6) AS var_y FROM positions GROUP BY 1) p
+        JOIN (SELECT "routeId", COUNT(*) AS n_positions, ROUND(STDDEV_POP(x), 6) AS dev_x,
+                     ROUND(STDDEV_POP(y), 6) AS dev_y FROM positions GROUP BY 1) p
         ON s."routeId" = p."routeId" """,
     # aggregates
     "count_all": "SELECT COUNT(*) AS n FROM events",

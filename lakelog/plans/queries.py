@@ -256,7 +256,7 @@ def route_population_preagg(spark, sf_dir):
     moments = reports.position_moments(fx.route_positions(log))
     return stops.join(moments, "routeId").select(
         "routeId", "n_stops", "n_delivered", "n_positions",
-        F.round("var_x", 6).alias("var_x"), F.round("var_y", 6).alias("var_y"),
+        F.round(F.sqrt("var_x"), 6).alias("dev_x"), F.round(F.sqrt("var_y"), 6).alias("dev_y"),
     )
 
 
@@ -716,9 +716,13 @@ def batch_statistics(spark, sf_dir):
 
 
 def _feed(spark: SparkSession, rows: DataFrame, files: int = 4) -> DataFrame:
-    """``rows`` as a stream of several files in offset order."""
+    """``rows`` as a stream of several files, written one after the other by offset."""
     folder = new_folder(spark, "feed")
-    rows.repartitionByRange(files, OFFSET).write.parquet(folder)
+    low, high = rows.agg(F.min(OFFSET), F.max(OFFSET)).first()
+    cuts = [low + (high + 1 - low) * i // files for i in range(files + 1)]
+    for start, end in zip(cuts, cuts[1:], strict=False):
+        part = rows.where((F.col(OFFSET) >= start) & (F.col(OFFSET) < end))
+        part.write.mode("append").parquet(folder)
     return stream_log(spark, folder, rows.schema, files_per_trigger=1)
 
 

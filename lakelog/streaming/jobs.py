@@ -60,13 +60,14 @@ def roll_stream(stream: DataFrame, table: Table, checkpoint: str, *, name: str =
                 every: str | None = None) -> StreamingQuery:
     """Fold a change log into a keyed archive, batch by batch.
 
-    The state is the archive itself, so it may hold any number of keys.
+    The state is the archive itself, so it may hold any number of keys; deleted
+    keys stay as hidden rows, so batches may come in any order.
     """
 
     def handle(df: DataFrame, n: int) -> None:
         df.persist()
         try:
-            cdc.roll(table, df, txn=(name, n))
+            cdc.roll(table, df, keep_deleted=True, txn=(name, n))
         finally:
             df.unpersist()
 
