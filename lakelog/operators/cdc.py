@@ -163,6 +163,43 @@ def roll(table: Table, log: DataFrame, *, keep_deleted: bool = False,
     return len(touched)
 
 
+def newest_events(log: DataFrame, key: str) -> DataFrame:
+    """The log with only the newest event of each key, still as a change log."""
+    kept = log.schema["before"].dataType
+    before = F.struct(*[
+        (F.col("__key") if f.name == key else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in kept
+    ])
+    return latest(log, key).select(
+        "op", before.alias("before"), F.col("__after").alias("after"), *COORDINATES
+    )
+
+
+def create_pending(table: Table, log: DataFrame, key: str) -> None:
+    """An empty table for events that the archive has not taken in yet."""
+    table.create(newest_events(log.where(F.lit(False)), key), props={"key": key})
+
+
+def state(table: Table, pending: Table) -> DataFrame:
+    """Archive and pending events as one state."""
+    key = table.snapshot().props["key"]
+    return merged(table.read(), pending.read(), key)
+
+
+def fold_pending(table: Table, pending: Table, *, txn: tuple[str, int] | None = None) -> int:
+    """Roll the pending events into the archive and drop them from ``pending``.
+
+    If the job stops in between, the events are rolled again, without effect.
+    """
+    snap = pending.snapshot()
+    if not snap.leaves:
+        return 0
+    done = {leaf.path for leaf in snap.leaves}
+    buckets = roll(table, pending.read(snap), keep_deleted=True, txn=txn)
+    pending.replace(None, lambda leaf: leaf.path in done)
+    return buckets
+
+
 def forget_deleted(table: Table) -> None:
     """Rewrite the buckets that hold hidden rows of deleted keys."""
     snap = table.snapshot()

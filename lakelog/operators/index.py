@@ -108,51 +108,56 @@ class OffsetIndex:
         return apply_template(template, sql_literal(value))
 
     def blocks(self, probe: str) -> DataFrame:
-        return (
-            self.table.read().where(F.col(VALUE) == F.expr(probe))
-            .select(PARTITION, GRANULE).distinct()
-        )
+        hits = self.table.read().where(F.col(VALUE) == F.expr(probe))
+        return hits.select(PARTITION, GRANULE)
 
-    def prune(self, log: DataFrame, probe: str, bucket_width: int | None = None) -> DataFrame:
+    def prune(self, log: DataFrame, probe: str, bucket_width: int | None = None,
+              partitions: Iterable[int] | None = None) -> DataFrame:
         """Rows of ``log`` in matching blocks or in the tail: a superset of the matches.
 
         A few blocks become literal ranges, which prune folders and row groups.
         More become a broadcast semi join, after a check of their number. Beyond
         that the value is everywhere, and the whole log is read.
+        ``partitions`` names all log partitions that ``log`` has, if that is known.
         """
         width, reached = self.props["width"], self.reached()
         found = self.blocks(probe)
-        few = found.limit(LITERAL_GRANULES + 1).collect()
-        has_bucket = bucket_width is not None and BUCKET in log.columns
+        # Sorted, so that one job finds them all; each task keeps no more than the limit.
+        few = found.orderBy(PARTITION, GRANULE).limit(LITERAL_GRANULES + 1).collect()
+        if bucket_width is None or BUCKET not in log.columns:
+            bucket_width = None
         if len(few) <= LITERAL_GRANULES and reached.is_literal:
-            hit = any_of(
-                _range(r[PARTITION], r[GRANULE], r[GRANULE] + width,
-                       bucket_width if has_bucket else None)
-                for r in few
-            )
-            return log.where(hit | self._tail(reached, bucket_width if has_bucket else None))
+            starts = dict.fromkeys((r[PARTITION], r[GRANULE]) for r in few)
+            spans = [(p, low, low + width) for p, low in starts]
+            tails = [(p, at, None) for p, at in sorted(reached.entries.items())]
+            hit = any_of(_range(*span, bucket_width) for span in [*spans, *tails])
+            if partitions is not None and set(partitions) <= set(reached.entries):
+                # Offsets alone, so that the row groups inside a folder are pruned too:
+                # a condition that mixes folder columns in does not reach them.
+                tail = min((at for _, at, _ in tails), default=0)
+                blocks = sorted({(low, high) for _, low, high in spans if low < tail})
+                off = F.col(OFFSET)
+                inside = any_of((off >= low) & (off < high) for low, high in _joined(blocks))
+                return log.where(hit & (inside | (off >= tail)))
+            unknown = ~F.col(PARTITION).isin(*reached.entries) if reached.entries else F.lit(True)
+            return log.where(hit | unknown)
         if found.limit(BROADCAST_GRANULES + 1).count() > BROADCAST_GRANULES:
             return log
         body = reached.before(log).withColumn("__g", block_start(OFFSET, width))
         on = ["__p", "__g"]
-        blocks = found.select(F.col(PARTITION).alias("__p"), F.col(GRANULE).alias("__g"))
+        blocks = found.distinct().select(F.col(PARTITION).alias("__p"), F.col(GRANULE).alias("__g"))
         body = body.withColumn("__p", F.col(PARTITION))
-        if has_bucket and bucket_width % width == 0:
+        if bucket_width and bucket_width % width == 0:
             blocks = blocks.withColumn("__b", block_start("__g", bucket_width))
             body = body.withColumn("__b", F.col(BUCKET))
             on.append("__b")
         hits = body.join(F.broadcast(blocks), on, "left_semi").select(*log.columns)
         return hits.unionByName(reached.at_or_after(log))
 
-    def _tail(self, reached: Frontier, bucket_width: int | None) -> Column:
-        part = F.col(PARTITION)
-        tails = any_of(_range(p, at, None, bucket_width) for p, at in sorted(reached.entries.items()))
-        return tails | ~part.isin(*reached.entries) if reached.entries else F.lit(True)
-
     def explain(self, probe: str) -> DataFrame:
         """The offset ranges that a lookup reads; an open end is the unindexed tail."""
         width = self.props["width"]
-        ranges = self.blocks(probe).select(
+        ranges = self.blocks(probe).distinct().select(
             PARTITION, F.col(GRANULE).alias("low"), (F.col(GRANULE) + width).alias("high")
         )
         tails = self.table.spark.createDataFrame(
@@ -167,6 +172,17 @@ def _by_value(entries: DataFrame) -> DataFrame:
     return entries.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
+def _joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Sorted spans with those that touch made one."""
+    out: list[tuple[int, int]] = []
+    for low, high in spans:
+        if out and low <= out[-1][1]:
+            out[-1] = (out[-1][0], max(high, out[-1][1]))
+        else:
+            out.append((low, high))
+    return out
+
+
 def _plain(template: str) -> str:
     return re.sub(r"\s+", "", template).lower()
 
@@ -194,13 +210,15 @@ def choose(indexes: Iterable[OffsetIndex], field: str, expression: str) -> Offse
 
 
 def lookup(log: DataFrame, field: str, value: Any, expression: str = FIELD,
-           indexes: Iterable[OffsetIndex] = (), bucket_width: int | None = None) -> DataFrame:
+           indexes: Iterable[OffsetIndex] = (), bucket_width: int | None = None,
+           partitions: Iterable[int] | None = None) -> DataFrame:
     """``log`` where ``expression`` over ``field`` equals ``value``, by index if one serves."""
     match = predicate(field, value, expression)
     index = choose(indexes, field, expression)
     if index is None:
         return log.where(match)
-    return index.prune(log, index.probe(expression, value), bucket_width).where(match)
+    probe = index.probe(expression, value)
+    return index.prune(log, probe, bucket_width, partitions).where(match)
 
 
 def effective_predicate(index: OffsetIndex, field: str, value: Any,

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakelog.functions.coords import BUCKET, with_bucket
+from lakelog.functions.coords import BUCKET, PARTITION, with_bucket
+from lakelog.functions.scalars import FIELD
 from lakelog.operators import cdc
 from lakelog.operators.frontier import Frontier
-from lakelog.sources.store import Table
+from lakelog.operators.index import OffsetIndex, lookup
+from lakelog.operators.ordering import with_previous
+from lakelog.sources.store import Leaf, Table
 
 Source = Callable[[], DataFrame] | DataFrame | Table
 
@@ -95,8 +99,43 @@ class Topic:
             return self.cold_scan()
         if self.cold is None:
             return self.hot_scan()
-        return merge_tiers(self.hot_scan(), self._bucketed(self.cold_scan()),
-                           self.boundary or archived_upto(self.cold))
+        boundary = self.boundary or archived_upto(self.cold)
+        return merge_tiers(self._beyond(boundary), self._bucketed(self.cold_scan()), boundary)
+
+    def _beyond(self, boundary: Frontier) -> DataFrame:
+        """The live side without folders that the archive covers entirely."""
+        if not isinstance(self.hot, Table) or boundary.table is not None:
+            return self.hot_scan()
+        snap = self.hot.snapshot()
+        if snap.frontier() is None:
+            return self.hot_scan()
+
+        def beyond(leaf: Leaf) -> bool:
+            at = boundary.entries.get(leaf.values[PARTITION])
+            return at is None or leaf.high > at
+
+        return self._bucketed(self.hot.read(snap, beyond))
+
+    def find(self, field: str, value: Any, expression: str = FIELD,
+             indexes: Iterable[OffsetIndex] = ()) -> DataFrame:
+        """Merged rows whose ``expression`` over ``field`` equals ``value``, by index."""
+        indexes = tuple(indexes)
+        width, partitions = None, None
+        if isinstance(self.cold, Table):
+            snap = self.cold.snapshot()
+            width, top = snap.props.get("width"), snap.frontier()
+            partitions = None if top is None else list(top)
+        sides = []
+        if self.cold is not None:
+            cold = self._bucketed(self.cold_scan())
+            sides.append(lookup(cold, field, value, expression, indexes, width, partitions))
+        if self.hot is not None:
+            boundary = None if self.cold is None else self.boundary or archived_upto(self.cold)
+            hot = self.hot_scan() if boundary is None else boundary.after(self._beyond(boundary))
+            sides.append(lookup(hot, field, value, expression, indexes))
+        if len(sides) == 1:
+            return sides[0]
+        return sides[0].unionByName(sides[1], allowMissingColumns=True)
 
     def tier(self, name: str) -> DataFrame:
         return {
@@ -115,8 +154,6 @@ def drop_consecutive_duplicates(
     df: DataFrame, keys: list[str], values: list[str], width: int = 1_000_000
 ) -> DataFrame:
     """Rows of a key whose ``values`` differ from the key's previous row in the log."""
-    from lakelog.operators.ordering import with_previous
-
     tagged = with_previous(df, keys, values, width)
     same = F.col("previous").isNotNull()
     for v in values:

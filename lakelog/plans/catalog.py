@@ -185,6 +185,7 @@ class TierCatalog:
         rows = self.spark.table(f"{tier}.{name}")
         topic = self.topics[name]
         width = topic.cold.snapshot().props.get("width") if topic.cold else None
+        # The view unites both sides, so folders are pruned and the rest is filtered.
         for index in self.indexes.get(name, []):
             field = index.props["field"]
             template = re.sub(rf"\b{re.escape(field)}\b", lambda _: FIELD, expression)

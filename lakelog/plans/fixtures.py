@@ -8,6 +8,7 @@ those of priority '5-LOW' are deleted in the end.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from functools import wraps
 
@@ -24,7 +25,7 @@ from lakelog.sources.store import Table
 from lakelog.sources.workdir import new_folder
 
 PARTITIONS = 4
-KEY_BUCKETS = 8
+KEYS_PER_BUCKET = 1_000_000
 CUSTOMER_BLOCK = 100
 FOLDERS = 64
 STOP_STATES = ("purchase", "error")
@@ -115,6 +116,12 @@ def segment_width(spark: SparkSession, sf_dir: str) -> int:
     return 1000 * -(-events_count(spark, sf_dir) // (1000 * FOLDERS))
 
 
+def window_width(spark: SparkSession, sf_dir: str) -> int:
+    """Offsets per window: near the root of their number, so that both the rows in
+    a window and the windows of one key stay few."""
+    return 1000 * (math.isqrt(events_count(spark, sf_dir)) // 1000 + 1)
+
+
 def archive_events(spark: SparkSession, sf_dir: str) -> Table:
     cold = fresh_table(spark, "cold-events")
     archive.archive(cold, cold_events(spark, sf_dir), segment_width(spark, sf_dir))
@@ -226,7 +233,8 @@ def orders(spark: SparkSession, sf_dir: str) -> Topic:
 
 def order_archive(spark: SparkSession, sf_dir: str) -> Table:
     target = fresh_table(spark, "cold-orders")
-    cdc.create_archive(target, cold_orders(spark, sf_dir), "OrderID", KEY_BUCKETS)
+    buckets = max(8, orders_count(spark, sf_dir) // KEYS_PER_BUCKET)
+    cdc.create_archive(target, cold_orders(spark, sf_dir), "OrderID", buckets)
     return target
 
 

@@ -226,7 +226,7 @@ def drop_consecutive_dups(spark, sf_dir):
         F.col("user_id").alias("routeId"), PARTITION, OFFSET,
         F.floor(F.col("value") / 20).alias("x"), F.floor(F.col("value") / 40).alias("y"),
     )
-    width = fx.segment_width(spark, sf_dir)
+    width = fx.window_width(spark, sf_dir)
     return drop_consecutive_duplicates(log, ["routeId"], ["x", "y"], width)
 
 
@@ -550,8 +550,7 @@ def index_build_transformed(spark, sf_dir):
 
 
 def _lookup(spark, sf_dir, value, expression, *indexes: OffsetIndex) -> DataFrame:
-    topic = fx.customers(spark, sf_dir)
-    found = lookup(topic.merged(), "c_name", value, expression, indexes, topic.width)
+    found = fx.customers(spark, sf_dir).find("c_name", value, expression, indexes)
     return found.select(*CUSTOMER_COLUMNS)
 
 
@@ -586,10 +585,9 @@ def index_parity(spark, sf_dir):
     """Rows with and without index, and how many are on one side only."""
     topic = fx.customers(spark, sf_dir)
     args = ("c_name", "Customer#000000", "SUBSTRING($field, 1, 15)")
-    log = topic.merged()
-    on = lookup(log, *args, [fx.prefix_index(spark, sf_dir)], topic.width)
+    on = topic.find(*args, [fx.prefix_index(spark, sf_dir)])
     sides = on.select(OFFSET, F.lit(1).alias("side")).unionByName(
-        lookup(log, *args).select(OFFSET, F.lit(-1).alias("side")))
+        lookup(topic.merged(), *args).select(OFFSET, F.lit(-1).alias("side")))
     return sides.groupBy(OFFSET).agg(F.sum("side").alias("d"), F.count("side").alias("n")).agg(
         F.count(F.lit(1)).alias("matches"),
         F.coalesce(F.sum(F.when(F.col("d") != 0, 1).otherwise(0)), F.lit(0)).alias("differences"),
@@ -697,7 +695,7 @@ def replay_rule(spark, sf_dir):
 @query
 def offset_gaps(spark, sf_dir):
     """Gaps in the offsets of each partition of the log."""
-    return replay.gaps(_merged(spark, sf_dir), fx.segment_width(spark, sf_dir))
+    return replay.gaps(_merged(spark, sf_dir), fx.window_width(spark, sf_dir))
 
 
 @query
@@ -748,20 +746,28 @@ def stream_archive(spark, sf_dir):
     return cold.read().select(*EVENT_COLUMNS)
 
 
+def _change_feed(spark: SparkSession, sf_dir: str):
+    """A change feed, an archive, and the table for events between two rolls."""
+    hot = fx.hot_orders(spark, sf_dir)
+    pending = fx.fresh_table(spark, "pending")
+    cdc.create_pending(pending, hot, "OrderID")
+    return _feed(spark, hot), fx.order_archive(spark, sf_dir), pending
+
+
 @query
 def stream_cdc(spark, sf_dir):
-    target = fx.order_archive(spark, sf_dir)
-    jobs.roll_stream(_feed(spark, fx.hot_orders(spark, sf_dir)), target, _checkpoint(spark))
-    return cdc.read_archive(target).select(*ORDER_COLUMNS)
+    """A change log followed in batches; some are rolled, the last ones pending."""
+    stream, target, pending = _change_feed(spark, sf_dir)
+    jobs.roll_stream(stream, target, pending, _checkpoint(spark), roll_after=3)
+    return cdc.state(target, pending).select(*ORDER_COLUMNS)
 
 
 @query
 def stream_cdc_state(spark, sf_dir):
     """The same with the newest event per key kept as stream state."""
-    target = fx.order_archive(spark, sf_dir)
-    stream = _feed(spark, fx.hot_orders(spark, sf_dir))
-    jobs.latest_stream(stream, "OrderID", target, _checkpoint(spark))
-    return cdc.read_archive(target).select(*ORDER_COLUMNS)
+    stream, target, pending = _change_feed(spark, sf_dir)
+    jobs.latest_stream(stream, "OrderID", target, pending, _checkpoint(spark))
+    return cdc.state(target, pending).select(*ORDER_COLUMNS)
 
 
 @query

@@ -8,7 +8,6 @@ sees either the old or the new list.
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
@@ -67,12 +66,12 @@ class Snapshot:
         return Snapshot(
             version,
             T.StructType.fromJson(doc["schema"]),
-            doc["partition_by"],
+            list(doc["partition_by"]),
             [Leaf(**leaf) for leaf in doc["leaves"]],
-            doc["columns"],
-            doc["sizes"],
-            doc["applied"],
-            doc["props"],
+            dict(doc["columns"]),
+            dict(doc["sizes"]),
+            dict(doc["applied"]),
+            dict(doc["props"]),
         )
 
     def frontier(self) -> dict[int, int] | None:
@@ -93,11 +92,19 @@ class Table:
         self.data = f"{self.path}/data"
         self._pointer = Pointer(spark, f"{self.path}/_versions")
         self._files = Files(spark)
+        self._seen: tuple[int, dict[str, Any]] = (0, {})
 
     # ---- reading -------------------------------------------------------------
 
     def snapshot(self, version: int | None = None) -> Snapshot:
-        return Snapshot.of(*self._pointer.load(version))
+        """The current version, or an older one. A version never changes once published."""
+        known = self._pointer.versions() if version is None else [version]
+        if not known:
+            return Snapshot()
+        number = max(known)
+        if self._seen[0] != number:
+            self._seen = self._pointer.load(number)
+        return Snapshot.of(*self._seen)
 
     def exists(self) -> bool:
         return bool(self._pointer.versions())
@@ -302,6 +309,5 @@ class Table:
         live = {leaf.commit for leaf in snap.leaves}
         snap.columns = {c: v for c, v in snap.columns.items() if c in live}
         snap.sizes = {c: v for c, v in snap.sizes.items() if c in live}
-        document = json.loads(json.dumps(snap.document()))
-        snap.version = self._pointer.swap(snap.version, document)
+        snap.version = self._pointer.swap(snap.version, snap.document())
         return snap

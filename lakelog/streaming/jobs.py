@@ -10,10 +10,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lakelog.functions.coords import COORDINATES
 from lakelog.operators import archive, cdc
 from lakelog.operators.frontier import Frontier
 from lakelog.sources.store import Table
@@ -56,44 +54,40 @@ def archive_stream(stream: DataFrame, cold: Table, checkpoint: str, *, name: str
     return run(stream, handle, checkpoint, every=every)
 
 
-def roll_stream(stream: DataFrame, table: Table, checkpoint: str, *, name: str = "roll",
+def roll_stream(stream: DataFrame, table: Table, pending: Table, checkpoint: str, *,
+                roll_after: int = 16, name: str = "roll",
                 every: str | None = None) -> StreamingQuery:
-    """Fold a change log into a keyed archive, batch by batch.
+    """Follow a change log: ``cdc.state(table, pending)`` is current after each batch.
 
-    The state is the archive itself, so it may hold any number of keys; deleted
-    keys stay as hidden rows, so batches may come in any order.
+    A batch costs what it holds: its newest events are appended to ``pending``.
+    The archive is rewritten only every ``roll_after`` batches. Deleted keys stay
+    as hidden rows, so batches may come in any order.
     """
+    key = pending.snapshot().props["key"]
 
     def handle(df: DataFrame, n: int) -> None:
-        df.persist()
-        try:
-            cdc.roll(table, df, keep_deleted=True, txn=(name, n))
-        finally:
-            df.unpersist()
+        pending.append(cdc.newest_events(df, key), txn=(name, n))
+        if (n + 1) % roll_after == 0:
+            cdc.fold_pending(table, pending, txn=(f"{name}-fold", n))
 
     return run(stream, handle, checkpoint, every=every)
 
 
-def latest_stream(stream: DataFrame, key: str, table: Table, checkpoint: str, *,
-                  name: str = "latest", every: str | None = None) -> StreamingQuery:
+def latest_stream(stream: DataFrame, key: str, table: Table, pending: Table, checkpoint: str,
+                  *, roll_after: int = 16, name: str = "latest",
+                  every: str | None = None) -> StreamingQuery:
     """Like ``roll_stream``, with the newest event per key kept as stream state.
 
-    The state store decides which event is the newest, so events of a key may
-    also arrive out of order across batches, deletes included.
+    The state store decides which event is the newest, so only keys that a batch
+    touches are handed on, each with its newest event of all batches so far.
     """
-    newest = cdc.latest(stream, key)
 
     def handle(df: DataFrame, n: int) -> None:
-        log = df.select(
-            "op", F.struct(F.col("__key").alias(key)).alias("before"),
-            F.col("__after").alias("after"), *COORDINATES,
-        )
-        log.persist()
-        try:
-            cdc.roll(table, log, txn=(name, n))
-        finally:
-            log.unpersist()
+        pending.append(df, txn=(name, n))
+        if (n + 1) % roll_after == 0:
+            cdc.fold_pending(table, pending, txn=(f"{name}-fold", n))
 
+    newest = cdc.newest_events(stream, key)
     return run(newest, handle, checkpoint, every=every, mode="update")
 
 
