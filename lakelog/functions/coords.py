@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,36 +24,40 @@ def with_bucket(df: DataFrame, width: int) -> DataFrame:
     return df.withColumn(BUCKET, block_start(OFFSET, width))
 
 
-def any_of(conditions: Iterable[Column]) -> Column:
-    """Disjunction built as a balanced tree, so that long lists stay shallow."""
-    level = list(conditions)
+def any_of(conditions: Iterable[str]) -> str:
+    """SQL text of a disjunction, nested evenly so that long lists stay shallow.
+
+    Predicates with many terms are built as text: one expression is handed to
+    the session, where a tree of columns takes a call for each of its nodes.
+    """
+    level = [f"({c})" for c in conditions]
     if not level:
-        return F.lit(False)
+        return "FALSE"
     while len(level) > 1:
-        level = [reduce(or_, level[i:i + 2]) for i in range(0, len(level), 2)]
+        pairs = [level[i:i + 2] for i in range(0, len(level), 2)]
+        level = [f"({' OR '.join(pair)})" if len(pair) == 2 else pair[0] for pair in pairs]
     return level[0]
 
 
-def offset_range(
-    low: int | None = None,
-    high: int | None = None,
-    partition: int | None = None,
-    width: int | None = None,
-) -> Column:
-    """``low <= offset < high`` with the matching bucket predicate beside it.
+def range_text(low: int | None, high: int | None = None, partition: int | None = None,
+               width: int | None = None) -> str:
+    """SQL text of ``low <= offset < high`` with the matching bucket predicate beside it.
 
     The archive is laid out by bucket, and an offset predicate alone prunes no
     directory; ``width`` is the bucket width of the table that is filtered.
     """
-    cond = F.lit(True)
-    if partition is not None:
-        cond = cond & (F.col(PARTITION) == partition)
+    terms = [] if partition is None else [f"{PARTITION} = {partition}"]
     if low is not None:
-        cond = cond & (F.col(OFFSET) >= low)
+        terms.append(f"{OFFSET} >= {low}")
         if width:
-            cond = cond & (F.col(BUCKET) >= low - low % width)
+            terms.append(f"{BUCKET} >= {low - low % width}")
     if high is not None:
-        cond = cond & (F.col(OFFSET) < high)
+        terms.append(f"{OFFSET} < {high}")
         if width:
-            cond = cond & (F.col(BUCKET) <= (high - 1) - (high - 1) % width)
-    return cond
+            terms.append(f"{BUCKET} <= {(high - 1) - (high - 1) % width}")
+    return " AND ".join(terms) or "TRUE"
+
+
+def offset_range(low: int | None = None, high: int | None = None,
+                 partition: int | None = None, width: int | None = None) -> Column:
+    return F.expr(range_text(low, high, partition, width))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakelog.functions.coords import OFFSET, PARTITION, any_of
@@ -43,30 +43,34 @@ class Frontier:
 
     def after(self, df: DataFrame) -> DataFrame:
         """Rows of ``df`` beyond the frontier."""
-        return self._split(df, lambda off, at: off > at, True)
+        return self._split(df, ">", True)
 
     def at_or_after(self, df: DataFrame) -> DataFrame:
-        return self._split(df, lambda off, at: off >= at, True)
+        return self._split(df, ">=", True)
 
     def upto(self, df: DataFrame) -> DataFrame:
-        return self._split(df, lambda off, at: off <= at, False)
+        return self._split(df, "<=", False)
 
     def before(self, df: DataFrame) -> DataFrame:
-        return self._split(df, lambda off, at: off < at, False)
+        return self._split(df, "<", False)
 
-    def condition(self, compare, unknown: bool) -> Column:
+    def condition(self, compare: str, unknown: bool) -> str:
         """The frontier as a predicate of literals, which reaches the Parquet scan."""
-        part, off = F.col(PARTITION), F.col(OFFSET)
-        known = any_of((part == p) & compare(off, at) for p, at in sorted(self.entries.items()))
+        if not self.entries:
+            return "TRUE" if unknown else "FALSE"
+        known = any_of(
+            f"{PARTITION} = {p} AND {OFFSET} {compare} {at}"
+            for p, at in sorted(self.entries.items())
+        )
         if not unknown:
             return known
-        return known | ~part.isin(*self.entries) if self.entries else F.lit(True)
+        return f"{known} OR {PARTITION} NOT IN ({', '.join(map(str, sorted(self.entries)))})"
 
     @property
     def is_literal(self) -> bool:
         return self.table is None and len(self.entries) <= LITERAL_ENTRIES
 
-    def _split(self, df: DataFrame, compare, unknown: bool) -> DataFrame:
+    def _split(self, df: DataFrame, compare: str, unknown: bool) -> DataFrame:
         if self.is_literal:
             return df.where(self.condition(compare, unknown))
         if self.table is None:
@@ -85,8 +89,7 @@ class Frontier:
             joined = df.join(
                 salted, (F.col(PARTITION) == F.col("__p")) & (salt == F.col("__s")), "left"
             )
-        keep = F.coalesce(compare(F.col(OFFSET), F.col("__at")), F.lit(unknown))
-        return joined.where(keep).select(*df.columns)
+        return joined.where(f"COALESCE({OFFSET} {compare} __at, {unknown})").select(*df.columns)
 
     def merge(self, other: Frontier) -> Frontier:
         """The further of both frontiers, partition by partition."""

@@ -9,15 +9,16 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable
+from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakelog.functions.coords import BUCKET, OFFSET, PARTITION, any_of, block_start
+from lakelog.functions.coords import BUCKET, OFFSET, PARTITION, any_of, block_start, range_text
 from lakelog.functions.scalars import FIELD, apply_template, sql_literal
 from lakelog.operators.frontier import Frontier
-from lakelog.sources.store import Table
+from lakelog.sources.store import Snapshot, Table
 
 LITERAL_GRANULES = 512
 BROADCAST_GRANULES = 1_000_000
@@ -71,8 +72,12 @@ class OffsetIndex:
     def props(self) -> dict[str, Any]:
         return self.table.snapshot().props
 
+    def pinned(self) -> Pinned:
+        """The index as it is now, for one lookup."""
+        return Pinned(self.table, self.table.snapshot())
+
     def reached(self) -> Frontier:
-        return Frontier.from_json(self.props["reached"])
+        return self.pinned().reached
 
     def refresh(self, log: DataFrame) -> int:
         """Index the offsets that came since; only those are read."""
@@ -91,9 +96,37 @@ class OffsetIndex:
         # A block that was indexed in two parts has an entry in each.
         return self.table.read().distinct()
 
+    def serves(self, field: str, expression: str) -> int:
+        return self.pinned().serves(field, expression)
+
+    def probe(self, expression: str, value: Any) -> str:
+        return self.pinned().probe(expression, value)
+
+    def blocks(self, probe: str) -> DataFrame:
+        return self.pinned().blocks(probe)
+
+    def prune(self, log: DataFrame, probe: str, bucket_width: int | None = None,
+              partitions: Iterable[int] | None = None) -> DataFrame:
+        return self.pinned().prune(log, probe, bucket_width, partitions)
+
+    def explain(self, probe: str) -> DataFrame:
+        return self.pinned().explain(probe)
+
+
+@dataclass
+class Pinned:
+    """One version of an index: what a lookup asks for, all from the same snapshot."""
+
+    table: Table
+    snap: Snapshot
+
+    @property
+    def reached(self) -> Frontier:
+        return Frontier.from_json(self.snap.props["reached"])
+
     def serves(self, field: str, expression: str) -> int:
         """2: indexed as written; 1: equality on the field implies one on the index."""
-        props = self.props
+        props = self.snap.props
         if props["field"] != field:
             return 0
         if _plain(props["template"]) == _plain(expression):
@@ -102,13 +135,13 @@ class OffsetIndex:
 
     def probe(self, expression: str, value: Any) -> str:
         """SQL text of the index value to look for."""
-        template = self.props["template"]
+        template = self.snap.props["template"]
         if _plain(template) == _plain(expression):
             return sql_literal(value)
         return apply_template(template, sql_literal(value))
 
     def blocks(self, probe: str) -> DataFrame:
-        hits = self.table.read().where(F.col(VALUE) == F.expr(probe))
+        hits = self.table.read(self.snap).where(f"{VALUE} = {probe}")
         return hits.select(PARTITION, GRANULE)
 
     def prune(self, log: DataFrame, probe: str, bucket_width: int | None = None,
@@ -120,7 +153,7 @@ class OffsetIndex:
         that the value is everywhere, and the whole log is read.
         ``partitions`` names all log partitions that ``log`` has, if that is known.
         """
-        width, reached = self.props["width"], self.reached()
+        width, reached = self.snap.props["width"], self.reached
         found = self.blocks(probe)
         # Sorted, so that one job finds them all; each task keeps no more than the limit.
         few = found.orderBy(PARTITION, GRANULE).limit(LITERAL_GRANULES + 1).collect()
@@ -130,17 +163,16 @@ class OffsetIndex:
             starts = dict.fromkeys((r[PARTITION], r[GRANULE]) for r in few)
             spans = [(p, low, low + width) for p, low in starts]
             tails = [(p, at, None) for p, at in sorted(reached.entries.items())]
-            hit = any_of(_range(*span, bucket_width) for span in [*spans, *tails])
+            hit = any_of(range_text(low, high, p, bucket_width) for p, low, high in [*spans, *tails])
             if partitions is not None and set(partitions) <= set(reached.entries):
                 # Offsets alone, so that the row groups inside a folder are pruned too:
                 # a condition that mixes folder columns in does not reach them.
                 tail = min((at for _, at, _ in tails), default=0)
                 blocks = sorted({(low, high) for _, low, high in spans if low < tail})
-                off = F.col(OFFSET)
-                inside = any_of((off >= low) & (off < high) for low, high in _joined(blocks))
-                return log.where(hit & (inside | (off >= tail)))
-            unknown = ~F.col(PARTITION).isin(*reached.entries) if reached.entries else F.lit(True)
-            return log.where(hit | unknown)
+                inside = any_of(range_text(*span) for span in [*_joined(blocks), (tail, None)])
+                return log.where(f"{hit} AND {inside}")
+            others = ", ".join(map(str, sorted(reached.entries)))
+            return log.where(f"{hit} OR {PARTITION} NOT IN ({others})" if others else "TRUE")
         if found.limit(BROADCAST_GRANULES + 1).count() > BROADCAST_GRANULES:
             return log
         body = reached.before(log).withColumn("__g", block_start(OFFSET, width))
@@ -156,12 +188,12 @@ class OffsetIndex:
 
     def explain(self, probe: str) -> DataFrame:
         """The offset ranges that a lookup reads; an open end is the unindexed tail."""
-        width = self.props["width"]
+        width = self.snap.props["width"]
         ranges = self.blocks(probe).distinct().select(
             PARTITION, F.col(GRANULE).alias("low"), (F.col(GRANULE) + width).alias("high")
         )
         tails = self.table.spark.createDataFrame(
-            [(p, at, None) for p, at in sorted(self.reached().entries.items())],
+            [(p, at, None) for p, at in sorted(self.reached.entries.items())],
             f"{PARTITION} int, low bigint, high bigint",
         )
         return ranges.unionByName(tails)
@@ -187,24 +219,14 @@ def _plain(template: str) -> str:
     return re.sub(r"\s+", "", template).lower()
 
 
-def _range(partition: int, low: int, high: int | None, bucket_width: int | None) -> Column:
-    cond = (F.col(PARTITION) == partition) & (F.col(OFFSET) >= low)
-    if high is not None:
-        cond = cond & (F.col(OFFSET) < high)
-    if bucket_width:
-        cond = cond & (F.col(BUCKET) >= low - low % bucket_width)
-        if high is not None:
-            cond = cond & (F.col(BUCKET) <= (high - 1) - (high - 1) % bucket_width)
-    return cond
-
-
 def predicate(field: str, value: Any, expression: str = FIELD) -> Column:
     return F.expr(f"{apply_template(expression, f'`{field}`')} = {sql_literal(value)}")
 
 
-def choose(indexes: Iterable[OffsetIndex], field: str, expression: str) -> OffsetIndex | None:
+def choose(indexes: Iterable[OffsetIndex], field: str, expression: str) -> Pinned | None:
     """The best index for ``expression = value``, or none."""
-    ranked = [(index.serves(field, expression), index) for index in indexes]
+    pinned = [index.pinned() for index in indexes]
+    ranked = [(index.serves(field, expression), index) for index in pinned]
     best = max(ranked, key=lambda pair: pair[0], default=(0, None))
     return best[1] if best[0] else None
 

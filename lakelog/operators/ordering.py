@@ -7,15 +7,19 @@ only one small row per chunk carries what the next chunk needs to know.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakelog.functions.coords import OFFSET, PARTITION, block_start
+from lakelog.sources.files import Files
 from lakelog.sources.workdir import new_folder
 
-_POSITION_BITS = 33  # monotonically_increasing_id: task number above, row below
+CHUNK, ROW = "__chunk", "__row"
+LITERAL_BASES = 256
+_ROW_BITS = 33  # monotonically_increasing_id: task number above, row in the task below
 
 
 def with_previous(
@@ -49,7 +53,7 @@ def with_previous(
 
 @dataclass
 class Ordered:
-    """A table written in range order; ``__pos`` is task number and row number.
+    """A table written in range order: one folder per chunk, rows numbered in it.
 
     ``bases`` has one (chunk, rows before it) pair per write task, so its size
     is the shuffle width and does not grow with the data.
@@ -63,42 +67,41 @@ class Ordered:
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(self.schema).parquet(self.folder)
 
-    def numbered(self, spark: SparkSession, name: str, start: int = 0,
-                 low: int | None = None, high: int | None = None) -> DataFrame:
-        """Rows with their number in ``name``; ``low``/``high`` read only a slice.
-
-        The slice is a range of stored positions per chunk, so the Parquet
-        statistics of the other row groups keep them from being read.
+    def numbered(self, df: DataFrame, name: str, start: int = 0) -> DataFrame:
+        """All rows of ``df = self.read(..)`` with their number in ``name``."""
+        if len(self.bases) <= LITERAL_BASES:
+            whens = " ".join(f"WHEN {c} THEN {start + base}L" for c, base in self.bases)
+            number = f"CASE {CHUNK} {whens} END + {ROW}" if whens else f"{ROW}"
+            return df.withColumn(name, F.expr(number)).drop(CHUNK, ROW)
+        bases = df.sparkSession.createDataFrame(self.bases, "`__c` int, `__base` bigint")
+        joined = df.join(F.broadcast(bases), F.col(CHUNK) == F.col("__c"))
+        return joined.withColumn(name, F.col("__base") + F.col(ROW) + F.lit(start)).drop(
+            CHUNK, ROW, "__c", "__base")
+
+    def slice(self, df: DataFrame, name: str, low: int, high: int, start: int = 0) -> DataFrame:
+        """The rows numbered ``low`` to ``high - 1``.
+
+        Chunks are folders and rows are sorted in them, so only the folders and
+        row groups of the slice are read. Each chunk is one branch: a condition
+        on the row alone reaches the scan.
         """
+        lo, hi = max(low - start, 0), min(high - start, self.rows)
         ends = [b for _, b in self.bases[1:]] + [self.rows]
-        lo = 0 if low is None else max(low - start, 0)
-        hi = self.rows if high is None else min(high - start, self.rows)
-        hits = [(c, b) for (c, b), e in zip(self.bases, ends, strict=True) if b < hi and e > lo]
-        pos = F.col("__pos")
-        df = self.read(spark)
-        if not hits or lo >= hi:
-            df, hits = df.where(F.lit(False)), self.bases[:1]
-        elif low is not None or high is not None:
-            # Consecutive chunks: the stored positions of a slice are one range.
-            first, last = hits[0], hits[-1]
-            df = df.where(
-                (pos >= (first[0] << _POSITION_BITS) + max(lo - first[1], 0))
-                & (pos < (last[0] << _POSITION_BITS) + hi - last[1])
-            )
-        bases = spark.createDataFrame(hits, "`__c` int, `__base` bigint")
-        return (
-            df.join(F.broadcast(bases), chunk_of(pos) == F.col("__c"))
-            .withColumn(name, F.col("__base") + row_of(pos) + F.lit(start))
-            .drop("__pos", "__c", "__base")
-        )
-
-
-def chunk_of(pos: Column) -> Column:
-    return F.shiftright(pos, _POSITION_BITS).cast("int")
-
-
-def row_of(pos: Column) -> Column:
-    return pos.bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
+        hits = [(c, b, e) for (c, b), e in zip(self.bases, ends, strict=True) if b < hi and e > lo]
+        whole = [h for h in hits if lo <= h[1] and h[2] <= hi]
+        partial = [h for h in hits if h not in whole]
+        branches = [
+            self.numbered(df.where(f"{CHUNK} = {c} AND {ROW} >= {lo - b} AND {ROW} < {hi - b}"),
+                          name, start)
+            for c, b, _ in partial
+        ]
+        if whole:
+            first, last = whole[0][0], whole[-1][0]
+            branches.append(
+                self.numbered(df.where(f"{CHUNK} BETWEEN {first} AND {last}"), name, start))
+        if not branches:
+            return self.numbered(df.where("FALSE"), name, start)
+        return reduce(DataFrame.unionByName, branches)
 
 
 def write_ordered(df: DataFrame, order: list[Column], label: str,
@@ -111,21 +114,25 @@ def write_ordered(df: DataFrame, order: list[Column], label: str,
     spark = df.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     folder = folder or new_folder(spark, label)
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     (
         df.repartitionByRange(tasks, *order)
-        .sortWithinPartitions(*order)
-        .withColumn("__pos", F.monotonically_increasing_id())
-        .write.parquet(folder)
-    )
-    schema = df.withColumn("__pos", F.lit(0).cast("bigint")).schema
-    counted = (
-        spark.read.schema(schema).parquet(folder)
-        .groupBy(chunk_of(F.col("__pos")).alias("c")).agg(F.count(F.lit(1)).alias("n"))
+        .withColumn(CHUNK, F.spark_partition_id())
+        .sortWithinPartitions(CHUNK, *order)
+        .withColumn(ROW, row)
+        .write.partitionBy(CHUNK).parquet(folder)
     )
+    schema = T.StructType([
+        *df.schema, T.StructField(ROW, T.LongType()), T.StructField(CHUNK, T.IntegerType()),
+    ])
+    if CHUNK not in {n.split("=")[0] for n in Files(spark).names(folder)}:
+        return Ordered(folder, schema, [], 0)
+    counted = spark.read.schema(schema).parquet(folder).groupBy(CHUNK).agg(
+        F.count(F.lit(1)).alias("n"))
     bases, total = [], 0
-    for row in sorted(counted.collect(), key=lambda r: r["c"]):
-        bases.append((row["c"], total))
-        total += row["n"]
+    for r in sorted(counted.collect(), key=lambda r: r[CHUNK]):
+        bases.append((r[CHUNK], total))
+        total += r["n"]
     return Ordered(folder, schema, bases, total)
 
 
@@ -138,7 +145,7 @@ def dense_number(
     numbering is the same on every run.
     """
     ordered = write_ordered(df, order, label)
-    return ordered.numbered(df.sparkSession, name, start).select(*df.columns, name)
+    return ordered.numbered(ordered.read(df.sparkSession), name, start)
 
 
 def pick_ranks(
@@ -158,7 +165,7 @@ def pick_ranks(
         .agg(F.count(F.lit(1)).alias("k"))
     )
     ordered = write_ordered(counts, [F.col("g"), F.col("v")], "ranks")
-    rows = ordered.read(spark).withColumn("c", chunk_of(F.col("__pos")))
+    rows = ordered.read(spark).withColumnRenamed(CHUNK, "c")
     edges = (
         rows.groupBy("c", "g").agg(F.sum("k").alias("k"))
         .groupBy("c")

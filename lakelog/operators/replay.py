@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import asdict, dataclass
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -181,7 +182,7 @@ class RuleBook:
 def reorder(log: DataFrame, rule: Rule) -> DataFrame:
     """Filtered and re-sorted log, numbered 0, 1, 2, ... without gaps."""
     ordered = write_ordered(rule.select(log), rule.order(), "reordered")
-    return ordered.numbered(log.sparkSession, REPLAY_OFFSET)
+    return ordered.numbered(ordered.read(log.sparkSession), REPLAY_OFFSET)
 
 
 class ReorderedLog:
@@ -194,6 +195,7 @@ class ReorderedLog:
     def __init__(self, spark: SparkSession, folder: str, rule: Rule):
         self.spark, self.rule, self.folder = spark, rule, folder.rstrip("/")
         self._pointer = Pointer(spark, f"{self.folder}/_versions")
+        self._parts: dict[str, tuple[Ordered, DataFrame]] = {}
 
     def extend(self, log: DataFrame) -> int:
         """Take in the rows beyond what was numbered so far; returns the next number."""
@@ -220,25 +222,35 @@ class ReorderedLog:
     def read(self, low: int | None = None, high: int | None = None) -> DataFrame:
         """All numbered rows, or those with ``low <= number < high``."""
         _, doc = self._pointer.load()
-        result = None
+        end = doc["parts"][-1]["start"] + doc["parts"][-1]["rows"]
+        lo, hi = low or 0, end if high is None else high
+        pieces = []
         for p in doc["parts"]:
-            if (high is not None and p["start"] >= high) or (
-                low is not None and p["start"] + p["rows"] <= low
-            ):
+            if p["start"] >= hi or p["start"] + p["rows"] <= lo:
                 continue
-            ordered = Ordered(p["folder"], T.StructType.fromJson(p["schema"]),
-                              [tuple(b) for b in p["bases"]], p["rows"])
-            df = ordered.numbered(self.spark, REPLAY_OFFSET, p["start"], low, high)
-            result = df if result is None else result.unionByName(df, allowMissingColumns=True)
-        if result is None:
-            schema = T.StructType.fromJson(doc["parts"][0]["schema"])
-            fields = [f for f in schema if f.name != "__pos"]
-            empty = T.StructType([*fields, T.StructField(REPLAY_OFFSET, T.LongType())])
-            return self.spark.createDataFrame([], empty)
-        return result
+            ordered, df = self._part(p)
+            if lo <= p["start"] and p["start"] + p["rows"] <= hi:
+                pieces.append(ordered.numbered(df, REPLAY_OFFSET, p["start"]))
+            else:
+                pieces.append(ordered.slice(df, REPLAY_OFFSET, lo, hi, p["start"]))
+        if not pieces:
+            ordered, df = self._part(doc["parts"][0])
+            return ordered.numbered(df.where("FALSE"), REPLAY_OFFSET)
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), pieces)
+
+    def _part(self, part: dict[str, Any]) -> tuple[Ordered, DataFrame]:
+        """A numbered part. Its files never change, so their listing is kept."""
+        folder = part["folder"]
+        if folder not in self._parts:
+            ordered = Ordered(folder, T.StructType.fromJson(part["schema"]),
+                              [tuple(b) for b in part["bases"]], part["rows"])
+            self._parts[folder] = (ordered, ordered.read(self.spark))
+        return self._parts[folder]
 
     def page(self, position: int, size: int) -> DataFrame:
-        return self.read(position, position + size).orderBy(REPLAY_OFFSET)
+        """``size`` records from a position on, in order; no more than those are sorted."""
+        rows = self.read(position, position + size)
+        return rows.repartition(1).sortWithinPartitions(REPLAY_OFFSET)
 
     def resume(self, progress: Progress, size: int) -> DataFrame:
         at = progress.position(self.rule.group, self.rule.topic).get(0, 0)

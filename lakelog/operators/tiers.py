@@ -120,18 +120,23 @@ class Topic:
              indexes: Iterable[OffsetIndex] = ()) -> DataFrame:
         """Merged rows whose ``expression`` over ``field`` equals ``value``, by index."""
         indexes = tuple(indexes)
-        width, partitions = None, None
+        width, partitions, boundary, sides = None, None, self.boundary, []
         if isinstance(self.cold, Table):
             snap = self.cold.snapshot()
-            width, top = snap.props.get("width"), snap.frontier()
-            partitions = None if top is None else list(top)
-        sides = []
+            cold, width, top = self.cold.read(snap), snap.props.get("width"), snap.frontier()
+            if top is not None:
+                partitions, boundary = list(top), boundary or Frontier(top)
+        elif self.cold is not None:
+            cold = self.cold_scan()
         if self.cold is not None:
-            cold = self._bucketed(self.cold_scan())
+            cold = self._bucketed(cold)
             sides.append(lookup(cold, field, value, expression, indexes, width, partitions))
         if self.hot is not None:
-            boundary = None if self.cold is None else self.boundary or archived_upto(self.cold)
-            hot = self.hot_scan() if boundary is None else boundary.after(self._beyond(boundary))
+            if self.cold is None:
+                hot = self.hot_scan()
+            else:
+                boundary = boundary or archived_upto(self.cold)
+                hot = boundary.after(self._beyond(boundary))
             sides.append(lookup(hot, field, value, expression, indexes))
         if len(sides) == 1:
             return sides[0]

@@ -27,7 +27,7 @@ from lakelog.sources.workdir import new_folder
 PARTITIONS = 4
 KEYS_PER_BUCKET = 1_000_000
 CUSTOMER_BLOCK = 100
-FOLDERS = 64
+FOLDERS = 32
 STOP_STATES = ("purchase", "error")
 
 _made: dict = {}
@@ -112,7 +112,7 @@ def events(spark: SparkSession, sf_dir: str) -> Topic:
 
 
 def segment_width(spark: SparkSession, sf_dir: str) -> int:
-    """Offsets per archive folder: a multiple of 1,000 that gives at most 64 blocks."""
+    """Offsets per archive folder: a multiple of 1,000 that gives at most 32 blocks."""
     return 1000 * -(-events_count(spark, sf_dir) // (1000 * FOLDERS))
 
 

@@ -8,7 +8,7 @@ WITH en AS (SELECT COUNT(*) AS n FROM events),
 L AS (
   SELECT e.*, CAST(user_id % 4 AS INTEGER) AS kafka_partition, event_id AS kafka_offset,
          ts AS kafka_timestamp, event_id - event_id % 1000 AS offset_bucket,
-         epoch_us(ts) // 1000 AS ms, n, 1000 * ((n + 63999) // 64000) AS width
+         epoch_us(ts) // 1000 AS ms, n, 1000 * ((n + 31999) // 32000) AS width
   FROM events e, en),
 hot AS (SELECT * FROM L WHERE event_id * 10 >= n * 6),
 cold AS (SELECT * FROM L WHERE event_id * 10 < n * 7),

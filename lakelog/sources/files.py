@@ -27,11 +27,16 @@ class Files:
         return self.path(text).getFileSystem(self._conf)
 
     def names(self, folder: str) -> list[str]:
-        fs, p = self._fs(folder), self.path(folder)
+        p = self.path(folder)
+        fs = p.getFileSystem(self._conf)
         if not fs.exists(p):
             return []
         return sorted(status.getPath().getName() for status in fs.listStatus(p))
 
+    def exists(self, file: str) -> bool:
+        p = self.path(file)
+        return p.getFileSystem(self._conf).exists(p)
+
     def read_text(self, file: str) -> str:
         stream = self._fs(file).open(self.path(file))
         try:
@@ -95,18 +100,26 @@ class Pointer:
             if name.endswith(".json") and not name.startswith(".")
         ]
 
+    def _file(self, version: int) -> str:
+        return f"{self.folder}/{version:010d}.json"
+
+    def newest(self, at_least: int = 0) -> int:
+        """The current version, or 0. Versions are consecutive, so one look past a
+        version that is known to exist tells whether it is still the newest."""
+        if at_least and not self._files.exists(self._file(at_least + 1)):
+            return at_least
+        return max(self.versions(), default=0)
+
     def load(self, version: int | None = None) -> tuple[int, dict[str, Any]]:
-        if version is None:
-            known = self.versions()
-            if not known:
-                return 0, {}
-            version = max(known)
-        return version, json.loads(self._files.read_text(f"{self.folder}/{version:010d}.json"))
+        version = version or self.newest()
+        if not version:
+            return 0, {}
+        return version, json.loads(self._files.read_text(self._file(version)))
 
     def swap(self, after: int, document: dict[str, Any]) -> int:
         """Publish the successor of version ``after``; fail if somebody else did."""
         version = after + 1
-        self._files.write_new(f"{self.folder}/{version:010d}.json", json.dumps(document))
+        self._files.write_new(self._file(version), json.dumps(document))
         return version
 
 

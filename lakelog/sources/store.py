@@ -93,30 +93,37 @@ class Table:
         self._pointer = Pointer(spark, f"{self.path}/_versions")
         self._files = Files(spark)
         self._seen: tuple[int, dict[str, Any]] = (0, {})
+        self._frame: tuple[int, DataFrame | None] = (0, None)
 
     # ---- reading -------------------------------------------------------------
 
     def snapshot(self, version: int | None = None) -> Snapshot:
         """The current version, or an older one. A version never changes once published."""
-        known = self._pointer.versions() if version is None else [version]
-        if not known:
+        number = version or self._pointer.newest(self._seen[0])
+        if not number:
             return Snapshot()
-        number = max(known)
         if self._seen[0] != number:
             self._seen = self._pointer.load(number)
         return Snapshot.of(*self._seen)
 
     def exists(self) -> bool:
-        return bool(self._pointer.versions())
+        return bool(self._pointer.newest(self._seen[0]))
 
     def read(self, snapshot: Snapshot | None = None,
              keep: Callable[[Leaf], bool] | None = None) -> DataFrame:
         """The table as of ``snapshot``; ``keep`` leaves out whole folders."""
         snap = snapshot or self.snapshot()
+        # The files of a version never change, so their listing can be kept with it.
+        if keep is None and self._frame[0] == snap.version:
+            return self._frame[1]
         leaves = [leaf for leaf in snap.leaves if keep is None or keep(leaf)]
-        if not leaves:
-            return self.spark.createDataFrame([], snap.schema)
-        return self._scan(snap, self._paths(snap, leaves))
+        if leaves:
+            df = self._scan(snap, self._paths(snap, leaves))
+        else:
+            df = self.spark.createDataFrame([], snap.schema)
+        if keep is None and snap.version:
+            self._frame = (snap.version, df)
+        return df
 
     def _paths(self, snap: Snapshot, leaves: Sequence[Leaf]) -> list[str]:
         """Commit folders where the whole commit is live, else single leaf folders."""
@@ -136,7 +143,7 @@ class Table:
             self.spark.read.schema(snap.schema)
             .option("basePath", self.data)
             .parquet(*paths)
-            .select(*[F.col(f"`{name}`") for name in snap.schema.names])
+            .selectExpr(*[f"`{name}`" for name in snap.schema.names])
         )
 
     def view_sql(self, snapshot: Snapshot | None = None) -> str:
