@@ -61,6 +61,11 @@ def ratio(candidate: Column, base: Column) -> Column:
     return F.when(base > 0, candidate / base).otherwise(F.lit(0.0))
 
 
+def percent_change(candidate: Column, base: Column) -> Column:
+    """Change against ``base`` in percent, and 0 where there is no positive base."""
+    return F.when(base > 0, (candidate - base) * 100.0 / base).otherwise(F.lit(0.0))
+
+
 def percent_share(part: Column, whole: Column) -> Column:
     """Whole-number percentage, with an empty whole counted as one."""
     return F.round(F.lit(100.0) * part / F.greatest(whole, F.lit(1))).cast("bigint")

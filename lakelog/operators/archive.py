@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lakelog.functions.coords import BUCKET, COORDINATES, OFFSET, PARTITION, with_bucket
 from lakelog.operators.frontier import Frontier
+from lakelog.operators.ordering import range_tasks
 from lakelog.sources.store import Leaf, Snapshot, Table
 
 
@@ -36,8 +37,7 @@ def archive(table: Table, hot: DataFrame, width: int = 1000,
 def archive_ordered(table: Table, hot: DataFrame, bloom: Sequence[str] = ()) -> Snapshot:
     """Create an archive in global (timestamp, partition, offset) order."""
     order = [F.col(c) for c in (COORDINATES[2], PARTITION, OFFSET)]
-    tasks = int(hot.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = hot.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    ordered = hot.repartitionByRange(range_tasks(hot), *order).sortWithinPartitions(*order)
     return table.create(ordered, ranged=True, options=_bloom(bloom))
 
 

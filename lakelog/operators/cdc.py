@@ -147,7 +147,7 @@ def roll(table: Table, log: DataFrame, *, keep_deleted: bool = False,
     )
     # At most one row per bucket, and the number of buckets is a table setting.
     touched = {
-        r[0] for r in keys.select(key_bucket(key, buckets)).distinct().toLocalIterator()
+        r[0] for r in keys.select(key_bucket(key, buckets)).distinct().collect()
     }
     if not touched:
         return 0
@@ -206,7 +206,7 @@ def forget_deleted(table: Table) -> None:
     rows = table.read(snap)
     # At most one row per bucket.
     dirty = {
-        r[0] for r in rows.where(DELETED).select(KEY_BUCKET).distinct().toLocalIterator()
+        r[0] for r in rows.where(DELETED).select(KEY_BUCKET).distinct().collect()
     }
     if dirty:
         def hit(leaf) -> bool:

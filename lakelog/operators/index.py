@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from lakelog.functions.coords import BUCKET, OFFSET, PARTITION, any_of, block_start, range_text
 from lakelog.functions.scalars import FIELD, apply_template, sql_literal
 from lakelog.operators.frontier import Frontier
+from lakelog.operators.ordering import range_tasks
 from lakelog.sources.store import Snapshot, Table
 
 LITERAL_GRANULES = 512
@@ -201,7 +202,7 @@ class Pinned:
 
 def _by_value(entries: DataFrame) -> DataFrame:
     order = [F.col(VALUE), F.col(PARTITION), F.col(GRANULE)]
-    return entries.repartitionByRange(*order).sortWithinPartitions(*order)
+    return entries.repartitionByRange(range_tasks(entries), *order).sortWithinPartitions(*order)
 
 
 def _joined(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

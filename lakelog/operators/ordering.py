@@ -19,6 +19,8 @@ from lakelog.sources.workdir import new_folder
 
 CHUNK, ROW = "__chunk", "__row"
 LITERAL_BASES = 256
+CHUNK_BYTES = 256 << 20
+MOST_CHUNKS = 50_000  # estimates multiply over joins; more chunks than this help nobody
 _ROW_BITS = 33  # monotonically_increasing_id: task number above, row in the task below
 
 
@@ -55,8 +57,8 @@ def with_previous(
 class Ordered:
     """A table written in range order: one folder per chunk, rows numbered in it.
 
-    ``bases`` has one (chunk, rows before it) pair per write task, so its size
-    is the shuffle width and does not grow with the data.
+    ``bases`` has one (chunk, rows before it) pair per write task, which
+    ``range_tasks`` bounds.
     """
 
     folder: str
@@ -104,6 +106,14 @@ class Ordered:
         return reduce(DataFrame.unionByName, branches)
 
 
+def range_tasks(df: DataFrame) -> int:
+    """Range partitions for ``df``: the session's shuffle width, or more if the
+    optimizer's size estimate would make them larger than ``CHUNK_BYTES``."""
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(width, min(-(-size // CHUNK_BYTES), MOST_CHUNKS))
+
+
 def write_ordered(df: DataFrame, order: list[Column], label: str,
                   folder: str | None = None) -> Ordered:
     """Range-partition and sort ``df``, and keep the result in a shared folder.
@@ -112,7 +122,7 @@ def write_ordered(df: DataFrame, order: list[Column], label: str,
     once: every later step sees the same chunks, also after an executor is lost.
     """
     spark = df.sparkSession
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = range_tasks(df)
     folder = folder or new_folder(spark, label)
     row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     (

@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakelog.functions.coords import BUCKET, PARTITION, with_bucket
+from lakelog.functions.coords import BUCKET, OFFSET, PARTITION, with_bucket
 from lakelog.functions.scalars import FIELD
 from lakelog.operators import cdc
 from lakelog.operators.frontier import Frontier
@@ -116,6 +116,51 @@ class Topic:
 
         return self._bucketed(self.hot.read(snap, beyond))
 
+    def newest(self, n: int) -> DataFrame:
+        """The merged rows with the ``n`` highest offsets."""
+        return self._ends(n, True).orderBy(F.desc(OFFSET)).limit(n)
+
+    def oldest(self, n: int) -> DataFrame:
+        return self._ends(n, False).orderBy(OFFSET).limit(n)
+
+    def _ends(self, n: int, newest: bool) -> DataFrame:
+        """Merged rows of the folders that can hold one of the first or last ``n``.
+
+        The pointer knows each folder's offsets and rows, so a top-n of a stored
+        topic reads a few folders at one end of the log. Folders that straddle
+        the boundary count as empty in the sum, which only makes the cut wider.
+        """
+        if self.key or not all(isinstance(s, Table) for s in (self.hot, self.cold)):
+            return self.merged()
+        hot, cold = self.hot.snapshot(), self.cold.snapshot()
+        at = cold.frontier()
+        if at is None or hot.frontier() is None:
+            return self.merged()
+
+        def edge(leaf: Leaf) -> int:
+            return leaf.low if newest else -leaf.high
+
+        def sure(leaf: Leaf) -> bool:
+            return leaf.low > at.get(leaf.values[PARTITION], -1)
+
+        counted = [leaf for leaf in cold.leaves] + [leaf for leaf in hot.leaves if sure(leaf)]
+        total, cut = 0, None
+        for leaf in sorted(counted, key=edge, reverse=True):
+            total += leaf.rows
+            if total >= n:
+                cut = edge(leaf)
+                break
+
+        def reaches(leaf: Leaf) -> bool:
+            return cut is None or (leaf.high >= cut if newest else -leaf.low >= cut)
+
+        def live(leaf: Leaf) -> bool:
+            return reaches(leaf) and leaf.high > at.get(leaf.values[PARTITION], -1)
+
+        return merge_tiers(
+            self._bucketed(self.hot.read(hot, live)),
+            self._bucketed(self.cold.read(cold, reaches)), Frontier(at))
+
     def find(self, field: str, value: Any, expression: str = FIELD,
              indexes: Iterable[OffsetIndex] = ()) -> DataFrame:
         """Merged rows whose ``expression`` over ``field`` equals ``value``, by index."""

@@ -229,7 +229,9 @@ _BODIES: dict[str, str] = {
         GROUP BY event_type""",
     "speed_ratio": """
         SELECT h.kafka_partition, candidate, base,
-               ROUND(CASE WHEN base > 0 THEN candidate / base ELSE 0 END, 6) AS ratio
+               ROUND(CASE WHEN base > 0 THEN candidate / base ELSE 0 END, 6) AS ratio,
+               ROUND(CASE WHEN base > 0 THEN (candidate - base) * 100.0 / base ELSE 0 END, 4)
+                 AS change_pct
         FROM (SELECT kafka_partition, COUNT(*) AS candidate FROM hot GROUP BY 1) h
         JOIN (SELECT kafka_partition, COUNT(*) AS base FROM cold GROUP BY 1) c
         ON h.kafka_partition = c.kafka_partition""",

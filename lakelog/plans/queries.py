@@ -370,6 +370,7 @@ def speed_ratio(spark, sf_dir):
     return hot.join(cold, PARTITION).select(
         PARTITION, "candidate", "base",
         F.round(scalars.ratio(F.col("candidate"), F.col("base")), 6).alias("ratio"),
+        F.round(scalars.percent_change(F.col("candidate"), F.col("base")), 4).alias("change_pct"),
     )
 
 
@@ -378,12 +379,12 @@ def speed_ratio(spark, sf_dir):
 
 @query
 def newest_n(spark, sf_dir):
-    return _merged(spark, sf_dir).select(*EVENT_COLUMNS).orderBy(F.desc(OFFSET)).limit(50)
+    return fx.stored_events(spark, sf_dir).newest(50).select(*EVENT_COLUMNS)
 
 
 @query
 def oldest_n(spark, sf_dir):
-    return _merged(spark, sf_dir).select(*EVENT_COLUMNS).orderBy(OFFSET).limit(5)
+    return fx.stored_events(spark, sf_dir).oldest(5).select(*EVENT_COLUMNS)
 
 
 @query

@@ -252,6 +252,11 @@ class Table:
             self._files.delete(f"{self._pointer.folder}/{v:010d}.json")
         return gone
 
+    def drop(self) -> None:
+        """Delete the table with all its versions."""
+        self._files.delete(self.path)
+        self._seen, self._frame = (0, {}), (0, None)
+
     # ---- parts ---------------------------------------------------------------
 
     def _aligned(self, snap: Snapshot, df: DataFrame) -> DataFrame:
@@ -301,7 +306,7 @@ class Table:
                  F.count(F.lit(1)).alias("rows"))
         )
         # One row per folder just written, the same number the listing above returned.
-        stats = {tuple(row[c] for c in cols): row for row in bounds.toLocalIterator()}
+        stats = {tuple(row[c] for c in cols): row for row in bounds.collect()}
         for leaf in found:
             row = stats[tuple(leaf.values[c] for c in cols)]
             leaf.low, leaf.high, leaf.rows = row["low"], row["high"], row["rows"]

@@ -104,3 +104,17 @@ def test_duplicate_suppression_across_windows(spark):
     for width in (7, 50, 1000):
         got = drop_consecutive_duplicates(df, ["route"], ["x", "y"], width)
         assert values(got, OFFSET) == expect
+
+
+@pytest.mark.parametrize("n", [1, 30, 120, 450, 900])
+def test_top_n_reads_one_end_of_the_log(spark, folder, n):
+    cold, hot = Table(spark, folder + "/c"), Table(spark, folder + "/h")
+    archive.archive(cold, log(spark, 0, 350), 100)
+    archive.archive(hot, log(spark, 220, 800), 100)
+    topic = Topic("t", hot=hot, cold=cold, width=100)
+    assert values(topic.newest(n), OFFSET) == list(range(max(800 - n, 0), 800))
+    assert values(topic.oldest(n), OFFSET) == list(range(min(n, 800)))
+    whole = len(topic.merged().inputFiles())
+    if n <= 30:
+        assert len(topic.newest(n).inputFiles()) < whole / 3
+        assert len(topic.oldest(n).inputFiles()) < whole / 3
