@@ -10,10 +10,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakelog.functions.coords import COORDINATES, OFFSET, PARTITION, TIMESTAMP
+from lakelog.operators.ordering import size_estimate
 from lakelog.sources.store import Table
+from lakelog.sources.workdir import new_folder
 
 KEY_BUCKET = "key_bucket"
 DELETED = "is_deleted"
+BROADCAST_KEYS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 
 
 def payload_names(log: DataFrame) -> list[str]:
@@ -74,16 +78,15 @@ def _newer(cold_part: Column, cold_off: Column, part: Column, off: Column) -> Co
     return cold_off.isNull() | (cold_part != part) | (off >= cold_off)
 
 
-def _fold(cold: DataFrame, log: DataFrame, key: str) -> DataFrame:
-    """One row per key of either side, with ``DELETED`` set where the key is gone.
+def _fold(cold: DataFrame, state: DataFrame, key: str, how: str = "full_outer") -> DataFrame:
+    """Archived rows and newest events, with ``DELETED`` set where the key is gone.
 
-    One full outer join of the archive with one row per live key, instead of an
-    anti join and a union that would scan the live log twice.
+    One join of the archive with one row per live key, instead of an anti join
+    and a union that would scan the live log twice.
     """
-    state = latest(log, key)
-    names = [c for c in cold.columns if c not in (*COORDINATES, KEY_BUCKET, DELETED, key)]
+    names = [c for c in cold.columns if c not in (*COORDINATES, DELETED, key)]
     both = cold.alias("c").join(
-        state.alias("h"), F.col(f"c.{key}") == F.col("h.__key"), "full_outer"
+        state.alias("h"), F.col(f"c.{key}") == F.col("h.__key"), how
     )
     hot_wins = F.col("h.__key").isNotNull() & (
         F.col(f"c.{key}").isNull()
@@ -92,19 +95,38 @@ def _fold(cold: DataFrame, log: DataFrame, key: str) -> DataFrame:
     )
     after = set(state.schema["__after"].dataType.names)
     was_deleted = F.col(f"c.{DELETED}") if DELETED in cold.columns else F.lit(False)
+
+    def pick(name: str) -> Column:
+        if name == KEY_BUCKET:
+            return F.col(f"c.{name}").alias(name)
+        new = F.col(f"h.__after.{name}") if name in after else F.lit(None)
+        return F.when(hot_wins, new).otherwise(F.col(f"c.{name}")).alias(name)
+
     return both.select(
         F.coalesce(F.col(f"c.{key}"), F.col("h.__key")).alias(key),
-        *[F.when(hot_wins, F.col(f"h.__after.{n}") if n in after else F.lit(None))
-          .otherwise(F.col(f"c.{n}")).alias(n) for n in names],
+        *[pick(n) for n in names],
         *[F.when(hot_wins, F.col(f"h.{n}")).otherwise(F.col(f"c.{n}")).alias(n)
           for n in COORDINATES],
         F.when(hot_wins, F.col("h.op") == "d").otherwise(was_deleted).alias(DELETED),
-    ).select(*[n for n in cold.columns if n not in (KEY_BUCKET, DELETED)], DELETED)
+    ).select(*[n for n in cold.columns if n != DELETED], DELETED)
+
+
+def _inserts(state: DataFrame, cold: DataFrame, key: str) -> DataFrame:
+    """Newest events as rows like those of ``cold``."""
+    after = set(state.schema["__after"].dataType.names)
+    types = {f.name: f.dataType for f in cold.schema}
+    return state.select(
+        F.col("__key").alias(key),
+        *[(F.col(f"__after.{n}") if n in after else F.lit(None)).cast(types[n]).alias(n)
+          for n in cold.columns if n not in (*COORDINATES, KEY_BUCKET, DELETED, key)],
+        *COORDINATES, (F.col("op") == "d").alias(DELETED),
+    )
 
 
 def merged(cold: DataFrame, log: DataFrame, key: str) -> DataFrame:
     """Archive and live log as one state: the live event of a key wins."""
-    return _fold(cold, log, key).where(~F.col(DELETED)).drop(DELETED)
+    cold = cold.drop(KEY_BUCKET)
+    return _fold(cold, latest(log, key), key).where(~F.col(DELETED)).drop(DELETED)
 
 
 def key_bucket(key: str, buckets: int) -> Column:
@@ -136,31 +158,48 @@ def roll(table: Table, log: DataFrame, *, keep_deleted: bool = False,
     ``log`` may be one piece of a longer log. With ``keep_deleted`` a deleted
     key stays as a hidden row, so that an older event of that key in a later
     piece does not bring it back; ``forget_deleted`` removes such rows.
+
+    The newest events are written first: the log is read once, and their number
+    is known. If they are few, they go to the archive, which is then neither
+    shuffled nor moved to other folders; else both sides meet in one full join.
     """
     snap = table.snapshot()
     if txn and snap.applied.get(txn[0], -1) >= txn[1]:
         return 0
-    key, buckets = snap.props["key"], snap.props["buckets"]
-    keys = log.select(
-        F.coalesce(F.col(f"after.{key}"), F.col(f"before.{key}"))
-        .cast(snap.schema[key].dataType).alias(key)
-    )
+    spark, key, buckets = table.spark, snap.props["key"], snap.props["buckets"]
+    newest = latest(log, key).withColumn(
+        "__key", F.col("__key").cast(snap.schema[key].dataType))
+    folder = new_folder(spark, "newest")
+    newest.write.parquet(folder)
+    state = spark.read.schema(newest.schema).parquet(folder)
     # At most one row per bucket, and the number of buckets is a table setting.
-    touched = {
-        r[0] for r in keys.select(key_bucket(key, buckets)).distinct().collect()
+    counts = {
+        r["b"]: r["n"] for r in state.groupBy(key_bucket("__key", buckets).alias("b"))
+        .agg(F.count(F.lit(1)).alias("n")).collect()
     }
-    if not touched:
+    if not counts:
         return 0
 
     def hit(leaf) -> bool:
-        return leaf.values[KEY_BUCKET] in touched
+        return leaf.values[KEY_BUCKET] in counts
 
     before = table.read(snap, hit)
-    after = _fold(before, log, key)
+    kept, added = None, None
+    if sum(counts.values()) <= BROADCAST_KEYS and size_estimate(state) <= BROADCAST_BYTES:
+        kept = _fold(before, F.broadcast(state), key, "left")
+        known = before.select(F.col(key).alias("__key")).join(
+            F.broadcast(state.select("__key")), "__key", "left_semi")
+        # ``known`` is a part of the keys in ``state``, so it is as small.
+        fresh = state.join(F.broadcast(known), "__key", "left_anti")
+        added = _inserts(fresh, before, key)
+    else:
+        added = _fold(before.drop(KEY_BUCKET), state, key)
+    added = added.withColumn(KEY_BUCKET, key_bucket(key, buckets))
     if not keep_deleted:
-        after = after.where(~F.col(DELETED))
-    table.replace(after.withColumn(KEY_BUCKET, key_bucket(key, buckets)), hit, txn=txn)
-    return len(touched)
+        added = added.where(~F.col(DELETED))
+        kept = None if kept is None else kept.where(~F.col(DELETED))
+    table.replace(added, hit, unmoved=kept, txn=txn)
+    return len(counts)
 
 
 def newest_events(log: DataFrame, key: str) -> DataFrame:

@@ -106,12 +106,16 @@ class Ordered:
         return reduce(DataFrame.unionByName, branches)
 
 
+def size_estimate(df: DataFrame) -> int:
+    """The optimizer's estimate in bytes; for files it is their size."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def range_tasks(df: DataFrame) -> int:
     """Range partitions for ``df``: the session's shuffle width, or more if the
     optimizer's size estimate would make them larger than ``CHUNK_BYTES``."""
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(width, min(-(-size // CHUNK_BYTES), MOST_CHUNKS))
+    return max(width, min(-(-size_estimate(df) // CHUNK_BYTES), MOST_CHUNKS))
 
 
 def write_ordered(df: DataFrame, order: list[Column], label: str,

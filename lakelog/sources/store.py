@@ -188,7 +188,7 @@ class Table:
             snap.version, df.schema, list(partition_by),
             props={"sort": list(sort), "options": options or {}, **(props or {})},
         )
-        self._add(fresh, df, ranged)
+        self._add(fresh, df, "as_is" if ranged else "rebalance")
         return self._publish(fresh)
 
     def append(self, df: DataFrame, *, txn: tuple[str, int] | None = None,
@@ -197,19 +197,24 @@ class Table:
         snap = self.snapshot()
         if txn and snap.applied.get(txn[0], -1) >= txn[1]:
             return snap
-        self._add(snap, self._aligned(snap, df), ranged)
+        self._add(snap, self._aligned(snap, df), "as_is" if ranged else "rebalance")
         return self._publish(snap, txn, props)
 
     def replace(self, df: DataFrame | None, drop: Callable[[Leaf], bool], *,
-                txn: tuple[str, int] | None = None,
+                unmoved: DataFrame | None = None, txn: tuple[str, int] | None = None,
                 props: dict[str, Any] | None = None) -> Snapshot:
-        """Swap the folders chosen by ``drop`` for the rows of ``df`` (none if None)."""
+        """Swap the folders chosen by ``drop`` for the rows of ``df`` (none if None).
+
+        ``unmoved`` are more rows, which come from this table folder by folder and
+        are written where they are, without a shuffle.
+        """
         snap = self.snapshot()
         if txn and snap.applied.get(txn[0], -1) >= txn[1]:
             return snap
         snap.leaves = [leaf for leaf in snap.leaves if not drop(leaf)]
-        if df is not None:
-            self._add(snap, self._aligned(snap, df), False)
+        for rows, how in ((unmoved, "sort"), (df, "rebalance")):
+            if rows is not None:
+                self._add(snap, self._aligned(snap, rows), how)
         return self._publish(snap, txn, props)
 
     def add_column(self, name: str, dtype: T.DataType, after: str | None = None) -> Snapshot:
@@ -270,14 +275,14 @@ class Table:
             for c in snap.schema
         ])
 
-    def _add(self, snap: Snapshot, df: DataFrame, ranged: bool) -> None:
+    def _add(self, snap: Snapshot, df: DataFrame, how: str) -> None:
         commit = f"commit=c{snap.version + 1:06d}x{uuid.uuid4().hex[:8]}"
         target = f"{self.data}/{commit}"
         cols, sort = snap.partition_by, snap.props.get("sort", [])
-        if not ranged and cols:
+        if how == "rebalance" and cols:
             # AQE sizes the write tasks: small partitions are joined, large ones split.
             df = df.hint("rebalance", *[F.col(c) for c in cols])
-        if not ranged and (cols or sort):
+        if how != "as_is" and (cols or sort):
             df = df.sortWithinPartitions(*cols, *[s for s in sort if s not in cols])
         writer = df.write.mode("errorifexists").options(**snap.props.get("options", {}))
         if cols:

@@ -80,8 +80,37 @@ def test_roll_rewrites_touched_buckets_only(spark, folder):
     assert cdc.roll(table, change_log(spark, []).where("false")) == 0
 
 
+@pytest.mark.parametrize("most", [0, 1_000_000])
+def test_both_ways_to_roll_agree(spark, folder, monkeypatch, most):
+    monkeypatch.setattr(cdc, "BROADCAST_KEYS", most)
+    rng = random.Random(9)
+    events = [("u", rng.randrange(60), 1000 + i, f"s{i}") for i in range(150)]
+    events += [("d", rng.randrange(60), 2000 + i) for i in range(20)]
+    log = change_log(spark, events)
+    expect = {r["OrderID"]: tuple(r) for r in cdc.merged(
+        cold_rows(spark, range(0, 80, 2)), log, "OrderID").collect()}
+    table = Table(spark, folder)
+    cdc.create_archive(table, cold_rows(spark, range(0, 80, 2)), "OrderID", 4)
+    for _ in range(2):
+        cdc.roll(table, log)
+        assert {r["OrderID"]: tuple(r) for r in cdc.read_archive(table).collect()} == expect
+        rows = table.read()
+        assert rows.where(F.col(cdc.KEY_BUCKET) != cdc.key_bucket("OrderID", 4)).count() == 0
+
+
+def test_few_changes_do_not_shuffle_the_archive(spark, folder):
+    table = Table(spark, folder)
+    cdc.create_archive(table, cold_rows(spark, range(100)), "OrderID", 4)
+    state = cdc.latest(change_log(spark, STORY), "OrderID")
+    kept = cdc._fold(table.read(), F.broadcast(state), "OrderID", "left")
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+@pytest.mark.parametrize("most", [0, 1_000_000])
 @pytest.mark.parametrize("seed", range(3))
-def test_pieces_in_any_order_give_the_same_state(spark, folder, seed):
+def test_pieces_in_any_order_give_the_same_state(spark, folder, monkeypatch, seed, most):
+    monkeypatch.setattr(cdc, "BROADCAST_KEYS", most)
     rng = random.Random(seed)
     events, alive = [], {}
     for offset in range(1000, 1080):
