@@ -10,16 +10,20 @@ from pyspark.sql import SparkSession
 SETTING = "spark.checkpoint.dir"
 
 
+_local: dict[str, str] = {}
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``; a temporary one only in local mode."""
     root = spark.conf.get(SETTING, None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {SETTING} to a folder all executors can reach")
-    root = tempfile.mkdtemp(prefix="lakelog-")
-    spark.conf.set(SETTING, root)
-    return root
+    if context.applicationId not in _local:
+        _local[context.applicationId] = tempfile.mkdtemp(prefix="lakelog-")
+    return _local[context.applicationId]
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
