@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakelog.functions.coords import COORDINATES, OFFSET, PARTITION, TIMESTAMP
-from lakelog.operators.ordering import size_estimate
+from lakelog.operators.ordering import input_bytes
 from lakelog.sources.store import Table
 from lakelog.sources.workdir import new_folder
 
@@ -185,7 +185,7 @@ def roll(table: Table, log: DataFrame, *, keep_deleted: bool = False,
 
     before = table.read(snap, hit)
     kept, added = None, None
-    if sum(counts.values()) <= BROADCAST_KEYS and size_estimate(state) <= BROADCAST_BYTES:
+    if sum(counts.values()) <= BROADCAST_KEYS and input_bytes(state) <= BROADCAST_BYTES:
         kept = _fold(before, F.broadcast(state), key, "left")
         known = before.select(F.col(key).alias("__key")).join(
             F.broadcast(state.select("__key")), "__key", "left_semi")

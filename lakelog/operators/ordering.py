@@ -20,7 +20,8 @@ from lakelog.sources.workdir import new_folder
 CHUNK, ROW = "__chunk", "__row"
 LITERAL_BASES = 256
 CHUNK_BYTES = 256 << 20
-MOST_CHUNKS = 50_000  # estimates multiply over joins; more chunks than this help nobody
+MOST_CHUNKS = 50_000
+UNKNOWN_BYTES = 1 << 60
 _ROW_BITS = 33  # monotonically_increasing_id: task number above, row in the task below
 
 
@@ -106,16 +107,21 @@ class Ordered:
         return reduce(DataFrame.unionByName, branches)
 
 
-def size_estimate(df: DataFrame) -> int:
-    """The optimizer's estimate in bytes; for files it is their size."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files that ``df`` reads, as far as the optimizer knows them.
+
+    Sources of unknown size report an absurdly large one and do not count.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(size for size in sizes if size < UNKNOWN_BYTES)
 
 
 def range_tasks(df: DataFrame) -> int:
     """Range partitions for ``df``: the session's shuffle width, or more if the
-    optimizer's size estimate would make them larger than ``CHUNK_BYTES``."""
+    input would make them larger than ``CHUNK_BYTES``."""
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(width, min(-(-size_estimate(df) // CHUNK_BYTES), MOST_CHUNKS))
+    return max(width, min(-(-input_bytes(df) // CHUNK_BYTES), MOST_CHUNKS))
 
 
 def write_ordered(df: DataFrame, order: list[Column], label: str,

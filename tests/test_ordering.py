@@ -18,6 +18,19 @@ def test_dense_number_with_one_dominant_key(spark):
     assert sorted(got) == [(n, k, i) for n, (k, i) in enumerate(want)]
 
 
+def test_width_of_range_chunks(spark, folder, monkeypatch):
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    unknown = spark.createDataFrame([(1,)], "id int")
+    assert ordering.range_tasks(unknown) == width
+    spark.range(100_000).write.parquet(folder)
+    stored = spark.read.parquet(folder)
+    assert ordering.range_tasks(stored.join(stored.withColumnRenamed("id", "j"))) == width
+    monkeypatch.setattr(ordering, "CHUNK_BYTES", 10_000)
+    assert ordering.range_tasks(stored) > width
+    monkeypatch.setattr(ordering, "MOST_CHUNKS", width + 1)
+    assert ordering.range_tasks(stored) == width + 1
+
+
 def test_many_chunks_use_a_small_join(spark, monkeypatch):
     monkeypatch.setattr(ordering, "LITERAL_BASES", 1)
     out = dense_number(spark.range(100).toDF("id"), [F.col("id").desc()], "n", start=5)
