@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as contract
+from lakelog.plans.oracles import statements
+from lakelog.plans.queries import QUERIES
 from tests.compare import connect, same
 
-QUERIES = contract.queries()
-ORACLES = contract.oracle_sql()
+ORACLES = statements()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +17,8 @@ def duck(sf_dir):
 
 def test_every_query_has_a_counterpart():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark):
