@@ -104,9 +104,13 @@ class WordHash:
         self.value = random.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.base = int(random.integers(2**40, 2**62)) * 8 + 5
         self.back = pow(self.base, -1, 2**64)
-        self._tables(1024)
+        self.power = self.inverse = np.empty(0, np.uint64)
+        self.grow(1024)
 
-    def _tables(self, size: int) -> None:
+    def grow(self, size: int) -> None:
+        """Make the tables reach over ``size`` bytes."""
+        if size <= len(self.power):
+            return
         with np.errstate(over="ignore"):
             for name, factor in (("power", self.base), ("inverse", self.back)):
                 table = np.full(size, factor, dtype=np.uint64)
@@ -120,8 +124,7 @@ class WordHash:
             begin = found.starts[at]
             to = max(at + 1, int(np.searchsorted(found.ends, begin + CHUNK, side="right")))
             part = found.data[begin : found.ends[to - 1]]
-            if len(part) >= len(self.power):
-                self._tables(2 * len(part))
+            self.grow(len(part) + 1)
             sums = np.zeros(len(part) + 1, dtype=np.uint64)
             np.cumsum(self.value[part] * self.power[: len(part)], out=sums[1:])
             low, high = found.starts[at:to] - begin, found.ends[at:to] - begin

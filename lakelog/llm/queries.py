@@ -2,17 +2,34 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakelog.llm.bpe import encode
 from lakelog.llm.decontaminate import find_windows
 from lakelog.llm.line_dedup import dedup_lines
+from lakelog.llm.simhash_dedup import near_duplicates
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def token_digests(docs: DataFrame) -> DataFrame:
+    coded = encode(docs, public_tokenizers.path("byte_bpe_50k.json"), round_trip=True, keep_text=False)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     return dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -31,7 +48,13 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES = {
+    "op4_bpe": op4_bpe,
     "op5_line_dedup": op5_line_dedup,
     "op8_decontaminate": op8_decontaminate,
+    "op9_simhash_dedup": op9_simhash_dedup,
 }
