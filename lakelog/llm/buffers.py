@@ -102,7 +102,7 @@ class WordHash:
     def __init__(self, seed: int):
         random = np.random.default_rng(seed)
         self.value = random.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.base = int(random.integers(2**40, 2**62)) * 8 + 5
+        self.base = int(random.integers(2**40, 2**60)) * 8 + 5
         self.back = pow(self.base, -1, 2**64)
         self.power = self.inverse = np.empty(0, np.uint64)
         self.grow(1024)
@@ -113,7 +113,7 @@ class WordHash:
             return
         with np.errstate(over="ignore"):
             for name, factor in (("power", self.base), ("inverse", self.back)):
-                table = np.full(size, factor, dtype=np.uint64)
+                table = np.full(size, np.uint64(factor))
                 table[0] = 1
                 setattr(self, name, np.multiply.accumulate(table))
 

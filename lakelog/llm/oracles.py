@@ -54,7 +54,32 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(x.n_hit, 0) AS n_
 FROM doc d LEFT JOIN word x USING (doc_id) LEFT JOIN named n USING (doc_id)
 """
 
+SUBSTRING_DEDUP = r"""
+WITH doc AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), place AS (
+    SELECT doc_id, p, array_to_string(w[p:p + 12], ' ') AS phrase
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS p FROM doc WHERE len(w) >= 13)
+), first AS (
+    SELECT phrase, min(doc_id) AS owner FROM place GROUP BY phrase HAVING count(DISTINCT doc_id) > 1
+), gone AS (
+    SELECT DISTINCT doc_id, p + i AS p
+    FROM (SELECT place.doc_id, place.p, unnest(range(13)) AS i FROM place JOIN first USING (phrase)
+          WHERE place.doc_id > first.owner)
+), word AS (
+    SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM doc
+), kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+), lost AS (
+    SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(l.n, 0) AS n_removed,
+       sha256(coalesce(k.text, '')) AS kept_sha256
+FROM doc d LEFT JOIN kept k USING (doc_id) LEFT JOIN lost l USING (doc_id)
+"""
+
 ORACLES = {
     "op5_line_dedup": LINE_DEDUP,
+    "op6_substring_dedup": SUBSTRING_DEDUP,
     "op8_decontaminate": DECONTAMINATE,
 }

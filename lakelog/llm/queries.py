@@ -10,6 +10,7 @@ from lakelog.llm.bpe import encode
 from lakelog.llm.decontaminate import find_windows
 from lakelog.llm.line_dedup import dedup_lines
 from lakelog.llm.simhash_dedup import near_duplicates
+from lakelog.llm.substring_dedup import remove_repeats
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -35,6 +36,11 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(_table(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     found = find_windows(docs, _table(spark, sf_dir, "benchmark", "item_id", "text"), keep_text=False)
@@ -55,6 +61,7 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op4_bpe": op4_bpe,
     "op5_line_dedup": op5_line_dedup,
+    "op6_substring_dedup": op6_substring_dedup,
     "op8_decontaminate": op8_decontaminate,
     "op9_simhash_dedup": op9_simhash_dedup,
 }
