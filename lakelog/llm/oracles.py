@@ -78,7 +78,29 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(l.n, 0) AS n_remo
 FROM doc d LEFT JOIN kept k USING (doc_id) LEFT JOIN lost l USING (doc_id)
 """
 
+BASE32 = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'"
+WARC = f"""
+WITH page AS (
+    SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages
+), part AS (
+    SELECT page_id, i, CAST('0x' || hex[5 * i + 1:5 * i + 5] AS BIGINT) AS v
+    FROM (SELECT page_id, hex, unnest(range(8)) AS i FROM page)
+), named AS (
+    SELECT page_id, string_agg(
+        substr({BASE32}, 1 + ((v >> 15) & 31), 1) || substr({BASE32}, 1 + ((v >> 10) & 31), 1)
+        || substr({BASE32}, 1 + ((v >> 5) & 31), 1) || substr({BASE32}, 1 + (v & 31), 1), '' ORDER BY i) AS digest
+    FROM part GROUP BY page_id
+), ranked AS (
+    SELECT page_id, html, min(page_id) OVER (PARTITION BY hex) AS first FROM page
+)
+SELECT r.page_id, CAST(strlen(r.html) AS BIGINT) AS payload_bytes, n.digest AS payload_digest,
+       CASE WHEN r.page_id = r.first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN r.page_id <> r.first THEN r.first END AS refers_to
+FROM ranked r JOIN named n USING (page_id)
+"""
+
 ORACLES = {
+    "op3_warc": WARC,
     "op5_line_dedup": LINE_DEDUP,
     "op6_substring_dedup": SUBSTRING_DEDUP,
     "op8_decontaminate": DECONTAMINATE,

@@ -6,17 +6,41 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakelog.llm import language_id, quality, warc
 from lakelog.llm.bpe import encode
 from lakelog.llm.decontaminate import find_windows
 from lakelog.llm.line_dedup import dedup_lines
 from lakelog.llm.simhash_dedup import near_duplicates
 from lakelog.llm.substring_dedup import remove_repeats
+from lakelog.sources.workdir import new_folder
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    held_out = language_id.bucket_of("doc_id", 4) == 2
+    model = language_id.fit(docs.where(~held_out))
+    found = language_id.identify(docs.select("doc_id", "text"), model, keep_text=False)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "warc")
+    warc.write(_table(spark, sf_dir, "pages", "page_id", "url", "html"), folder)
+    found = warc.read(spark, folder, with_payload=False)
+    page = lambda c: F.regexp_extract(c, "^urn:page:(.+)$", 1).cast("long")
+    return found.select(
+        page("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        page("refers_to").alias("refers_to"),
+    )
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(_table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -58,10 +82,21 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    held_out = language_id.bucket_of("doc_id", 5) == 0
+    labels = _table(spark, sf_dir, "labels", "doc_id", "quality").where(~held_out)
+    found = quality.score(docs, quality.fit(docs, labels), keep_text=False)
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 QUERIES = {
+    "op1_language_id": op1_language_id,
+    "op3_warc": op3_warc,
     "op4_bpe": op4_bpe,
     "op5_line_dedup": op5_line_dedup,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_quality": op7_quality,
     "op8_decontaminate": op8_decontaminate,
     "op9_simhash_dedup": op9_simhash_dedup,
 }
