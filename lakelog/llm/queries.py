@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakelog.llm import language_id, quality, warc
+from lakelog.llm import language_id, quality, suffix_tree_lm, warc
 from lakelog.llm.bpe import encode
 from lakelog.llm.decontaminate import find_windows
 from lakelog.llm.line_dedup import dedup_lines
@@ -27,6 +27,14 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op2_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    train = language_id.bucket_of("doc_id", 5) != 1
+    tree = suffix_tree_lm.fit(docs.where(train))
+    found = suffix_tree_lm.score(docs, tree, train)
+    return found.withColumn("held_out", ~train)
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "warc")
     warc.write(_table(spark, sf_dir, "pages", "page_id", "url", "html"), folder)
@@ -92,6 +100,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_suffix_tree_lm": op2_suffix_tree_lm,
     "op3_warc": op3_warc,
     "op4_bpe": op4_bpe,
     "op5_line_dedup": op5_line_dedup,
