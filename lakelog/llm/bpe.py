@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakelog.llm.buffers import WordHash, mix, pieces
@@ -330,3 +331,15 @@ def decode(tokens: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
             )
 
     return tokens.mapInArrow(run, schema)
+
+
+def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_tokens, ids_sha256, decoded_sha256) of the round trip of every text, as ``encode`` defines it."""
+    narrow = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
+    coded = encode(narrow, path, text_col, round_trip=True, keep_text=False)
+    return coded.select(
+        F.col(f"`{id_col}`"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )

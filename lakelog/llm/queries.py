@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakelog.llm import language_id, quality, suffix_tree_lm, warc
-from lakelog.llm.bpe import encode
+import corpus_pipeline
+from lakelog.llm import embedding_dedup, language_id, quality, suffix_tree_lm, warc
+from lakelog.llm.bpe import digests
 from lakelog.llm.decontaminate import find_windows
 from lakelog.llm.line_dedup import dedup_lines
 from lakelog.llm.simhash_dedup import near_duplicates
@@ -50,17 +51,7 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_digests(_table(spark, sf_dir, "documents", "doc_id", "text"))
-
-
-def token_digests(docs: DataFrame) -> DataFrame:
-    coded = encode(docs, public_tokenizers.path("byte_bpe_50k.json"), round_trip=True, keep_text=False)
-    return coded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    return digests(_table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,6 +89,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_suffix_tree_lm": op2_suffix_tree_lm,
@@ -108,4 +103,6 @@ QUERIES = {
     "op7_quality": op7_quality,
     "op8_decontaminate": op8_decontaminate,
     "op9_simhash_dedup": op9_simhash_dedup,
+    "op10_embedding_dedup": op10_embedding_dedup,
+    "pipeline": corpus_pipeline.run,
 }
