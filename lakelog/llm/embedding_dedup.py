@@ -64,14 +64,14 @@ def _unit(column: pa.ChunkedArray, form: str) -> np.ndarray:
     return raw / np.linalg.norm(raw, axis=1, keepdims=True)
 
 
-PLACED = "label string, dim int, cell int, home boolean, id long, copies long, vec binary"
+PLACED = "label string, dim int, cell int, home boolean, node long, copies long, vec binary"
 
 
 def _assign(angle: float, form: str):
     """Homes and visits of a chunk of vectors among the pivots of their label."""
 
     def run(rows: pa.Table, pivots: pa.Table) -> pa.Table:
-        pivots = pivots.sort_by("id")
+        pivots = pivots.sort_by("node")
         x, p = _unit(rows.column("vec"), form), _unit(pivots.column("vec"), form)
         close = x @ p.T
         turn = np.arccos(np.clip(close, -1, 1))
@@ -90,7 +90,7 @@ def _assign(angle: float, form: str):
                 "dim": picked.column("dim"),
                 "cell": pa.array(cell, pa.int32()),
                 "home": pa.array(cell == home[row]),
-                "id": picked.column("id"),
+                "node": picked.column("node"),
                 "copies": picked.column("copies"),
                 "vec": picked.column("vec"),
             }
@@ -105,13 +105,13 @@ def _compare(threshold: float, form: str):
     def run(rows: pa.Table) -> pa.Table:
         side = rows.column("side").to_numpy()
         left, right = (rows.filter(pa.array(side == s)) for s in (0, 1))
-        own = not right.num_rows  # a block with itself
+        own = rows.column("low")[0] == rows.column("high")[0]  # a block with itself
         right = left if own else right
-        ids = [t.column("id").to_numpy() for t in (left, right)]
+        ids = [t.column("node").to_numpy() for t in (left, right)]
         home = [t.column("home").to_numpy(zero_copy_only=False) for t in (left, right)]
         copies = [t.column("copies").to_numpy() for t in (left, right)]
         if not left.num_rows or not right.num_rows:
-            return pa.table({"id": pa.array([], pa.int64()), "links": pa.array([], pa.int64()), "root": pa.array([], pa.int64())})
+            return pa.table({"node": pa.array([], pa.int64()), "links": pa.array([], pa.int64()), "root": pa.array([], pa.int64())})
         linked = _unit(left.column("vec"), form) @ _unit(right.column("vec"), form).T >= threshold
         linked &= home[0][:, None] | home[1][None, :]
         if own:
@@ -137,7 +137,7 @@ def _compare(threshold: float, form: str):
         some = np.flatnonzero(all_counts)
         return pa.table(
             {
-                "id": pa.array(all_ids[some], pa.int64()),
+                "node": pa.array(all_ids[some], pa.int64()),
                 "links": pa.array(all_counts[some], pa.int64()),
                 "root": pa.array([root(int(a)) for a in all_ids[some]], pa.int64()),
             }
@@ -173,51 +173,48 @@ def near_duplicates(
     )
     valid = rows.where("vec is not null")
     group = ["label", "dim"]
-    classes = stored(
-        valid.groupBy("label", "dim", "vec").agg(F.min("id").alias("id"), F.count("*").alias("copies")), "vectors"
-    )
-    order = F.pmod(F.xxhash64(F.lit(10), "id", "vec"), F.lit(1 << 40))
-    sizes = classes.groupBy(*group).agg(F.count("*").alias("n"), F.min(order).alias("least"))
-    sized = salted_join(classes, sizes, group, "id")
-    chunk = F.pmod(F.xxhash64(F.lit(11), "id", "vec"), F.ceil(F.col("n") / CHUNK)).cast("int")
+    classes = valid.groupBy("label", "dim", "vec").agg(F.min("id").alias("least"), F.count("*").alias("copies"))
+    classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "vectors")
+    order = F.pmod(F.xxhash64(F.lit(10), "node"), F.lit(1 << 40))
+    sizes = classes.groupBy(*group).agg(F.count("*").alias("n"), F.min(order).alias("first"))
+    sized = salted_join(classes, sizes, group, "node")
+    chunks = F.ceil(F.col("n") / CHUNK).cast("int")
     wanted = F.least(F.ceil(F.col("n") / cell), F.lit(PIVOTS))
-    pivot = (order == F.col("least")) | (order / F.lit(float(1 << 40)) < (wanted - 1) / F.col("n"))
-    pivots = sized.where(pivot).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.ceil(F.col("n") / CHUNK).cast("int") - 1)))
+    pivot = (order == F.col("first")) | (order / F.lit(float(1 << 40)) < (wanted - 1) / F.col("n"))
+    pivots = sized.where(pivot).withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1)))
     by = [*group, "chunk"]
-    pivots = pivots.select(*by, "id", "vec").toDF(*by, "id", "vec")  # columns of its own beside those of the vectors
-    chunked = sized.withColumn("chunk", chunk).select(*by, "id", "copies", "vec")
+    pivots = pivots.select(*by, "node", "vec").toDF(*by, "node", "vec")  # columns of its own beside those of the vectors
+    chunked = sized.withColumn("chunk", F.pmod(F.xxhash64(F.lit(11), "node"), chunks).cast("int"))
+    chunked = chunked.select(*by, "node", "copies", "vec")
     placed = stored(
-        chunked.groupBy(*by).cogroup(pivots.groupBy(*by)).applyInArrow(_assign(angle, form), PLACED),
-        "cells",
+        chunked.groupBy(*by).cogroup(pivots.groupBy(*by)).applyInArrow(_assign(angle, form), PLACED), "cells"
     )
 
     place = [*group, "cell"]
     blocks = placed.groupBy(*place).agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    cut = salted_join(placed, blocks, place, "id").withColumn("own", F.pmod(F.xxhash64(F.lit(12), "id", "vec"), "blocks").cast("int"))
+    own_block = F.pmod(F.xxhash64(F.lit(12), "node"), "blocks").cast("int")
+    cut = salted_join(placed, blocks, place, "node").withColumn("own", own_block)
     cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    low, high = F.least("own", "other"), F.greatest("own", "other")
     units = cut.select(
-        *place, low.alias("low"), high.alias("high"), (F.col("own") > F.col("other")).cast("int").alias("side"),
-        "home", "id", "copies", "vec",
+        *place, F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+        (F.col("own") > F.col("other")).cast("int").alias("side"), "home", "node", "copies", "vec",
     )
     found = stored(
-        units.groupBy(*place, "low", "high").applyInArrow(_compare(threshold, form), "id long, links long, root long"),
+        units.groupBy(*place, "low", "high").applyInArrow(_compare(threshold, form), "node long, links long, root long"),
         "embedding-links",
     )
-    counted = found.groupBy("id").agg(F.sum("links").alias("links"))
-    repeated = valid.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id")
-    own = salted_join(
-        valid.join(repeated, "id", "left_semi").withColumnRenamed("id", "node"), classes, ["label", "dim", "vec"], "node"
+    several = valid.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id")
+    named = salted_join(valid.join(several, "id", "left_semi"), classes, ["label", "dim", "vec"], "id").select("id", "node")
+    same_id = named.join(named.groupBy("id").agg(F.min("node").alias("root")).toDF("id", "root"), "id").select("node", "root")
+    roots = components(found.select("node", "root").unionByName(same_id)).toDF("node", "root")
+    rooted = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    smallest = rooted.groupBy("root").agg(F.min("least").alias("component")).toDF("root", "component")
+    counted = found.groupBy("node").agg(F.sum("links").alias("links"))
+    known = rooted.join(smallest, "root").join(counted, "node", "left").select(
+        *group, "vec", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"), "component"
     )
-    edges = found.select("id", "root").unionByName(own.select(F.col("node").alias("id"), F.col("id").alias("root")))
-    roots = components(edges)
-    known = classes.join(counted, "id", "left").join(roots, F.col("id") == F.col("node"), "left")
-    known = known.select(
-        *group, "vec", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"),
-        F.coalesce("root", "id").alias("root"),
-    )
     named = salted_join(rows, known, ["label", "dim", "vec"], "id", "left")
-    component = F.coalesce("root", "id")
+    component = F.coalesce("component", "id")
     return named.select(
         F.col("id").alias(id_col),
         F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
