@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakelog.functions.coords import BUCKET, COORDINATES, OFFSET, PARTITION, with_bucket
-from lakelog.operators.frontier import Frontier
+from lakelog.operators.coverage import Coverage
 from lakelog.operators.ordering import range_tasks
-from lakelog.sources.store import Leaf, Snapshot, Table
+from lakelog.sources.store import Snapshot, Table
 
 
 def _bloom(columns: Sequence[str]) -> dict[str, str]:
@@ -41,43 +41,23 @@ def archive_ordered(table: Table, hot: DataFrame, bloom: Sequence[str] = ()) ->
     return table.create(ordered, ranged=True, options=_bloom(bloom))
 
 
-def append(table: Table, hot: DataFrame, *, by_position: bool = False, late: bool = False,
+def append(table: Table, hot: DataFrame, *, by_position: bool = False,
            txn: tuple[str, int] | None = None) -> Snapshot:
-    """Append the rows that the archive does not have yet.
+    """Append the rows that the archive does not have yet, late ones too.
 
-    The boundary comes from the pointer, so running the job again adds nothing.
-    With ``late`` a row below the boundary is also taken if it is not archived;
-    only archive folders that overlap such rows are read to find out.
-    Columns go by name; ``by_position`` takes them in order, as a plain insert.
+    Running the job again adds nothing, and two jobs at once cannot add the same
+    rows: the second fails with ``CommitConflict``. What is archived is known from
+    the pointer where folders have no gaps; else the coordinates of the folders that
+    overlap are read. Columns go by name; ``by_position`` takes them in order.
     """
     snap = table.snapshot()
     if by_position:
         names = [c for c in snap.schema.names if c != BUCKET]
         hot = hot.drop(BUCKET).toDF(*names)
-    boundary = snap.frontier()
-    reached = Frontier.of(table.read(snap)) if boundary is None else Frontier(boundary)
-    fresh = reached.after(hot)
-    if late:
-        fresh = fresh.unionByName(_missing(table, snap, reached.upto(hot)))
+    fresh = Coverage.of(table, snap).unarchived(hot)
     if "width" in snap.props:
         fresh = with_bucket(fresh.drop(BUCKET), snap.props["width"])
-    return table.append(fresh, txn=txn)
-
-
-def _missing(table: Table, snap: Snapshot, behind: DataFrame) -> DataFrame:
-    """Rows below the boundary whose coordinates the archive does not have."""
-    low, high = Frontier.start_of(behind), Frontier.of(behind)
-    if low.table is None and not low.entries:
-        return behind
-
-    def overlaps(leaf: Leaf) -> bool:
-        if leaf.low is None or low.table is not None or high.table is not None:
-            return True
-        p = leaf.values[PARTITION]
-        return p in low.entries and leaf.high >= low.entries[p] and leaf.low <= high.entries[p]
-
-    have = table.read(snap, overlaps).select(PARTITION, OFFSET)
-    return behind.join(have, [PARTITION, OFFSET], "left_anti").select(*behind.columns)
+    return table.append(fresh, txn=txn, base=snap)
 
 
 def derive(table: Table, source: DataFrame, where: Column, columns: Sequence[Column | str]) -> Snapshot:
@@ -88,23 +68,17 @@ def derive(table: Table, source: DataFrame, where: Column, columns: Sequence[Col
 def trim_hot(hot: Table, cold: Table) -> int:
     """Drop archived rows from the live log and return how many are left.
 
-    Folders entirely below the boundary only leave the pointer; folders that
-    straddle it are rewritten; the rest is not touched.
+    A row goes only if the archive holds it. Folders that the archive covers without a
+    gap only leave the pointer; folders that it may hold parts of are rewritten
+    with the rest; others are not touched.
     """
-    boundary = cold.snapshot().frontier()
-    snap = hot.snapshot()
-
-    def below(leaf: Leaf) -> bool:
-        at = boundary.get(leaf.values[PARTITION])
-        return at is not None and leaf.low <= at
-
-    def straddles(leaf: Leaf) -> bool:
-        return below(leaf) and leaf.high > boundary[leaf.values[PARTITION]]
-
-    rest = None
-    if any(straddles(leaf) for leaf in snap.leaves):
-        rest = Frontier(boundary).after(hot.read(snap, straddles))
-    after = hot.replace(rest, below)
+    coverage, snap = Coverage.of(cold), hot.snapshot()
+    unclear = [leaf for leaf in snap.leaves if not coverage.covers(leaf) and coverage.touches(leaf)]
+    paths = {leaf.path for leaf in unclear}
+    rest = coverage.unarchived(hot.read(snap, lambda leaf: leaf.path in paths), unclear) if unclear else None
+    after = hot.replace(rest, lambda leaf: leaf.path in paths or coverage.covers(leaf), base=snap)
+    if any(leaf.rows is None for leaf in after.leaves):
+        return hot.read(after).count()
     return sum(leaf.rows for leaf in after.leaves)
 
 

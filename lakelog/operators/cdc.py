@@ -83,8 +83,10 @@ def _fold(cold: DataFrame, state: DataFrame, key: str, how: str = "full_outer")
 
     One join of the archive with one row per live key, instead of an anti join
     and a union that would scan the live log twice.
+    Payload fields that only the log has come after the columns of the archive.
     """
     names = [c for c in cold.columns if c not in (*COORDINATES, DELETED, key)]
+    names += _added(cold, state, key)
     both = cold.alias("c").join(
         state.alias("h"), F.col(f"c.{key}") == F.col("h.__key"), how
     )
@@ -100,7 +102,8 @@ def _fold(cold: DataFrame, state: DataFrame, key: str, how: str = "full_outer")
         if name == KEY_BUCKET:
             return F.col(f"c.{name}").alias(name)
         new = F.col(f"h.__after.{name}") if name in after else F.lit(None)
-        return F.when(hot_wins, new).otherwise(F.col(f"c.{name}")).alias(name)
+        old = F.col(f"c.{name}") if name in cold.columns else F.lit(None)
+        return F.when(hot_wins, new).otherwise(old).alias(name)
 
     return both.select(
         F.coalesce(F.col(f"c.{key}"), F.col("h.__key")).alias(key),
@@ -108,7 +111,12 @@ def _fold(cold: DataFrame, state: DataFrame, key: str, how: str = "full_outer")
         *[F.when(hot_wins, F.col(f"h.{n}")).otherwise(F.col(f"c.{n}")).alias(n)
           for n in COORDINATES],
         F.when(hot_wins, F.col("h.op") == "d").otherwise(was_deleted).alias(DELETED),
-    ).select(*[n for n in cold.columns if n != DELETED], DELETED)
+    ).select(*[n for n in cold.columns if n != DELETED], *_added(cold, state, key), DELETED)
+
+
+def _added(cold: DataFrame, state: DataFrame, key: str) -> list[str]:
+    """Payload fields of the log that the archive lacks."""
+    return [n for n in state.schema["__after"].dataType.names if n not in cold.columns and n != key]
 
 
 def _inserts(state: DataFrame, cold: DataFrame, key: str) -> DataFrame:
@@ -159,6 +167,9 @@ def roll(table: Table, log: DataFrame, *, keep_deleted: bool = False,
     key stays as a hidden row, so that an older event of that key in a later
     piece does not bring it back; ``forget_deleted`` removes such rows.
 
+    Payload fields that the archive lacks become columns of it first. The roll starts
+    from one snapshot: another commit meanwhile is a ``CommitConflict``.
+
     The newest events are written first: the log is read once, and their number
     is known. If they are few, they go to the archive, which is then neither
     shuffled nor moved to other folders; else both sides meet in one full join.
@@ -166,6 +177,9 @@ def roll(table: Table, log: DataFrame, *, keep_deleted: bool = False,
     snap = table.snapshot()
     if txn and snap.applied.get(txn[0], -1) >= txn[1]:
         return 0
+    for f in log.schema["after"].dataType:
+        if f.name not in snap.schema.names:
+            snap = table.add_column(f.name, f.dataType)
     spark, key, buckets = table.spark, snap.props["key"], snap.props["buckets"]
     newest = latest(log, key).withColumn(
         "__key", F.col("__key").cast(snap.schema[key].dataType))
@@ -198,7 +212,7 @@ def roll(table: Table, log: DataFrame, *, keep_deleted: bool = False,
     if not keep_deleted:
         added = added.where(~F.col(DELETED))
         kept = None if kept is None else kept.where(~F.col(DELETED))
-    table.replace(added, hit, unmoved=kept, txn=txn)
+    table.replace(added, hit, unmoved=kept, txn=txn, base=snap)
     return len(counts)
 
 
@@ -251,4 +265,4 @@ def forget_deleted(table: Table) -> None:
         def hit(leaf) -> bool:
             return leaf.values[KEY_BUCKET] in dirty
 
-        table.replace(table.read(snap, hit).where(~F.col(DELETED)), hit)
+        table.replace(table.read(snap, hit).where(~F.col(DELETED)), hit, base=snap)

@@ -18,12 +18,11 @@ SALTS = 64
 class Frontier:
     """Offset per log partition; a partition that is absent has not been reached.
 
-    ``entries`` holds the offsets when the number of log partitions was checked
-    to be small enough for the driver; otherwise ``table`` holds them.
+    How the offsets reach the rows depends on their number: as literals, by a
+    broadcast, or by a salted shuffle. The result does not.
     """
 
     entries: dict[int, int] = field(default_factory=dict)
-    table: DataFrame | None = None
 
     @staticmethod
     def of(df: DataFrame) -> Frontier:
@@ -36,10 +35,8 @@ class Frontier:
 
     @staticmethod
     def _fetch(tops: DataFrame) -> Frontier:
-        rows = tops.limit(BROADCAST_ENTRIES + 1).collect()
-        if len(rows) > BROADCAST_ENTRIES:
-            return Frontier(table=tops)
-        return Frontier({r[PARTITION]: r["at"] for r in rows})
+        # One row per log partition; the pointer of a table lists more than that.
+        return Frontier({r[PARTITION]: r["at"] for r in tops.collect()})
 
     def after(self, df: DataFrame) -> DataFrame:
         """Rows of ``df`` beyond the frontier."""
@@ -68,23 +65,20 @@ class Frontier:
 
     @property
     def is_literal(self) -> bool:
-        return self.table is None and len(self.entries) <= LITERAL_ENTRIES
+        return len(self.entries) <= LITERAL_ENTRIES
 
     def _split(self, df: DataFrame, compare: str, unknown: bool) -> DataFrame:
         if self.is_literal:
             return df.where(self.condition(compare, unknown))
-        if self.table is None:
-            small = df.sparkSession.createDataFrame(
-                list(self.entries.items()), "`__p` int, `__at` bigint"
-            )
-            joined = df.join(F.broadcast(small), F.col(PARTITION) == F.col("__p"), "left")
+        known = df.sparkSession.createDataFrame(
+            list(self.entries.items()), "`__p` int, `__at` bigint"
+        )
+        if len(self.entries) <= BROADCAST_ENTRIES:
+            joined = df.join(F.broadcast(known), F.col(PARTITION) == F.col("__p"), "left")
         else:
             # More log partitions than a broadcast should carry: shuffle, with the
             # rows of a busy partition spread over SALTS tasks.
-            salted = self.table.select(
-                F.col(PARTITION).alias("__p"), F.col("at").alias("__at"),
-                F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__s"),
-            )
+            salted = known.withColumn("__s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
             salt = F.pmod(F.xxhash64(OFFSET), F.lit(SALTS)).cast("int")
             joined = df.join(
                 salted, (F.col(PARTITION) == F.col("__p")) & (salt == F.col("__s")), "left"
@@ -93,24 +87,12 @@ class Frontier:
 
     def merge(self, other: Frontier) -> Frontier:
         """The further of both frontiers, partition by partition."""
-        if self.table is not None or other.table is not None:
-            both = self._rows(other).unionByName(other._rows(self))
-            return Frontier(table=both.groupBy(PARTITION).agg(F.max("at").alias("at")))
         top = dict(self.entries)
         for p, at in other.entries.items():
             top[p] = max(top.get(p, at), at)
         return Frontier(top)
 
-    def _rows(self, like: Frontier) -> DataFrame:
-        if self.table is not None:
-            return self.table
-        return like.table.sparkSession.createDataFrame(
-            list(self.entries.items()), f"{PARTITION} int, at bigint"
-        )
-
     def to_json(self) -> dict[str, int]:
-        if self.table is not None:
-            raise ValueError("too many log partitions for a pointer document")
         return {str(p): at for p, at in self.entries.items()}
 
     @staticmethod

@@ -48,24 +48,30 @@ class OffsetIndex:
         self.table = Table(spark, path)
 
     @staticmethod
-    def build(spark: SparkSession, path: str, log: DataFrame, field: str,
+    def build(spark: SparkSession, path: str, log: DataFrame | Table, field: str,
               template: str = FIELD, width: int = 1000,
               upto: Frontier | None = None) -> OffsetIndex:
         """Index ``log`` up to ``upto`` (default: all of it).
 
-        Entries are sorted by value, so that a probe reads a few row groups.
+        Of a table the index also keeps the commits it has seen, so rows that are added
+        later are found and taken in whatever their offsets. Of a frame it knows the
+        offsets only: rows that come late below them are not seen. Entries are sorted by value, so that a probe reads a few row groups.
         """
         if re.search(r"\b(" + "|".join(_UNSTABLE) + r")\b", template, re.IGNORECASE):
             raise ValueError(f"an index needs a deterministic template: {template}")
         if FIELD not in template:
             raise ValueError(f"the template has to use {FIELD}: {template}")
         index = OffsetIndex(spark, path)
+        commits = None
+        if isinstance(log, Table):
+            snap = log.snapshot()
+            log, commits = log.read(snap), sorted({leaf.commit for leaf in snap.leaves})
         reached = upto or Frontier.of(log)
         entries = granules(reached.upto(log), field, template, width)
         index.table.create(
             _by_value(entries), ranged=True,
             props={"field": field, "template": template, "width": width,
-                   "reached": reached.to_json()},
+                   "reached": reached.to_json(), "commits": commits},
         )
         return index
 
@@ -80,17 +86,31 @@ class OffsetIndex:
     def reached(self) -> Frontier:
         return self.pinned().reached
 
-    def refresh(self, log: DataFrame) -> int:
-        """Index the offsets that came since; only those are read."""
-        props = self.props
-        old = Frontier.from_json(props["reached"])
-        fresh = old.after(log)
+    def refresh(self, log: DataFrame | Table) -> int:
+        """Index what came since, and return in how many log partitions.
+
+        Only new offsets of a frame are read, and only new commits of a table.
+        """
+        base = self.table.snapshot()
+        props = base.props
+        old, commits = Frontier.from_json(props["reached"]), props.get("commits")
+        if isinstance(log, Table):
+            if commits is None:
+                raise ValueError("this index was built from a frame and does not know commits")
+            snap = log.snapshot()
+            late = Pinned(self.table, base).unindexed(snap)
+            if not late:
+                return 0
+            fresh = log.read(snap, lambda leaf: leaf.commit in late)
+            commits = sorted({leaf.commit for leaf in snap.leaves})
+        else:
+            fresh = old.after(log)
         new = Frontier.of(fresh)
         if not new.entries:
             return 0
         entries = granules(new.upto(fresh), props["field"], props["template"], props["width"])
-        self.table.append(_by_value(entries), ranged=True,
-                          props={"reached": old.merge(new).to_json()})
+        self.table.append(_by_value(entries), ranged=True, base=base,
+                          props={"reached": old.merge(new).to_json(), "commits": commits})
         return len(new.entries)
 
     def entries(self) -> DataFrame:
@@ -125,6 +145,11 @@ class Pinned:
     def reached(self) -> Frontier:
         return Frontier.from_json(self.snap.props["reached"])
 
+    def unindexed(self, snap: Snapshot) -> set[str]:
+        """Commits of a table that the index has not seen; none if it was built from a frame."""
+        known = self.snap.props.get("commits")
+        return set() if known is None else {leaf.commit for leaf in snap.leaves} - set(known)
+
     def serves(self, field: str, expression: str) -> int:
         """2: indexed as written; 1: equality on the field implies one on the index."""
         props = self.snap.props
@@ -245,18 +270,21 @@ def lookup(log: DataFrame, field: str, value: Any, expression: str = FIELD,
 
 
 def effective_predicate(index: OffsetIndex, field: str, value: Any,
-                        expression: str = FIELD, most: int = 1000) -> dict[str, str]:
-    """The predicate as written and with the blocks it is narrowed to, as text."""
+                        expression: str = FIELD) -> dict[str, str]:
+    """The predicate as written and with the blocks it is narrowed to, as text.
+
+    Blocks that touch are one range. The text is for people: it has a term for each range.
+    """
     original = f"{apply_template(expression, field)} = {sql_literal(value)}"
-    ranges = index.explain(index.probe(expression, value))
-    rows = sorted(
-        ranges.limit(most + 1).collect(), key=lambda r: (r["high"] is None, r[PARTITION], r["low"])
-    )
-    if len(rows) > most:
-        return {"original": original, "effective": original}
+    spans: dict[int, list[tuple[int, int]]] = {}
+    tails = []
+    for r in index.explain(index.probe(expression, value)).collect():
+        if r["high"] is None:
+            tails.append(f"({PARTITION} = {r[PARTITION]} AND {OFFSET} >= {r['low']})")
+        else:
+            spans.setdefault(r[PARTITION], []).append((r["low"], r["high"]))
     parts = [
-        f"({PARTITION} = {r[PARTITION]} AND {OFFSET} >= {r['low']}"
-        + (f" AND {OFFSET} < {r['high']})" if r["high"] is not None else ")")
-        for r in rows
+        f"({PARTITION} = {p} AND {OFFSET} >= {low} AND {OFFSET} < {high})"
+        for p, own in sorted(spans.items()) for low, high in _joined(sorted(own))
     ]
-    return {"original": original, "effective": f"({' OR '.join(parts)}) AND {original}"}
+    return {"original": original, "effective": f"({' OR '.join(parts + sorted(tails))}) AND {original}"}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -12,10 +13,11 @@ from pyspark.sql import functions as F
 from lakelog.functions.coords import BUCKET, OFFSET, PARTITION, with_bucket
 from lakelog.functions.scalars import FIELD
 from lakelog.operators import cdc
+from lakelog.operators.coverage import Coverage
 from lakelog.operators.frontier import Frontier
-from lakelog.operators.index import OffsetIndex, lookup
+from lakelog.operators.index import OffsetIndex, Pinned, choose, predicate
 from lakelog.operators.ordering import with_previous
-from lakelog.sources.store import Leaf, Table
+from lakelog.sources.store import Leaf, Snapshot, Table
 
 Source = Callable[[], DataFrame] | DataFrame | Table
 
@@ -40,17 +42,21 @@ def merge_tiers(hot: DataFrame | None, cold: DataFrame | None,
                 boundary: Frontier | None = None) -> DataFrame:
     """All archived rows plus the hot rows beyond the boundary; no row twice.
 
-    Archived offsets are a prefix of each log partition, so a hot row is new
-    exactly if its offset is above the partition's boundary. A column that one
-    side lacks reads as null, and a topic with one side only is that side.
+    For frames, archived offsets have to be a prefix of each log partition: a hot
+    row is new if its offset is above the partition's boundary. (A stored archive
+    need not be one, see ``coverage``.) A column that one side lacks reads as null,
+    and a topic with one side only is that side.
     """
     if cold is None:
         return hot
     if hot is None:
         return cold
     boundary = boundary or Frontier.of(cold)
-    fresh = boundary.after(hot)
-    order = list(cold.columns) + [c for c in hot.columns if c not in cold.columns]
+    return _union(cold, boundary.after(hot))
+
+
+def _union(cold: DataFrame, fresh: DataFrame) -> DataFrame:
+    order = list(cold.columns) + [c for c in fresh.columns if c not in cold.columns]
     return cold.unionByName(fresh, allowMissingColumns=True).select(*order)
 
 
@@ -76,7 +82,9 @@ class Topic:
         return self._bucketed(_scan(self.hot))
 
     def cold_scan(self) -> DataFrame:
-        """Archived rows as they are stored."""
+        """Archived rows; hidden rows of deleted keys are none."""
+        if self.key and isinstance(self.cold, Table):
+            return cdc.read_archive(self.cold)
         return _scan(self.cold)
 
     def cold_logical(self) -> DataFrame:
@@ -94,56 +102,53 @@ class Topic:
                 return self.cold_scan()
             if self.cold is None:
                 return self.hot_scan()
-            return cdc.merged(self.cold_scan(), _scan(self.hot), self.key)
+            return cdc.merged(_scan(self.cold), _scan(self.hot), self.key)
         if self.hot is None:
             return self.cold_scan()
         if self.cold is None:
             return self.hot_scan()
-        boundary = self.boundary or archived_upto(self.cold)
-        return merge_tiers(self._beyond(boundary), self._bucketed(self.cold_scan()), boundary)
-
-    def _beyond(self, boundary: Frontier) -> DataFrame:
-        """The live side without folders that the archive covers entirely."""
-        if not isinstance(self.hot, Table) or boundary.table is not None:
-            return self.hot_scan()
+        return _union(self._bucketed(self.cold_scan()), self._fresh())
+
+    def _fresh(self) -> DataFrame:
+        """Live rows that the archive does not hold; folders it covers are not listed."""
+        if not isinstance(self.cold, Table):
+            return (self.boundary or archived_upto(self.cold)).after(self.hot_scan())
+        coverage = Coverage.of(self.cold)
+        if not isinstance(self.hot, Table) or self.hot.snapshot().frontier() is None:
+            return self._bucketed(coverage.unarchived(_scan(self.hot)))
         snap = self.hot.snapshot()
-        if snap.frontier() is None:
-            return self.hot_scan()
+        return self._bucketed(self._rest(coverage, snap, [leaf for leaf in snap.leaves if not coverage.covers(leaf)]))
 
-        def beyond(leaf: Leaf) -> bool:
-            at = boundary.entries.get(leaf.values[PARTITION])
-            return at is None or leaf.high > at
-
-        return self._bucketed(self.hot.read(snap, beyond))
+    def _rest(self, coverage: Coverage, snap: Snapshot, leaves: list[Leaf]) -> DataFrame:
+        """Unarchived rows of some folders of the live log."""
+        paths = {leaf.path for leaf in leaves}
+        return coverage.unarchived(self.hot.read(snap, lambda leaf: leaf.path in paths), leaves)
 
     def newest(self, n: int) -> DataFrame:
-        """The merged rows with the ``n`` highest offsets."""
-        return self._ends(n, True).orderBy(F.desc(OFFSET)).limit(n)
+        """The merged rows with the ``n`` highest offsets; of equal ones, of the lowest partitions."""
+        return self._ends(n, True).orderBy(F.desc(OFFSET), PARTITION).limit(n)
 
     def oldest(self, n: int) -> DataFrame:
-        return self._ends(n, False).orderBy(OFFSET).limit(n)
+        return self._ends(n, False).orderBy(OFFSET, PARTITION).limit(n)
 
     def _ends(self, n: int, newest: bool) -> DataFrame:
         """Merged rows of the folders that can hold one of the first or last ``n``.
 
         The pointer knows each folder's offsets and rows, so a top-n of a stored
-        topic reads a few folders at one end of the log. Folders that straddle
-        the boundary count as empty in the sum, which only makes the cut wider.
+        topic reads a few folders at one end of the log. Live folders of which parts may
+        be archived count as empty in the sum, which only makes the cut wider.
         """
         if self.key or not all(isinstance(s, Table) for s in (self.hot, self.cold)):
             return self.merged()
         hot, cold = self.hot.snapshot(), self.cold.snapshot()
-        at = cold.frontier()
-        if at is None or hot.frontier() is None:
+        if cold.frontier() is None or hot.frontier() is None:
             return self.merged()
+        coverage = Coverage.of(self.cold, cold)
 
         def edge(leaf: Leaf) -> int:
             return leaf.low if newest else -leaf.high
 
-        def sure(leaf: Leaf) -> bool:
-            return leaf.low > at.get(leaf.values[PARTITION], -1)
-
-        counted = [leaf for leaf in cold.leaves] + [leaf for leaf in hot.leaves if sure(leaf)]
+        counted = [leaf for leaf in cold.leaves] + [leaf for leaf in hot.leaves if not coverage.touches(leaf)]
         total, cut = 0, None
         for leaf in sorted(counted, key=edge, reverse=True):
             total += leaf.rows
@@ -154,38 +159,37 @@ class Topic:
         def reaches(leaf: Leaf) -> bool:
             return cut is None or (leaf.high >= cut if newest else -leaf.low >= cut)
 
-        def live(leaf: Leaf) -> bool:
-            return reaches(leaf) and leaf.high > at.get(leaf.values[PARTITION], -1)
-
-        return merge_tiers(
-            self._bucketed(self.hot.read(hot, live)),
-            self._bucketed(self.cold.read(cold, reaches)), Frontier(at))
+        live = [leaf for leaf in hot.leaves if reaches(leaf) and not coverage.covers(leaf)]
+        return _union(
+            self._bucketed(self.cold.read(cold, reaches)), self._bucketed(self._rest(coverage, hot, live))
+        )
 
     def find(self, field: str, value: Any, expression: str = FIELD,
              indexes: Iterable[OffsetIndex] = ()) -> DataFrame:
         """Merged rows whose ``expression`` over ``field`` equals ``value``, by index."""
-        indexes = tuple(indexes)
-        width, partitions, boundary, sides = None, None, self.boundary, []
+        match, best = predicate(field, value, expression), choose(indexes, field, expression)
+        if best is None:
+            return self.merged().where(match)
+        return self.candidates(best, best.probe(expression, value)).where(match)
+
+    def candidates(self, index: Pinned, probe: str, live: bool = True) -> DataFrame:
+        """Merged rows among which all matches of a probe are: the blocks that the index
+        names, commits of the archive that it has not seen, and unarchived live rows."""
+        if self.cold is None:
+            return index.prune(self.hot_scan(), probe)
+        sides = []
         if isinstance(self.cold, Table):
             snap = self.cold.snapshot()
-            cold, width, top = self.cold.read(snap), snap.props.get("width"), snap.frontier()
-            if top is not None:
-                partitions, boundary = list(top), boundary or Frontier(top)
-        elif self.cold is not None:
-            cold = self.cold_scan()
-        if self.cold is not None:
-            cold = self._bucketed(cold)
-            sides.append(lookup(cold, field, value, expression, indexes, width, partitions))
-        if self.hot is not None:
-            if self.cold is None:
-                hot = self.hot_scan()
-            else:
-                boundary = boundary or archived_upto(self.cold)
-                hot = boundary.after(self._beyond(boundary))
-            sides.append(lookup(hot, field, value, expression, indexes))
-        if len(sides) == 1:
-            return sides[0]
-        return sides[0].unionByName(sides[1], allowMissingColumns=True)
+            top, late = snap.frontier(), index.unindexed(snap)
+            rows = self._bucketed(self.cold.read(snap, (lambda leaf: leaf.commit not in late) if late else None))
+            sides.append(index.prune(rows, probe, snap.props.get("width"), top and list(top)))
+            if late:
+                sides.append(self._bucketed(self.cold.read(snap, lambda leaf: leaf.commit in late)))
+        else:
+            sides.append(index.prune(self._bucketed(self.cold_scan()), probe))
+        if live and self.hot is not None:
+            sides.append(self._fresh())
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sides)
 
     def tier(self, name: str) -> DataFrame:
         return {

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from lakelog.functions.coords import COORDINATES, OFFSET, PARTITION
 from lakelog.functions.scalars import FIELD
 from lakelog.operators.cdc import DELETED, KEY_BUCKET
-from lakelog.operators.frontier import LITERAL_ENTRIES
+from lakelog.operators.coverage import Coverage
 from lakelog.operators.index import OffsetIndex, choose
 from lakelog.operators.tiers import Topic
 from lakelog.sources.store import Table
@@ -35,6 +35,7 @@ class TierCatalog:
         self.topics = {t.name: t for t in topics}
         self.extra = tuple(extra)
         self.indexes: dict[str, list[OffsetIndex]] = {}
+        self._published: set[tuple[str, str]] = set()
         home = new_folder(spark, "catalog")
         for ns in (*TIERS, *self.extra):
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {ns} LOCATION '{home}/{ns}'")
@@ -57,11 +58,11 @@ class TierCatalog:
     # ---- publishing ----------------------------------------------------------
 
     def publish(self) -> TierCatalog:
-        """Create the views of all topics and drop those of topics that are gone."""
-        for ns in TIERS:
-            for name in self.tables(ns):
-                if name not in self.topics:
-                    self.spark.sql(f"DROP VIEW IF EXISTS {ns}.`{name}`")
+        """Create the views of all topics and drop those that this catalog made for topics it has no more."""
+        for ns, name in self._published:
+            if name not in self.topics:
+                self.spark.sql(f"DROP VIEW IF EXISTS {ns}.`{name}`")
+        self._published = {(ns, name) for ns, name in self._published if name in self.topics}
         for name in self.topics:
             self.refresh(name)
         return self
@@ -70,6 +71,7 @@ class TierCatalog:
         topic = self.topics[name]
         for ns, text in self._views(topic).items():
             self.spark.sql(f"CREATE OR REPLACE VIEW {ns}.`{name}` AS {text}")
+            self._published.add((ns, name))
 
     def _views(self, topic: Topic) -> dict[str, str]:
         if topic.key:
@@ -97,20 +99,14 @@ class TierCatalog:
             )
             return f"SELECT {items} FROM ({table.view_sql(snap)})"
 
-        top = cold.frontier()
-        if top is not None and len(top) <= LITERAL_ENTRIES:
-            known = " OR ".join(
-                f"({PARTITION} = {p} AND {OFFSET} > {at})" for p, at in sorted(top.items())
-            )
-            listed = ", ".join(str(p) for p in sorted(top))
-            fresh = f"({known}) OR {PARTITION} NOT IN ({listed})" if top else "TRUE"
-            return f"{side(topic.cold, cold)} UNION ALL {side(topic.hot, hot)} WHERE {fresh}"
+        coverage = Coverage.of(topic.cold, cold)
+        archived, live = side(topic.cold, cold), side(topic.hot, hot)
+        if not coverage.loose and (spans := coverage.text()):
+            return f"{archived} UNION ALL {live} WHERE NOT ({spans})"
         names = ", ".join(f"h.`{n}`" for n in order)
         return (
-            f"{side(topic.cold, cold)} UNION ALL SELECT {names} FROM ({side(topic.hot, hot)}) h "
-            f"LEFT JOIN (SELECT {PARTITION} AS p, MAX({OFFSET}) AS at "
-            f"FROM ({topic.cold.view_sql(cold)}) GROUP BY {PARTITION}) b "
-            f"ON h.{PARTITION} = b.p WHERE b.at IS NULL OR h.{OFFSET} > b.at"
+            f"{archived} UNION ALL SELECT {names} FROM ({live}) h LEFT ANTI JOIN ({topic.cold.view_sql(cold)}) c "
+            f"ON h.{PARTITION} = c.{PARTITION} AND h.{OFFSET} = c.{OFFSET}"
         )
 
     def _keyed_views(self, topic: Topic) -> dict[str, str]:
@@ -142,8 +138,15 @@ class TierCatalog:
             f"(h.k IS NOT NULL AND (c.`{key}` IS NULL OR c.{PARTITION} <> h.{PARTITION} "
             f"OR h.{OFFSET} >= c.{OFFSET}))"
         )
+        archived = [n for n in topic.cold.snapshot().schema.names if n not in (*COORDINATES, KEY_BUCKET, DELETED)]
+
+        def pick(n: str) -> str:
+            new = f"h.after.`{n}`" if n in payload else "NULL"
+            old = f"c.`{n}`" if n in archived else "NULL"
+            return f"IF({wins}, {new}, {old}) AS `{n}`"
+
         chosen = ", ".join(
-            [f"IF({wins}, h.after.`{n}`, c.`{n}`) AS `{n}`" for n in payload]
+            [pick(n) for n in [*archived, *[n for n in payload if n not in archived]]]
             + [f"IF({wins}, h.{n}, c.{n}) AS {n}" for n in COORDINATES]
         )
         views["merged"] = (
@@ -182,17 +185,14 @@ class TierCatalog:
                 self.spark.catalog.dropTempView(narrowed)
 
     def _narrow(self, tier: str, name: str, expression: str, value: Any) -> DataFrame:
-        rows = self.spark.table(f"{tier}.{name}")
         topic = self.topics[name]
-        width = topic.cold.snapshot().props.get("width") if topic.cold else None
-        # The view unites both sides, so folders are pruned and the rest is filtered.
-        for index in self.indexes.get(name, []):
+        for index in self.indexes.get(name, []) if tier in ("cold", "merged") and not topic.key else []:
             field = index.props["field"]
             template = re.sub(rf"\b{re.escape(field)}\b", lambda _: FIELD, expression)
             best = choose(self.indexes[name], field, template)
             if best is not None:
-                return best.prune(rows, best.probe(template, value), width)
-        return rows
+                return topic.candidates(best, best.probe(template, value), tier == "merged")
+        return self.spark.table(f"{tier}.{name}")
 
     def inventory(self, tier: str | None = None) -> DataFrame:
         """Listed tables with their number of rows: (namespace, table_name, row_count)."""

@@ -271,10 +271,37 @@ def customers(spark: SparkSession, sf_dir: str) -> Topic:
     )
 
 
+@once
+def stored_customers(spark: SparkSession, sf_dir: str) -> Topic:
+    """The same topic with a stored live side."""
+    topic = customers(spark, sf_dir)
+    hot = fresh_table(spark, "hot-customers")
+    archive.archive(hot, topic.hot(), topic.width)
+    return Topic("customers", hot=hot, cold=topic.cold, width=topic.width)
+
+
+def late_events(spark: SparkSession, sf_dir: str) -> Topic:
+    """An archive that lacks a stretch in its middle, beside a live log that has it."""
+    n = events_count(spark, sf_dir)
+    gap = (F.col(OFFSET) >= share(n, 3)) & (F.col(OFFSET) < share(n, 5))
+    cold, hot = fresh_table(spark, "gap-cold"), fresh_table(spark, "gap-hot")
+    width = segment_width(spark, sf_dir)
+    archive.archive(cold, cold_events(spark, sf_dir).where(~gap), width)
+    archive.archive(hot, event_log(spark, sf_dir).where(F.col(OFFSET) >= share(n, 2)), width)
+    return Topic("events", hot=hot, cold=cold, width=width)
+
+
+def evolved_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live change log with a payload field that the archive does not have."""
+    log = hot_orders(spark, sf_dir)
+    risk = F.when(F.col("after").isNotNull(), F.col("after.Amount") / 10)
+    return log.withColumn("after", F.when(F.col("after").isNotNull(), F.col("after").withField("Risk", risk)))
+
+
 def _index(spark: SparkSession, sf_dir: str, template: str) -> OffsetIndex:
     topic = customers(spark, sf_dir)
     return OffsetIndex.build(
-        spark, new_folder(spark, "index"), topic.cold_scan(), "c_name", template,
+        spark, new_folder(spark, "index"), topic.cold, "c_name", template,
         CUSTOMER_BLOCK, Frontier(topic.cold.snapshot().frontier()),
     )
 

@@ -84,7 +84,10 @@ _BODIES: dict[str, str] = {
     "merged_stored": f"SELECT {_EV} FROM L",
     "cdc_deletes": """
         SELECT "OrderID", kafka_partition, kafka_offset AS delete_kafka_offset FROM tombs""",
-    "wide_scan": "SELECT doc_id, text, n_chars FROM documents ORDER BY doc_id LIMIT 10",
+    "wide_scan": "SELECT doc_id, text, n_chars FROM documents",
+    "limit_n": """
+        SELECT least(COUNT(*), 10) AS n, least(COUNT(DISTINCT doc_id), 10) AS different
+        FROM documents""",
     "decode_payload": """
         SELECT event_id, event_type, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
         FROM L""",
@@ -101,13 +104,13 @@ _BODIES: dict[str, str] = {
                (SELECT COUNT(*) FROM cold)
                + (SELECT COUNT(*) FROM C WHERE c_custkey * 10 < n * 9) AS row_count
         UNION ALL SELECT 'deletes', 0, 0
-        UNION ALL SELECT 'hot', 1, (SELECT COUNT(*) FROM hot)
-        UNION ALL SELECT 'merged', 2,
-               (SELECT COUNT(*) FROM L) + (SELECT COUNT(*) FROM C WHERE c_custkey * 10 < n * 9)
+        UNION ALL SELECT 'hot', 2, (SELECT COUNT(*) FROM hot)
+               + (SELECT COUNT(*) FROM C WHERE c_custkey * 10 >= n * 8)
+        UNION ALL SELECT 'merged', 2, (SELECT COUNT(*) FROM L) + (SELECT COUNT(*) FROM C)
         UNION ALL SELECT 'today', 0, 0""",
     "show_tables_merged": """
         SELECT 'merged' AS namespace, 'customers' AS table_name, COUNT(*) AS row_count
-        FROM C WHERE c_custkey * 10 < n * 9
+        FROM C
         UNION ALL SELECT 'merged', 'events', COUNT(*) FROM L""",
     "describe_hot": """
         SELECT 'OrderID' AS col_name, 'bigint' AS data_type, COUNT("OrderID") AS non_null FROM live
@@ -127,7 +130,7 @@ _BODIES: dict[str, str] = {
         SELECT 'merged', event_type, COUNT(*), MIN(kafka_offset) FROM L GROUP BY event_type""",
     "query_in_set_indexed": """
         SELECT c_custkey, c_name, c_acctbal FROM C
-        WHERE c_custkey * 10 < n * 9 AND UPPER(TRIM(c_name)) = 'CUSTOMER#000000042'""",
+        WHERE UPPER(TRIM(c_name)) = 'CUSTOMER#000000042'""",
     # projections and filters
     "project_rename": 'SELECT "OrderID", "Status" AS hotset_status FROM live',
     "filter_eq": f"""SELECT {_OR} FROM live WHERE "Status" = 'SHIPPED'""",
@@ -137,6 +140,10 @@ _BODIES: dict[str, str] = {
         SELECT 'hot' AS source, COUNT(*) AS row_count FROM hot WHERE ts < {_AS_OF}
         UNION SELECT 'cold', COUNT(*) FROM cold WHERE ts < {_AS_OF}
         UNION SELECT 'merged', COUNT(*) FROM L WHERE ts < {_AS_OF}""",
+    "filter_now": """
+        SELECT 'hot' AS source, COUNT(*) AS row_count FROM hot
+        UNION SELECT 'cold', COUNT(*) FROM cold
+        UNION SELECT 'merged', COUNT(*) FROM L""",
     "drop_consecutive_dups": f"""
         SELECT "routeId", kafka_partition, kafka_offset, x, y FROM (
           SELECT *,
@@ -263,6 +270,10 @@ _BODIES: dict[str, str] = {
     "cdc_current": f"SELECT {_OR} FROM live",
     "cdc_merged": f"SELECT {_OR} FROM mergedo",
     "cdc_roll": f"SELECT {_OR} FROM mergedo",
+    "cdc_merged_evolved": f"""
+        SELECT {_OR}, CASE WHEN kafka_offset * 3 >= n THEN "Amount" / 10 END AS "Risk" FROM mergedo""",
+    "cdc_roll_evolved": f"""
+        SELECT {_OR}, CASE WHEN kafka_offset * 3 >= n THEN "Amount" / 10 END AS "Risk" FROM mergedo""",
     "cdc_roll_invariant": f"SELECT {_OR} FROM mergedo",
     # archive jobs
     "archive_ctas": f"""
@@ -276,6 +287,11 @@ _BODIES: dict[str, str] = {
         SELECT {_EV} FROM hot h
         WHERE kafka_offset > (SELECT MAX(c.kafka_offset) FROM cold c
                               WHERE c.kafka_partition = h.kafka_partition)""",
+    "trim_hot_late": f"""
+        SELECT {_EV}, CASE WHEN event_id * 10 < n * 7 AND NOT (event_id * 10 >= n * 3 AND event_id * 10 < n * 5)
+                           THEN 'cold' ELSE 'hot' END AS tier
+        FROM L""",
+    "merged_late": f"SELECT {_EV} FROM L",
     "evolve_cold": """
         SELECT event_id, event_type, value,
                CASE WHEN event_id * 10 >= n * 9 THEN value / 10 END AS risk, kafka_offset FROM L""",
@@ -292,6 +308,9 @@ _BODIES: dict[str, str] = {
     "index_parity": """
         SELECT COUNT(*) AS matches, CAST(0 AS BIGINT) AS differences
         FROM C WHERE SUBSTRING(c_name, 1, 15) = 'Customer#000000'""",
+    "index_lookup_late": f"""
+        SELECT way, {_EV} FROM L, (VALUES ('indexed'), ('plain'), ('refreshed')) w(way)
+        WHERE event_type = 'error'""",
     "index_explain": f"""
         SELECT kafka_partition, granule AS low, granule + 100 AS high
         FROM ({_PREFIX_INDEX} WHERE c_custkey * 10 < n * 9) i WHERE value = 'Customer#000000'

@@ -76,10 +76,24 @@ def cdc_deletes(spark, sf_dir):
     return fx.orders(spark, sf_dir).deletes()
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> Topic:
+    return Topic("documents", hot=lambda: fx.table(spark, sf_dir, "documents").select(
+        "doc_id", "text", "n_chars", F.lit(0).alias(PARTITION), F.col("doc_id").alias(OFFSET)))
+
+
 @query
 def wide_scan(spark, sf_dir):
-    docs = fx.table(spark, sf_dir, "documents")
-    return docs.select("doc_id", "text", "n_chars").orderBy("doc_id").limit(10)
+    """All records of a live topic with large values."""
+    return _documents(spark, sf_dir).hot_scan().select("doc_id", "text", "n_chars")
+
+
+@query
+def limit_n(spark, sf_dir):
+    """Some ten records in no order: how many there are, and that each is one of the topic."""
+    rows = _documents(spark, sf_dir).merged()
+    some = rows.select("doc_id").limit(10)
+    known = some.join(rows.select("doc_id"), "doc_id", "left_semi")
+    return known.agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("different"))
 
 
 @query
@@ -117,10 +131,9 @@ def merged_one_sided(spark, sf_dir):
 
 
 def _catalog(spark: SparkSession, sf_dir: str) -> TierCatalog:
-    """Events on both sides, customers archived only, and an empty namespace."""
-    customers = Topic("customers", cold=fx.customers(spark, sf_dir).cold)
+    """Events and customers on both sides, and an empty namespace."""
     return TierCatalog(
-        spark, [fx.stored_events(spark, sf_dir), customers], extra=["today"]
+        spark, [fx.stored_events(spark, sf_dir), fx.stored_customers(spark, sf_dir)], extra=["today"]
     ).publish()
 
 
@@ -219,6 +232,15 @@ def filter_as_of(spark, sf_dir):
     return reports.tier_counts(tiers, distinct=True)
 
 
+@query
+def filter_now(spark, sf_dir):
+    """Tier counts of the rows older than this moment, which here are all rows."""
+    topic = fx.events(spark, sf_dir)
+    older = F.col("ts") < F.current_timestamp().cast("timestamp_ntz")
+    tiers = {t: topic.tier(t).where(older) for t in ("hot", "cold", "merged")}
+    return reports.tier_counts(tiers, distinct=True)
+
+
 @query
 def drop_consecutive_dups(spark, sf_dir):
     """Positions on a coarse grid; a route that has not left its cell is not repeated."""
@@ -475,6 +497,23 @@ def cdc_roll(spark, sf_dir):
     return cdc.read_archive(target).select(*ORDER_COLUMNS)
 
 
+@query
+def cdc_merged_evolved(spark, sf_dir):
+    """A payload field that only newer events carry is null for archived rows."""
+    topic = Topic("orders", key="OrderID", hot=lambda: fx.evolved_orders(spark, sf_dir),
+                  cold=lambda: fx.cold_orders(spark, sf_dir))
+    return topic.merged().select(*ORDER_COLUMNS, "Risk")
+
+
+@query
+def cdc_roll_evolved(spark, sf_dir):
+    """The same from the archive, which the roll gives the new column."""
+    target = fx.order_archive(spark, sf_dir)
+    cdc.roll(target, fx.evolved_orders(spark, sf_dir))
+    topic = Topic("orders", key="OrderID", cold=target)
+    return topic.merged().select(*ORDER_COLUMNS, "Risk")
+
+
 @query
 def cdc_roll_invariant(spark, sf_dir):
     """The merged view with the rolled archive in place of the old one."""
@@ -525,6 +564,21 @@ def trim_hot(spark, sf_dir):
     return hot.read().select(*EVENT_COLUMNS)
 
 
+@query
+def trim_hot_late(spark, sf_dir):
+    """Both tiers after a trim beside an archive with a gap: how often each row is there."""
+    topic = fx.late_events(spark, sf_dir)
+    archive.trim_hot(topic.hot, topic.cold)
+    return topic.hot.read().select(*EVENT_COLUMNS).withColumn("tier", F.lit("hot")).unionByName(
+        topic.cold.read().select(*EVENT_COLUMNS).withColumn("tier", F.lit("cold")))
+
+
+@query
+def merged_late(spark, sf_dir):
+    """The merged view over an archive with a gap."""
+    return fx.late_events(spark, sf_dir).merged().select(*EVENT_COLUMNS)
+
+
 @query
 def evolve_cold(spark, sf_dir):
     """A new live column is added to the archive, and then the live log is archived."""
@@ -595,6 +649,22 @@ def index_parity(spark, sf_dir):
     )
 
 
+@query
+def index_lookup_late(spark, sf_dir):
+    """Rows archived after the index was built, below its last offset: with the index, without it,
+    and with the index refreshed."""
+    topic = fx.late_events(spark, sf_dir)
+    args = ("event_type", "ERROR", "UPPER($field)")
+    index = OffsetIndex.build(spark, new_folder(spark, "index"), topic.cold, "event_type", args[2])
+    archive.append(topic.cold, topic.hot.read())
+    ways = {"indexed": topic.find(*args, [index]), "plain": topic.find(*args)}
+    index.refresh(topic.cold)
+    ways["refreshed"] = topic.find(*args, [index])
+    return reduce(DataFrame.unionByName, [
+        rows.select(F.lit(way).alias("way"), *EVENT_COLUMNS) for way, rows in ways.items()
+    ])
+
+
 @query
 def index_explain(spark, sf_dir):
     index = fx.prefix_index(spark, sf_dir)

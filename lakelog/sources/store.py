@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -192,9 +192,14 @@ class Table:
         return self._publish(fresh)
 
     def append(self, df: DataFrame, *, txn: tuple[str, int] | None = None,
-               props: dict[str, Any] | None = None, ranged: bool = False) -> Snapshot:
-        """Add rows by column name; a ``txn`` that was applied before is a no-op."""
-        snap = self.snapshot()
+               props: dict[str, Any] | None = None, ranged: bool = False,
+               base: Snapshot | None = None) -> Snapshot:
+        """Add rows by column name; a ``txn`` that was applied before is a no-op.
+
+        ``base`` is the snapshot from which the rows were computed: a commit since then
+        is a ``CommitConflict``. Rows that do not depend on the table need none.
+        """
+        snap = self._start(base)
         if txn and snap.applied.get(txn[0], -1) >= txn[1]:
             return snap
         self._add(snap, self._aligned(snap, df), "as_is" if ranged else "rebalance")
@@ -202,13 +207,14 @@ class Table:
 
     def replace(self, df: DataFrame | None, drop: Callable[[Leaf], bool], *,
                 unmoved: DataFrame | None = None, txn: tuple[str, int] | None = None,
-                props: dict[str, Any] | None = None) -> Snapshot:
+                props: dict[str, Any] | None = None, base: Snapshot | None = None) -> Snapshot:
         """Swap the folders chosen by ``drop`` for the rows of ``df`` (none if None).
 
+        ``base`` is the snapshot that ``df`` was computed from, as for ``append``.
         ``unmoved`` are more rows, which come from this table folder by folder and
         are written where they are, without a shuffle.
         """
-        snap = self.snapshot()
+        snap = self._start(base)
         if txn and snap.applied.get(txn[0], -1) >= txn[1]:
             return snap
         snap.leaves = [leaf for leaf in snap.leaves if not drop(leaf)]
@@ -242,7 +248,7 @@ class Table:
 
         if not any(crowded(leaf) for leaf in snap.leaves):
             return snap
-        return self.replace(self.read(snap, crowded), crowded)
+        return self.replace(self.read(snap, crowded), crowded, base=snap)
 
     def vacuum(self, keep: int = 2) -> list[str]:
         """Delete commits that none of the last ``keep`` versions refers to."""
@@ -264,6 +270,10 @@ class Table:
 
     # ---- parts ---------------------------------------------------------------
 
+    def _start(self, base: Snapshot | None) -> Snapshot:
+        """A snapshot to change: a copy of ``base``, or the current one."""
+        return self.snapshot() if base is None else replace(base)
+
     def _aligned(self, snap: Snapshot, df: DataFrame) -> DataFrame:
         """Columns of ``df`` in table order; one that ``df`` lacks becomes null."""
         extra = set(df.columns) - set(snap.schema.names)

@@ -42,12 +42,12 @@ def archive_stream(stream: DataFrame, cold: Table, checkpoint: str, *, name: str
                    every: str | None = None, compact_after: int | None = None) -> StreamingQuery:
     """Archive at a chosen cadence. Folders spread over many commits are rewritten.
 
-    Files of a feed may be listed out of order, so rows below the boundary are
-    checked against the archive and not skipped.
+    Files of a feed may be listed out of order; rows below the boundary are taken
+    unless the archive has them.
     """
 
     def handle(df: DataFrame, n: int) -> None:
-        archive.append(cold, df, late=True, txn=(name, n))
+        archive.append(cold, df, txn=(name, n))
         if compact_after and (n + 1) % compact_after == 0:
             cold.compact(compact_after)
 

@@ -152,3 +152,17 @@ def test_hot_key_is_combined_before_the_shuffle(spark):
     assert "partial_max_by" in plan
     assert statuses(cdc.current(log, "OrderID"))[1] == "s199"
     assert cdc.current(log, "OrderID").agg(F.count("*")).first()[0] == 100
+
+
+def test_new_payload_fields_reach_merged_and_the_archive(spark, folder):
+    log = change_log(spark, STORY)
+    log = log.withColumn("after", F.when(F.col("after").isNotNull(), F.col("after").withField("risk", F.lit(0.5))))
+    topic = Topic("orders", key="OrderID", hot=log, cold=cold_rows(spark, [1, 2, 5]))
+    assert {r["OrderID"]: r["risk"] for r in topic.merged().collect()} == {1: 0.5, 3: 0.5, 5: None}
+    table = Table(spark, folder)
+    cdc.create_archive(table, cold_rows(spark, [1, 2, 5]), "OrderID", 4)
+    cdc.roll(table, log, keep_deleted=True)
+    kept = Topic("orders", key="OrderID", cold=table)
+    for rows in (kept.merged(), kept.cold_scan(), kept.cold_logical() if kept.hot else kept.cold_scan()):
+        assert {r["OrderID"]: r["risk"] for r in rows.collect()} == {1: 0.5, 3: 0.5, 5: None}
+        assert "is_deleted" not in rows.columns

@@ -121,3 +121,25 @@ def test_lookup_over_tiers_prunes_folders_and_row_groups(spark, folder):
     scan = next(line for line in plan.splitlines() if "offset_bucket" in line and "Pushed" in line)
     assert "offset_bucket" in scan.split("PartitionFilters")[1].split("PushedFilters")[0]
     assert "kafka_offset" in scan.split("PushedFilters")[1]
+
+
+def test_late_rows_are_found_before_and_after_a_refresh(spark, folder):
+    log = people(spark, 400, 2).withColumn("kafka_timestamp", F.lit(None).cast("timestamp_ntz"))
+    cold = Table(spark, folder + "/c")
+    archive.archive(cold, log.where(f"{OFFSET} >= 200"), 100)
+    topic = Topic("people", cold=cold, width=100)
+    idx = OffsetIndex.build(spark, folder + "/i", cold, "Name", "$field", 10)
+    archive.append(cold, log)
+    want = offsets(log.where("Name = '  Name 7'"))
+    assert offsets(topic.find("Name", "  Name 7", "$field", [idx])) == want
+    assert idx.refresh(cold) == 2 and idx.refresh(cold) == 0
+    assert offsets(topic.find("Name", "  Name 7", "$field", [idx])) == want
+    cold.compact()
+    assert offsets(topic.find("Name", "  Name 7", "$field", [idx])) == want
+
+
+def test_effective_predicate_shows_all_ranges(spark, folder):
+    log = people(spark, 6000, 1)
+    idx = OffsetIndex.build(spark, folder, log.where(f"{OFFSET} % 4 < 2"), "Name", "SUBSTRING($field, 1, 3)", 2)
+    shown = index.effective_predicate(idx, "Name", "  N", "SUBSTRING($field, 1, 3)")["effective"]
+    assert shown.count(" AND kafka_offset <") > 1000
