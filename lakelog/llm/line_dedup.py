@@ -1,7 +1,8 @@
 """Line dedup: explode normalised lines, hash them, count distinct documents per hash, drop, reassemble.
 
 DataFrame functions only. The text itself never goes through the line shuffle: lines travel as two 64-bit
-hashes with their position, and come back as one list of dropped positions per document.
+hashes with their position, and come back as one list of dropped positions per document. Counting combines before
+the shuffle, and the lines of one key are looked up in several tasks, so a very common line is no bottleneck.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakelog.llm.common import salted_join
+
 BLANK = " \t\n\x0b\x0c\r"
 
 
@@ -59,7 +62,7 @@ def dedup_lines(
         shared = keyed.groupBy("k1", "k2").agg(F.min("id").alias("owner"), F.count_distinct("id").alias("n"))
         shared = shared.where(F.col("n") >= min_docs)
     dropped = (
-        keyed.join(shared.select("k1", "k2", "owner"), ["k1", "k2"])
+        salted_join(keyed, shared.select("k1", "k2", "owner"), ["k1", "k2"], "id")
         .where("id <> owner")
         .groupBy("id", "t1", "t2")
         .agg(F.collect_set("pos").alias("gone"))
