@@ -31,13 +31,19 @@ def epoch_seconds(millis: Column) -> Column:
     return (millis / 1000).cast("bigint")
 
 
+def _moment(millis: Column) -> Column:
+    """The second of an epoch-milliseconds column in UTC, whatever the session's time zone."""
+    start = F.lit("1970-01-01").cast("timestamp_ntz")
+    return start + F.make_dt_interval(secs=epoch_seconds(millis).cast("decimal(18,6)"))
+
+
 def epoch_text(millis: Column) -> Column:
-    return F.from_unixtime(epoch_seconds(millis))
+    return F.date_format(_moment(millis), "yyyy-MM-dd HH:mm:ss")
 
 
 def hour_text(millis: Column) -> Column:
     """Hour bucket of an epoch-milliseconds column, as text."""
-    return F.date_format(F.timestamp_seconds(epoch_seconds(millis)), "yyyy-MM-dd HH:00")
+    return F.date_format(_moment(millis), "yyyy-MM-dd HH:00")
 
 
 def epoch_millis(ts: Column) -> Column:

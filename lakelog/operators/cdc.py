@@ -63,9 +63,12 @@ def current(log: DataFrame, key: str) -> DataFrame:
 
 def deletes(log: DataFrame, key: str) -> DataFrame:
     """Keys whose newest event is a delete, with the offset of that event."""
-    gone = latest(log, key).where(F.col("op") == "d")
-    return gone.select(
-        F.col("__key").alias(key), PARTITION, F.col(OFFSET).alias("delete_kafka_offset")
+    keyed = log.select(
+        F.coalesce(F.col(f"after.{key}"), F.col(f"before.{key}")).alias(key), "op", PARTITION, OFFSET
+    )
+    last = keyed.groupBy(key).agg(F.max(F.struct(OFFSET, "op", PARTITION)).alias("e"))  # no payload in the shuffle
+    return last.where("e.op = 'd'").select(
+        key, f"e.{PARTITION}", F.col(f"e.{OFFSET}").alias("delete_kafka_offset")
     )
 
 

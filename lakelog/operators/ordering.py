@@ -13,31 +13,35 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakelog.functions.coords import OFFSET, PARTITION, block_start
+from lakelog.functions.coords import OFFSET, PARTITION, TIMESTAMP, block_start
 from lakelog.sources.files import Files
 from lakelog.sources.workdir import new_folder
 
 CHUNK, ROW = "__chunk", "__row"
 LITERAL_BASES = 256
 CHUNK_BYTES = 256 << 20
-MOST_CHUNKS = 50_000
 UNKNOWN_BYTES = 1 << 60
 _ROW_BITS = 33  # monotonically_increasing_id: task number above, row in the task below
 
 
 def with_previous(
-    df: DataFrame, keys: list[str], values: list[str], width: int
+    df: DataFrame, keys: list[str], values: list[str], width: int = 1_000_000,
+    time_block: str | None = None,
 ) -> DataFrame:
     """Add ``previous``: ``values`` of the row before, per key and log partition.
 
+    With ``time_block`` the row before is the one of the key in time, over all log
+    partitions, with the coordinates for equal times.
+
     A key may own any share of the log, so the window runs per block of
-    ``width`` offsets. The last row of a key in a block is added to that key's
+    ``width`` offsets, or of that unit of time. The last row of a key in a block is added to that key's
     next block as a marker row ahead of its offsets.
     """
-    cut = list(dict.fromkeys([*keys, PARTITION]))
+    cut = list(dict.fromkeys([*keys, *([] if time_block else [PARTITION])]))
     block, payload = "__block", F.struct(*values)
-    data = df.withColumn(block, block_start(OFFSET, width))
-    lasts = data.groupBy(*cut, block).agg(F.max_by(payload, F.col(OFFSET)).alias("__carry"))
+    steps = [TIMESTAMP, PARTITION, OFFSET] if time_block else [OFFSET]
+    data = df.withColumn(block, F.date_trunc(time_block, TIMESTAMP) if time_block else block_start(OFFSET, width))
+    lasts = data.groupBy(*cut, block).agg(F.max_by(payload, F.struct(*steps)).alias("__carry"))
     following = Window.partitionBy(*cut).orderBy(block)
     markers = (
         lasts.withColumn("__next", F.lead(block).over(following))
@@ -46,7 +50,7 @@ def with_previous(
     )
     rows = data.withColumn("__carry", payload).withColumn("__marker", F.lit(False))
     everything = rows.unionByName(markers, allowMissingColumns=True)
-    inside = Window.partitionBy(*cut, block).orderBy(F.col(OFFSET).asc_nulls_first())
+    inside = Window.partitionBy(*cut, block).orderBy(F.desc("__marker"), *steps)
     return (
         everything.withColumn("previous", F.lag("__carry").over(inside))
         .where(~F.col("__marker"))
@@ -121,7 +125,7 @@ def range_tasks(df: DataFrame) -> int:
     """Range partitions for ``df``: the session's shuffle width, or more if the
     input would make them larger than ``CHUNK_BYTES``."""
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(width, min(-(-input_bytes(df) // CHUNK_BYTES), MOST_CHUNKS))
+    return max(width, -(-input_bytes(df) // CHUNK_BYTES))
 
 
 def write_ordered(df: DataFrame, order: list[Column], label: str,

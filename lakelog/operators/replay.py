@@ -205,7 +205,7 @@ class ReorderedLog:
         fresh = reached.after(log)
         upto = Frontier.of(fresh)
         start = parts[-1]["start"] + parts[-1]["rows"] if parts else 0
-        if not upto.entries:
+        if not upto.entries and doc.get("schema"):
             return start
         ordered = write_ordered(
             self.rule.select(upto.upto(fresh)), self.rule.order(), "part",
@@ -216,12 +216,20 @@ class ReorderedLog:
                 "folder": ordered.folder, "start": start, "rows": ordered.rows,
                 "bases": ordered.bases, "schema": ordered.schema.jsonValue(),
             }]
-        self._pointer.swap(version, {"parts": parts, "reached": reached.merge(upto).to_json()})
+        self._pointer.swap(version, {
+            "parts": parts, "reached": reached.merge(upto).to_json(), "schema": log.schema.jsonValue(),
+        })
         return start + ordered.rows
 
     def read(self, low: int | None = None, high: int | None = None) -> DataFrame:
-        """All numbered rows, or those with ``low <= number < high``."""
+        """All numbered rows, or those with ``low <= number < high``; none before the first ``extend``
+        has found any."""
         _, doc = self._pointer.load()
+        if not doc:
+            raise ValueError("nothing was numbered yet: call extend first")
+        if not doc["parts"]:
+            schema = T.StructType.fromJson(doc["schema"]).add(REPLAY_OFFSET, T.LongType())
+            return self.spark.createDataFrame([], schema)
         end = doc["parts"][-1]["start"] + doc["parts"][-1]["rows"]
         lo, hi = low or 0, end if high is None else high
         pieces = []
@@ -258,9 +266,18 @@ class ReorderedLog:
 
 
 def read_as_group(group: str, topic: str, tiers: Callable[[str], DataFrame],
-                  rules: RuleBook) -> DataFrame:
-    """The topic as the group sees it; ``replay_offset`` is the raw offset without a rule."""
+                  rules: RuleBook, folder: str | None = None) -> DataFrame:
+    """The topic as the group sees it; ``replay_offset`` is the raw offset without a rule.
+
+    With ``folder`` the group's order is frozen there: a later read sorts and writes
+    only what has come since, and numbers stay as they were.
+    """
     rule = rules.get(group, topic)
     if rule is None:
         return tiers("merged").withColumn(REPLAY_OFFSET, F.col(OFFSET))
-    return reorder(tiers(rule.tier), rule)
+    log = tiers(rule.tier)
+    if folder is None:
+        return reorder(log, rule)
+    frozen = ReorderedLog(log.sparkSession, f"{folder}/{group}-{topic}", rule)
+    frozen.extend(log)
+    return frozen.read()

@@ -205,10 +205,14 @@ class Topic:
 
 
 def drop_consecutive_duplicates(
-    df: DataFrame, keys: list[str], values: list[str], width: int = 1_000_000
+    df: DataFrame, keys: list[str], values: list[str], block: str = "hour"
 ) -> DataFrame:
-    """Rows of a key whose ``values`` differ from the key's previous row in the log."""
-    tagged = with_previous(df, keys, values, width)
+    """Rows of a key whose ``values`` differ from the key's previous row in time.
+
+    Rows of a key may lie in several log partitions; coordinates break ties of time.
+    ``block`` is the stretch of time that one window takes at once.
+    """
+    tagged = with_previous(df, keys, values, time_block=block)
     same = F.col("previous").isNotNull()
     for v in values:
         same = same & F.col(v).eqNullSafe(F.col(f"previous.{v}"))

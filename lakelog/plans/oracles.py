@@ -58,7 +58,7 @@ GROUP BY user_id HAVING MAX(CASE WHEN event_type = 'purchase' THEN ms END) IS NO
 ORDER BY end_ts DESC, "routeId" LIMIT 1
 """
 _CELLS = """
-SELECT user_id AS "routeId", kafka_partition, kafka_offset,
+SELECT user_id AS "routeId", kafka_partition, kafka_offset, kafka_timestamp,
        CAST(FLOOR(value / 20) AS BIGINT) AS x, CAST(FLOOR(value / 40) AS BIGINT) AS y FROM L
 """
 _PREFIX_INDEX = """
@@ -71,7 +71,7 @@ FROM L WHERE event_type = 'error'
 """
 _RATE = """
 ROUND(CAST(100.0 * SUM(CASE WHEN state = 'purchase' THEN 1 ELSE 0 END) AS DOUBLE)
-      / NULLIF(COUNT(*), 0), 2) AS hit_rate_pct
+      / NULLIF(COUNT(*), 0), 2) AS purchase_pct
 """
 
 _BODIES: dict[str, str] = {
@@ -151,17 +151,17 @@ _BODIES: dict[str, str] = {
             AND LAG(x) OVER w IS NOT DISTINCT FROM x
             AND LAG(y) OVER w IS NOT DISTINCT FROM y AS same
           FROM ({_CELLS}) c
-          WINDOW w AS (PARTITION BY "routeId" ORDER BY kafka_offset)) t
+          WINDOW w AS (PARTITION BY "routeId" ORDER BY kafka_timestamp, kafka_partition, kafka_offset)) t
         WHERE NOT same""",
     # joins
     "cold_hot_join": """
         SELECT o."OrderID", o."Status" AS coldset_status
         FROM coldo o JOIN live h ON o."OrderID" = h."OrderID" WHERE h."Status" = 'SHIPPED'""",
     "route_population": """
-        SELECT s."routeId", COUNT(*) AS total_deliveries,
+        SELECT s."routeId", COUNT(*) AS pair_count,
                ROUND(AVG(CASE WHEN s.state = 'purchase' THEN 1.0 ELSE 0.0 END), 3)
-                 AS delivery_efficiency,
-               ROUND(STDDEV_SAMP(g.x) + STDDEV_SAMP(g.y), 6) AS local_area_knowledge
+                 AS delivered_share,
+               ROUND(STDDEV_SAMP(g.x) + STDDEV_SAMP(g.y), 6) AS spread
         FROM stops s JOIN positions g ON s."routeId" = g."routeId" GROUP BY s."routeId" """,
     "route_population_preagg": """
         SELECT s."routeId", n_stops, n_delivered, n_positions, dev_x, dev_y
@@ -183,14 +183,14 @@ _BODIES: dict[str, str] = {
         FROM positions""",
     "event_counts": "SELECT event_type, COUNT(*) AS events FROM L GROUP BY 1 ORDER BY 1",
     "outcome_counts": """
-        SELECT state, COUNT(*) AS shots,
-               CASE WHEN state = 'error' THEN '#E02F44' ELSE '#73BF69' END AS color
-        FROM stops GROUP BY state ORDER BY shots DESC""",
+        SELECT state, COUNT(*) AS stop_count,
+               CASE WHEN state = 'error' THEN 'bad' ELSE 'good' END AS label
+        FROM stops GROUP BY state ORDER BY stop_count DESC""",
     "hit_rate": f"SELECT {_RATE} FROM stops",
     "hit_rate_by_hour": f"""
         SELECT {_HOUR} AS hour_bucket, {_RATE} FROM stops GROUP BY 1 ORDER BY 1""",
     "stops_by_hour": f"""
-        SELECT {_HOUR} AS hour_bucket, COUNT(DISTINCT "routeId") AS sessions, COUNT(*) AS shots
+        SELECT {_HOUR} AS hour_bucket, COUNT(DISTINCT "routeId") AS route_count, COUNT(*) AS stop_count
         FROM stops GROUP BY 1 ORDER BY 1""",
     "latest_completed": _LAST,
     "leaderboard": """
@@ -292,6 +292,13 @@ _BODIES: dict[str, str] = {
                            THEN 'cold' ELSE 'hot' END AS tier
         FROM L""",
     "merged_late": f"SELECT {_EV} FROM L",
+    "bloom_archive": """
+        SELECT 'Customer#000000042' AS name, COUNT(*) AS n FROM C WHERE c_name = 'Customer#000000042'
+        UNION ALL SELECT 'Customer#000000042x', 0""",
+    "housekeeping": "SELECT COUNT(*) AS row_count, 0 AS crowded_folders FROM L",
+    "latest_data": """
+        SELECT COUNT(*) AS n, 'before' AS moment FROM L WHERE event_id * 10 < n * 9
+        UNION ALL SELECT COUNT(*), 'after' FROM L""",
     "evolve_cold": """
         SELECT event_id, event_type, value,
                CASE WHEN event_id * 10 >= n * 9 THEN value / 10 END AS risk, kafka_offset FROM L""",

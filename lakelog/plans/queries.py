@@ -245,11 +245,10 @@ def filter_now(spark, sf_dir):
 def drop_consecutive_dups(spark, sf_dir):
     """Positions on a coarse grid; a route that has not left its cell is not repeated."""
     log = _merged(spark, sf_dir).select(
-        F.col("user_id").alias("routeId"), PARTITION, OFFSET,
+        F.col("user_id").alias("routeId"), PARTITION, OFFSET, TIMESTAMP,
         F.floor(F.col("value") / 20).alias("x"), F.floor(F.col("value") / 40).alias("y"),
     )
-    width = fx.window_width(spark, sf_dir)
-    return drop_consecutive_duplicates(log, ["routeId"], ["x", "y"], width)
+    return drop_consecutive_duplicates(log, ["routeId"], ["x", "y"]).drop(TIMESTAMP)
 
 
 # ---- joins -------------------------------------------------------------------
@@ -313,7 +312,7 @@ def event_counts(spark, sf_dir):
 @query
 def outcome_counts(spark, sf_dir):
     stops = fx.route_stops(_merged(spark, sf_dir))
-    return reports.outcomes(stops, "error", ("#E02F44", "#73BF69"))
+    return reports.outcomes(stops, "error", ("bad", "good"))
 
 
 @query
@@ -414,8 +413,8 @@ def topk_key(spark, sf_dir):
     return fx.orders(spark, sf_dir).merged().select(*ORDER_COLUMNS).orderBy("OrderID").limit(10)
 
 
-def _last_route(spark: SparkSession, sf_dir: str):
-    return latest_completed(spark, sf_dir).first()["routeId"]
+def _last_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latest_completed(spark, sf_dir).select("routeId")
 
 
 @query
@@ -579,6 +578,47 @@ def merged_late(spark, sf_dir):
     return fx.late_events(spark, sf_dir).merged().select(*EVENT_COLUMNS)
 
 
+@query
+def bloom_archive(spark, sf_dir):
+    """A lookup in an archive with bloom filters, and one that they answer without reading rows."""
+    target = fx.fresh_table(spark, "bloom")
+    log = fx.customer_log(spark, sf_dir)
+    archive.archive(target, log, max(1, fx.customer_count(spark, sf_dir)), bloom=["c_name"])
+    rows = target.read()
+    names = ("Customer#000000042", "Customer#000000042x")
+    return reduce(DataFrame.unionByName, [
+        rows.where(F.col("c_name") == name).agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n")
+        for name in names
+    ])
+
+
+@query
+def housekeeping(spark, sf_dir):
+    """An archive that was written in pieces, compacted, and freed of old versions: its rows and folders."""
+    target = fx.archive_events(spark, sf_dir)
+    archive.append(target, fx.hot_events(spark, sf_dir))
+    target.compact()
+    target.vacuum(keep=1)
+    leaves = target.snapshot().leaves
+    crowded = len(leaves) - len({tuple(leaf.values.items()) for leaf in leaves})
+    return target.read().agg(F.count("*").alias("row_count")).withColumn("crowded_folders", F.lit(crowded))
+
+
+@query
+def latest_data(spark, sf_dir):
+    """A topic that was opened first and written to afterwards shows the rows of the moment."""
+    n = fx.events_count(spark, sf_dir)
+    late = F.col(OFFSET) >= fx.share(n, 9)
+    hot = fx.fresh_table(spark, "growing")
+    log, width = fx.hot_events(spark, sf_dir), fx.segment_width(spark, sf_dir)
+    archive.archive(hot, log.where(~late), width)
+    topic = Topic("events", hot=hot, cold=fx.stored_events(spark, sf_dir).cold, width=width)
+    before = topic.merged().agg(F.count("*").alias("n"))
+    archive.append(hot, log.where(late))
+    after = topic.merged().agg(F.count("*").alias("n"))
+    return before.withColumn("moment", F.lit("before")).unionByName(after.withColumn("moment", F.lit("after")))
+
+
 @query
 def evolve_cold(spark, sf_dir):
     """A new live column is added to the archive, and then the live log is archived."""
@@ -754,9 +794,9 @@ def replay_rule(spark, sf_dir):
     """The same topic read by a group with a rule and by one without."""
     book = replay.RuleBook(spark, new_folder(spark, "rules"))
     book.put(replay.Rule("audit", "events", "event_type = 'error'", "ts DESC", "cold"))
-    topic = fx.events(spark, sf_dir)
+    topic, frozen = fx.events(spark, sf_dir), new_folder(spark, "frozen")
     views = [
-        replay.read_as_group(group, "events", topic.tier, book).select(
+        replay.read_as_group(group, "events", topic.tier, book, frozen).select(
             F.lit(group).alias("group_id"), replay.REPLAY_OFFSET, *EVENT_COLUMNS)
         for group in ("audit", "plain")
     ]

@@ -78,24 +78,24 @@ def envelope(df: DataFrame, x: str, y: str) -> DataFrame:
     )
 
 
-def outcomes(stops: DataFrame, missed: str, colors: tuple[str, str]) -> DataFrame:
-    """Stops per state with the color of the state, most frequent first."""
-    color = F.when(F.col("state") == missed, colors[0]).otherwise(colors[1])
+def outcomes(stops: DataFrame, missed: str, labels: tuple[str, str]) -> DataFrame:
+    """Stops per state with the label of the state, most frequent first."""
+    label = F.when(F.col("state") == missed, labels[0]).otherwise(labels[1])
     return (
-        stops.groupBy("state").agg(F.count(F.lit(1)).alias("shots"))
-        .select("state", "shots", color.alias("color"))
-        .orderBy(F.desc("shots"))
+        stops.groupBy("state").agg(F.count(F.lit(1)).alias("stop_count"))
+        .select("state", "stop_count", label.alias("label"))
+        .orderBy(F.desc("stop_count"))
     )
 
 
 def hit_rate(stops: DataFrame, hit: str) -> DataFrame:
-    return stops.agg(percent(F.col("state") == hit).alias("hit_rate_pct"))
+    return stops.agg(percent(F.col("state") == hit).alias("purchase_pct"))
 
 
 def hit_rate_by_hour(stops: DataFrame, hit: str) -> DataFrame:
     bucket = hour_text(F.col("timestamp")).alias("hour_bucket")
     return (
-        stops.groupBy(bucket).agg(percent(F.col("state") == hit).alias("hit_rate_pct"))
+        stops.groupBy(bucket).agg(percent(F.col("state") == hit).alias("purchase_pct"))
         .orderBy("hour_bucket")
     )
 
@@ -104,7 +104,7 @@ def stops_by_hour(stops: DataFrame) -> DataFrame:
     bucket = hour_text(F.col("timestamp")).alias("hour_bucket")
     return (
         stops.groupBy(bucket)
-        .agg(F.countDistinct("routeId").alias("sessions"), F.count(F.lit(1)).alias("shots"))
+        .agg(F.countDistinct("routeId").alias("route_count"), F.count(F.lit(1)).alias("stop_count"))
         .orderBy("hour_bucket")
     )
 
@@ -132,8 +132,9 @@ def leaderboard(events: DataFrame, summary: str, name: Column, path: str) -> Dat
     )
 
 
-def trajectory(positions: DataFrame, route) -> DataFrame:
-    return positions.where(F.col("routeId") == route).orderBy("timestamp")
+def trajectory(positions: DataFrame, route: DataFrame) -> DataFrame:
+    """Positions of the route in the one row of ``route``, in order of time."""
+    return positions.join(F.broadcast(route.select("routeId").limit(1)), "routeId", "left_semi").orderBy("timestamp")
 
 
 def stop_moments(stops: DataFrame, delivered: str) -> DataFrame:
@@ -166,9 +167,9 @@ def route_population(stops: DataFrame, positions: DataFrame, delivered: str) ->
 
     return both.select(
         "routeId",
-        pairs.alias("total_deliveries"),
-        F.round(F.col("n_delivered") / F.col("n_stops"), 3).alias("delivery_efficiency"),
-        F.round(deviation("var_x") + deviation("var_y"), 6).alias("local_area_knowledge"),
+        pairs.alias("pair_count"),
+        F.round(F.col("n_delivered") / F.col("n_stops"), 3).alias("delivered_share"),
+        F.round(deviation("var_x") + deviation("var_y"), 6).alias("spread"),
     )
 
 

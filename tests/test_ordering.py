@@ -27,8 +27,6 @@ def test_width_of_range_chunks(spark, folder, monkeypatch):
     assert ordering.range_tasks(stored.join(stored.withColumnRenamed("id", "j"))) == width
     monkeypatch.setattr(ordering, "CHUNK_BYTES", 10_000)
     assert ordering.range_tasks(stored) > width
-    monkeypatch.setattr(ordering, "MOST_CHUNKS", width + 1)
-    assert ordering.range_tasks(stored) == width + 1
 
 
 def test_many_chunks_use_a_small_join(spark, monkeypatch):

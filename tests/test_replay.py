@@ -113,3 +113,13 @@ def test_gaps_and_contiguity(spark):
 def test_rule_order_text():
     rule = Rule("g", "t", order_by="kafka_timestamp DESC, City")
     assert len(rule.order()) == 4
+
+
+def test_frozen_log_without_rows(spark, folder):
+    frozen = replay.ReorderedLog(spark, folder, replay.Rule("g", "t", "FALSE", "kafka_offset ASC"))
+    with pytest.raises(ValueError):
+        frozen.read()
+    log = spark.range(5).selectExpr("0 AS kafka_partition", "id AS kafka_offset", "CAST(NULL AS timestamp_ntz) AS kafka_timestamp")
+    for rows in (log.where("FALSE"), log):
+        assert frozen.extend(rows) == 0
+        assert frozen.read().columns == [*log.columns, replay.REPLAY_OFFSET] and frozen.read(2, 4).count() == 0

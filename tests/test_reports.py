@@ -17,14 +17,14 @@ def test_population_equals_pairs(spark):
         spark.createDataFrame(places, "routeId string, x double, y double"), "delivered")
     for row in out.collect():
         pairs = [(s, p) for s in stops for p in places if s[0] == p[0] == row["routeId"]]
-        assert row["total_deliveries"] == len(pairs)
+        assert row["pair_count"] == len(pairs)
         share = sum(s[1] == "delivered" for s, _ in pairs) / len(pairs)
-        assert abs(row["delivery_efficiency"] - share) < 0.0006
+        assert abs(row["delivered_share"] - share) < 0.0006
         if len(pairs) == 1:
-            assert row["local_area_knowledge"] is None
+            assert row["spread"] is None
         else:
             dev = sum(statistics.stdev(p[i] for _, p in pairs) for i in (1, 2))
-            assert abs(row["local_area_knowledge"] - dev) < 1e-5
+            assert abs(row["spread"] - dev) < 1e-5
     assert {r["routeId"] for r in out.collect()} == {"a", "b", "solo"}
 
 

@@ -178,6 +178,25 @@ def test_bloom_filter_option_reaches_the_files(spark, folder):
     assert t.read().where("v = 420").count() == 1
 
 
+def test_bloom_filters_skip_row_groups(spark, folder):
+    """A value between the smallest and the largest that no row has: statistics do not rule it out."""
+
+    def rows_read(name, bloom):
+        t = Table(spark, f"{folder}/{name}")
+        data = log(spark, 0, 2000).withColumn("s", F.concat(F.lit("k"), (F.col("v") * 7919 % 100003).cast("string")))
+        data = data.withColumn(PARTITION, F.lit(0)).repartition(1)
+        archive.archive(t, data, 10_000, bloom=bloom)
+        found = t.read().where("s = 'k5x'")
+        assert found.collect() == []
+        leaves = found._jdf.queryExecution().executedPlan().collectLeaves()
+        plan = leaves.head().executedPlan().collectLeaves().head() if "AQE" in leaves.head().nodeName() or (
+            "ShuffleQueryStage" in leaves.head().nodeName()) else leaves.head()
+        return plan.metrics().apply("numOutputRows").value()
+
+    assert rows_read("plain", []) == 2000
+    assert rows_read("bloom", ["s"]) == 0
+
+
 def test_trim_keeps_what_is_not_archived(spark, folder):
     """An archive that begins in the middle of the live log; then one that is filled out of order."""
     cold, hot = Table(spark, folder + "/c"), Table(spark, folder + "/h")

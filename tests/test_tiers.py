@@ -1,3 +1,4 @@
+import datetime as dt
 import random
 
 import pytest
@@ -93,18 +94,21 @@ def test_one_sided_and_evolved(spark):
 
 
 def test_duplicate_suppression_across_windows(spark):
-    """A hot route over many windows, with runs that cross their borders."""
+    """A hot route over many windows and log partitions, with runs that cross their borders."""
     rng = random.Random(7)
-    data = [(rng.choice([1, 1, 1, 2, 3]), 0, o, rng.randrange(2), None) for o in range(400)]
-    df = spark.createDataFrame(data, f"route int, {PARTITION} int, {OFFSET} bigint, x int, y int")
+    start = dt.datetime(2024, 1, 1)
+    data = [(rng.choice([1, 1, 1, 2, 3]), rng.randrange(3), o, start + dt.timedelta(minutes=7 * (o // 2)), rng.randrange(2), None)
+            for o in range(400)]
+    df = spark.createDataFrame(
+        data, f"route int, {PARTITION} int, {OFFSET} bigint, kafka_timestamp timestamp_ntz, x int, y int")
     last, expect = {}, []
-    for route, _, o, x, y in data:
+    for route, _, o, _, x, y in sorted(data, key=lambda d: (d[3], d[1], d[2])):
         if last.get(route, ()) != (x, y):
             expect.append(o)
         last[route] = (x, y)
-    for width in (7, 50, 1000):
-        got = drop_consecutive_duplicates(df, ["route"], ["x", "y"], width)
-        assert values(got, OFFSET) == expect
+    for block in ("minute", "hour", "month"):
+        got = drop_consecutive_duplicates(df, ["route"], ["x", "y"], block)
+        assert values(got, OFFSET) == sorted(expect)
 
 
 @pytest.mark.parametrize("n", [1, 30, 120, 450, 900])
