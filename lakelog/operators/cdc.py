@@ -18,6 +18,7 @@ KEY_BUCKET = "key_bucket"
 DELETED = "is_deleted"
 BROADCAST_KEYS = 1_000_000
 BROADCAST_BYTES = 64 << 20
+FOLD_SHARE = 0.1  # pending bytes to archived bytes at which a fold is worth its rewrite
 
 
 def payload_names(log: DataFrame) -> list[str]:
@@ -242,6 +243,11 @@ def state(table: Table, pending: Table) -> DataFrame:
     return merged(table.read(), pending.read(), key)
 
 
+def fold_is_due(table: Table, pending: Table, share: float = FOLD_SHARE) -> bool:
+    """Whether the pending events have come to ``share`` of the bytes of the archive."""
+    return input_bytes(pending.read()) >= share * input_bytes(table.read())
+
+
 def fold_pending(table: Table, pending: Table, *, txn: tuple[str, int] | None = None) -> int:
     """Roll the pending events into the archive and drop them from ``pending``.
 

@@ -869,7 +869,7 @@ def _change_feed(spark: SparkSession, sf_dir: str):
 def stream_cdc(spark, sf_dir):
     """A change log followed in batches; some are rolled, the last ones pending."""
     stream, target, pending = _change_feed(spark, sf_dir)
-    jobs.roll_stream(stream, target, pending, _checkpoint(spark), roll_after=3)
+    jobs.roll_stream(stream, target, pending, _checkpoint(spark), share=10, roll_after=3)
     return cdc.state(target, pending).select(*ORDER_COLUMNS)
 
 
@@ -877,7 +877,7 @@ def stream_cdc(spark, sf_dir):
 def stream_cdc_state(spark, sf_dir):
     """The same with the newest event per key kept as stream state."""
     stream, target, pending = _change_feed(spark, sf_dir)
-    jobs.latest_stream(stream, "OrderID", target, pending, _checkpoint(spark))
+    jobs.latest_stream(stream, "OrderID", target, pending, _checkpoint(spark), share=10)
     return cdc.state(target, pending).select(*ORDER_COLUMNS)
 
 

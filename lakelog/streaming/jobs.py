@@ -55,27 +55,33 @@ def archive_stream(stream: DataFrame, cold: Table, checkpoint: str, *, name: str
 
 
 def roll_stream(stream: DataFrame, table: Table, pending: Table, checkpoint: str, *,
-                roll_after: int = 16, name: str = "roll",
-                every: str | None = None) -> StreamingQuery:
+                share: float = cdc.FOLD_SHARE, roll_after: int | None = None,
+                name: str = "roll", every: str | None = None) -> StreamingQuery:
     """Follow a change log: ``cdc.state(table, pending)`` is current after each batch.
 
     A batch costs what it holds: its newest events are appended to ``pending``.
-    The archive is rewritten only every ``roll_after`` batches. Deleted keys stay
-    as hidden rows, so batches may come in any order.
+    The archive is rewritten only when the pending events have come to ``share`` of
+    its bytes (and every ``roll_after`` batches, if that is wanted), so what is
+    written stays in proportion to what has changed. Deleted keys stay as hidden
+    rows, so batches may come in any order.
     """
     key = pending.snapshot().props["key"]
 
     def handle(df: DataFrame, n: int) -> None:
         pending.append(cdc.newest_events(df, key), txn=(name, n))
-        if (n + 1) % roll_after == 0:
+        if _due(table, pending, share, roll_after, n):
             cdc.fold_pending(table, pending, txn=(f"{name}-fold", n))
 
     return run(stream, handle, checkpoint, every=every)
 
 
+def _due(table: Table, pending: Table, share: float, roll_after: int | None, n: int) -> bool:
+    return bool(roll_after and (n + 1) % roll_after == 0) or cdc.fold_is_due(table, pending, share)
+
+
 def latest_stream(stream: DataFrame, key: str, table: Table, pending: Table, checkpoint: str,
-                  *, roll_after: int = 16, name: str = "latest",
-                  every: str | None = None) -> StreamingQuery:
+                  *, share: float = cdc.FOLD_SHARE, roll_after: int | None = None,
+                  name: str = "latest", every: str | None = None) -> StreamingQuery:
     """Like ``roll_stream``, with the newest event per key kept as stream state.
 
     The state store decides which event is the newest, so only keys that a batch
@@ -84,7 +90,7 @@ def latest_stream(stream: DataFrame, key: str, table: Table, pending: Table, che
 
     def handle(df: DataFrame, n: int) -> None:
         pending.append(df, txn=(name, n))
-        if (n + 1) % roll_after == 0:
+        if _due(table, pending, share, roll_after, n):
             cdc.fold_pending(table, pending, txn=(f"{name}-fold", n))
 
     newest = cdc.newest_events(stream, key)

@@ -90,3 +90,22 @@ def test_payload_that_does_not_fit_gives_nulls(spark):
     df = spark.createDataFrame([(1, '{"k": 5, "s": "a"}'), (2, "oops"), (3, None)], "id int, body string")
     rows = {r["id"]: (r["k"], r["s"]) for r in decode_payload(df, "body", "k INT, s STRING").collect()}
     assert rows == {1: (5, "a"), 2: (None, None), 3: (None, None)}
+
+
+def test_small_batches_do_not_rewrite_the_archive(spark, folder):
+    """Keys of all buckets change, yet the archive stays until the changes have come to a tenth of it."""
+    table, pending = Table(spark, folder + "/a"), Table(spark, folder + "/p")
+    cdc.create_archive(table, cold_rows(spark, range(20_000)), "OrderID", 8)
+    events = [("u", k * 7 % 20_000, 20_000 + k, f"S{k}") for k in range(3_000)]
+    log = change_log(spark, events)
+    cdc.create_pending(pending, log, "OrderID")
+    written, folds = set(), 0
+    for n in range(6):
+        part = log.where(f"kafka_offset >= {20_000 + 500 * n} AND kafka_offset < {20_500 + 500 * n}")
+        pending.append(cdc.newest_events(part, "OrderID"), txn=("t", n))
+        if cdc.fold_is_due(table, pending, 0.9):
+            folds += cdc.fold_pending(table, pending, txn=("f", n)) > 0
+        written |= {leaf.path for leaf in table.snapshot().leaves}
+    assert folds <= 2 and len(written) <= 8 * (1 + folds)
+    want = {k: "PENDING" for k in range(20_000)} | {e[1]: e[3] for e in events}
+    assert statuses(cdc.state(table, pending)) == want
