@@ -144,13 +144,15 @@ def replays(spark: SparkSession, times: dict[str, float], gates: dict[str, objec
     times["replay_drain_2m"] = seconds(lambda: drain(frozen.read()))
     total = n * copies
     pages, position = [], 0
-    while position < total:
-        start = time.perf_counter()
-        rows = frozen.page(position, PAGE).toPandas()
+    start = time.perf_counter()
+    for page in frozen.pages(0, PAGE):
+        rows = page.to_pandas()
         pages.append(time.perf_counter() - start)
         assert rows[replay.REPLAY_OFFSET].iloc[0] == position
         assert rows[replay.REPLAY_OFFSET].is_monotonic_increasing
         position += len(rows)
+        start = time.perf_counter()
+    assert position == total
     ordered = sorted(pages)
     times["replay_pages_2m"] = sum(pages)
     gates["replay_records"] = total

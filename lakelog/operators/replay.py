@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import asdict, dataclass
 from functools import reduce
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -260,6 +261,19 @@ class ReorderedLog:
         rows = self.read(position, position + size)
         return rows.repartition(1).sortWithinPartitions(REPLAY_OFFSET)
 
+    def pages(self, position: int, size: int, ahead: int = 5) -> Iterator[pa.Table]:
+        """Pages of ``size`` records from a position to the end, in order, ``ahead`` of them by one job.
+
+        The caller holds ``size * ahead`` records at a time.
+        """
+        while True:
+            rows = self.read(position, position + size * ahead).toArrow().sort_by(REPLAY_OFFSET)
+            for at in range(0, rows.num_rows, size):
+                yield rows.slice(at, size)
+            position += rows.num_rows
+            if rows.num_rows < size * ahead:
+                return
+
     def resume(self, progress: Progress, size: int) -> DataFrame:
         at = progress.position(self.rule.group, self.rule.topic).get(0, 0)
         return self.page(at, size)

@@ -115,6 +115,19 @@ def test_rule_order_text():
     assert len(rule.order()) == 4
 
 
+def test_pages_ahead(spark, folder):
+    frozen = ReorderedLog(spark, folder, Rule("g", "t", None, "v DESC"))
+    log = spark.range(53).selectExpr("0 AS kafka_partition", "id AS kafka_offset", "id * 7 % 53 AS v",
+                                     "CAST(NULL AS timestamp_ntz) AS kafka_timestamp")
+    frozen.extend(log.where("kafka_offset < 30"))
+    frozen.extend(log)
+    for size, ahead in ((5, 2), (53, 1), (10, 9)):
+        pages = [p.column(replay.REPLAY_OFFSET).to_pylist() for p in frozen.pages(3, size, ahead)]
+        assert [n for page in pages for n in page] == list(range(3, 53))
+        assert all(len(page) == size for page in pages[:-1])
+    assert list(frozen.pages(53, 5)) == []
+
+
 def test_frozen_log_without_rows(spark, folder):
     frozen = replay.ReorderedLog(spark, folder, replay.Rule("g", "t", "FALSE", "kafka_offset ASC"))
     with pytest.raises(ValueError):
