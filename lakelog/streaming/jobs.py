@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from lakelog.functions.coords import BUCKET, with_bucket
 from lakelog.operators import archive, cdc
 from lakelog.operators.frontier import Frontier
 from lakelog.sources.store import Table
@@ -33,9 +34,21 @@ def run(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint:
 
 
 def ingest(stream: DataFrame, hot: Table, checkpoint: str, *, name: str = "ingest",
-           every: str | None = None) -> StreamingQuery:
-    """Keep the live table current: each micro-batch becomes one commit."""
-    return run(stream, lambda df, n: hot.append(df, txn=(name, n)), checkpoint, every=every)
+           every: str | None = None, compact_after: int | None = None) -> StreamingQuery:
+    """Keep the live table current: each micro-batch becomes one commit.
+
+    A table laid out by partition and offset block (``archive.archive``) stays so, and
+    with ``compact_after`` folders spread over more commits than that are joined. As the log
+    moves on, only its youngest blocks are.
+    """
+
+    def handle(df: DataFrame, n: int) -> None:
+        width = hot.snapshot().props.get("width")
+        hot.append(with_bucket(df.drop(BUCKET), width) if width else df, txn=(name, n))
+        if compact_after and (n + 1) % compact_after == 0:
+            hot.compact(compact_after)
+
+    return run(stream, handle, checkpoint, every=every)
 
 
 def archive_stream(stream: DataFrame, cold: Table, checkpoint: str, *, name: str = "archive",

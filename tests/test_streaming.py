@@ -92,6 +92,17 @@ def test_payload_that_does_not_fit_gives_nulls(spark):
     assert rows == {1: (5, "a"), 2: (None, None), 3: (None, None)}
 
 
+def test_ingest_keeps_the_layout_and_joins_small_folders(spark, folder):
+    hot = Table(spark, folder + "/hot")
+    archive.archive(hot, log(spark, 0, 0), 1000)
+    stream = feed(spark, folder + "/src", [log(spark, 10 * k, 10 * k + 10) for k in range(6)])
+    jobs.ingest(stream(), hot, folder + "/ck", compact_after=2)
+    assert values(hot.read(), OFFSET) == list(range(60))
+    leaves = hot.snapshot().leaves
+    assert all(leaf.low is not None for leaf in leaves)
+    assert len(leaves) <= 2 * len({tuple(leaf.values.items()) for leaf in leaves})
+
+
 def test_small_batches_do_not_rewrite_the_archive(spark, folder):
     """Keys of all buckets change, yet the archive stays until the changes have come to a tenth of it."""
     table, pending = Table(spark, folder + "/a"), Table(spark, folder + "/p")
