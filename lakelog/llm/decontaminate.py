@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakelog.llm.buffers import LOWER, NOT_ALNUM, WordHash, Words, cover, pieces, text_bytes, window_hash, words
+from lakelog.llm.common import stored
 
 WINDOW = 10
 SLICE = 200_000  # windows in one broadcast, about 100 bytes each
@@ -144,7 +145,7 @@ def find_windows(
         last = k == slices - 1
         state = _pass(state, shared, text_col, keep_text or not last)
         if not last:  # one set in memory at a time; the next scan drops what this one counted
-            state = state.drop("n_words", "n_hit").checkpoint()
+            state = stored(state.drop("n_words", "n_hit"), "windows")
     return state
 
 

@@ -21,10 +21,11 @@ from pyspark.sql import types as T
 from lakelog.llm.common import salted_join, stored
 from lakelog.llm.graph import components
 
-CELL = 2048  # vectors for each pivot
+CELL = 4096  # vectors for each pivot
 PIVOTS = 512  # about the most pivots of a label
 CHUNK = 8192  # vectors that are assigned to cells at a time
-BLOCK = 2048  # members that are compared with as many others at a time
+BLOCK = 4096  # members that are compared with as many others at a time: 134 MB of cosines
+STRIPE = 256  # rows of a link matrix that are searched at a time
 SLACK = 1e-9
 
 
@@ -99,6 +100,30 @@ def _assign(angle: float, form: str):
     return run
 
 
+def _roots(linked: np.ndarray, ids: list[np.ndarray], own: bool) -> np.ndarray:
+    """For the rows and then the columns of a link matrix the smallest id of their component."""
+    rows, columns = np.flatnonzero(linked.any(axis=1)), np.flatnonzero(linked.any(axis=0))
+    some = linked[np.ix_(rows, columns)]
+    place = [rows, columns if own else columns + len(ids[0])]  # a block with itself has each vector once
+    label = np.arange(len(ids[0]) + len(ids[1]))
+
+    def least(links: np.ndarray, of: np.ndarray) -> np.ndarray:
+        parts = [np.where(links[k : k + STRIPE], of, len(label)).min(axis=1) for k in range(0, len(links), STRIPE)]
+        return np.concatenate(parts) if parts else np.empty(0, np.int64)
+
+    while len(rows):
+        before = label.copy()
+        label[place[0]] = np.minimum(label[place[0]], least(some, label[place[1]]))
+        label[place[1]] = np.minimum(label[place[1]], least(some.T, label[place[0]]))
+        label = label[label]
+        if (before == label).all():
+            break
+    all_ids = np.concatenate(ids)
+    smallest = np.full(len(label), np.iinfo(np.int64).max)
+    np.minimum.at(smallest, label, all_ids)
+    return smallest[label]
+
+
 def _compare(threshold: float, form: str):
     """Links between two blocks of a cell: how many each vector has, and a spanning forest."""
 
@@ -119,27 +144,14 @@ def _compare(threshold: float, form: str):
         counts = [linked @ copies[1], copies[0] @ linked]
         if own:
             counts[1] = np.zeros_like(counts[1])
-            linked = np.triu(linked)
-        parent: dict[int, int] = {}
-
-        def root(a: int) -> int:
-            while (up := parent.get(a, a)) != a:
-                parent[a] = parent.get(up, up)
-                a = parent[a]
-            return a
-
-        for i in np.flatnonzero(linked.any(axis=1)).tolist():
-            for j in np.flatnonzero(linked[i]).tolist():
-                a, b = root(int(ids[0][i])), root(int(ids[1][j]))
-                if a != b:
-                    parent[max(a, b)] = min(a, b)
+        roots = _roots(linked, ids, own)
         all_ids, all_counts = np.concatenate(ids), np.concatenate(counts)
         some = np.flatnonzero(all_counts)
         return pa.table(
             {
                 "node": pa.array(all_ids[some], pa.int64()),
                 "links": pa.array(all_counts[some], pa.int64()),
-                "root": pa.array([root(int(a)) for a in all_ids[some]], pa.int64()),
+                "root": pa.array(roots[some], pa.int64()),
             }
         )
 
