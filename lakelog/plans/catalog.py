@@ -47,9 +47,9 @@ class TierCatalog:
         return sorted(known & {*TIERS, *self.extra})
 
     def tables(self, namespace: str) -> list[str]:
-        return sorted(
-            t.name for t in self.spark.catalog.listTables(namespace) if not t.isTemporary
-        )
+        """Tables of a namespace; of a tier, those that this catalog has published."""
+        names = [t.name for t in self.spark.catalog.listTables(namespace) if not t.isTemporary]
+        return sorted(n for n in names if namespace not in TIERS or (namespace, n) in self._published)
 
     def describe(self, namespace: str, name: str) -> list[tuple[str, str]]:
         schema = self.spark.table(f"{namespace}.{name}").schema

@@ -96,3 +96,14 @@ def test_stale_topics_are_dropped(catalog):
     del catalog.topics["clicks"]
     catalog.publish()
     assert "clicks" not in catalog.tables("merged")
+
+
+def test_a_second_catalog_leaves_the_first_alone(spark, folder, catalog):
+    only = Table(spark, folder + "/only")
+    only.create(log(spark, 0, 3))
+    other = TierCatalog(spark, [Topic("other", hot=only)]).publish()
+    assert other.tables("hot") == ["other"]
+    other.topics.clear()
+    other.publish()
+    assert other.tables("hot") == [] and catalog.tables("hot") == ["clicks", "orders", "trades"]
+    assert spark.table("hot.trades").count() == 200
