@@ -183,9 +183,11 @@ def near_duplicates(
             vectors[f"`{vec_col}`"].alias("vec"),
         )
     )
+    # A vector is told by 128 bits of its components where only its class is looked up.
+    rows = rows.withColumn("h1", F.xxhash64("vec")).withColumn("h2", F.xxhash64(F.lit(7), "vec"))
     valid = rows.where("vec is not null")
-    group = ["label", "dim"]
-    classes = valid.groupBy("label", "dim", "vec").agg(F.min("id").alias("least"), F.count("*").alias("copies"))
+    group, same_vec = ["label", "dim"], ["label", "dim", "h1", "h2"]
+    classes = valid.groupBy(*same_vec, "vec").agg(F.min("id").alias("least"), F.count("*").alias("copies"))
     classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "vectors")
     order = F.pmod(F.xxhash64(F.lit(10), "node"), F.lit(1 << 40))
     sizes = classes.groupBy(*group).agg(F.count("*").alias("n"), F.min(order).alias("first"))
@@ -216,16 +218,17 @@ def near_duplicates(
         "embedding-links",
     )
     several = valid.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id")
-    named = salted_join(valid.join(several, "id", "left_semi"), classes, ["label", "dim", "vec"], "id").select("id", "node")
+    again = valid.select("id", *same_vec).join(several, "id", "left_semi")
+    named = salted_join(again, classes.select(*same_vec, "node"), same_vec, "id").select("id", "node")
     same_id = named.join(named.groupBy("id").agg(F.min("node").alias("root")).toDF("id", "root"), "id").select("node", "root")
     roots = components(found.select("node", "root").unionByName(same_id)).toDF("node", "root")
     rooted = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component")).toDF("root", "component")
     counted = found.groupBy("node").agg(F.sum("links").alias("links"))
     known = rooted.join(smallest, "root").join(counted, "node", "left").select(
-        *group, "vec", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"), "component"
+        *same_vec, (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"), "component"
     )
-    named = salted_join(rows, known, ["label", "dim", "vec"], "id", "left")
+    named = salted_join(rows.select("id", *same_vec), known, same_vec, "id", "left")
     component = F.coalesce("component", "id")
     return named.select(
         F.col("id").alias(id_col),
