@@ -154,3 +154,31 @@ def test_language_model_without_rows(spark):
     docs = spark.createDataFrame([(1, "ab")], "doc_id long, text string")
     got = suffix_tree_lm.score(docs, tree, F.lit(False)).first()
     assert got.n_known == 0 and got.train_tokens == 0 and got.score == pytest.approx(-4 * math.log10(256))
+
+
+@pytest.mark.parametrize("others", [0, 12])
+def test_states_of_a_small_source_stay_beside_other_texts(spark, others):
+    """The words of the small source stand 30 times each, fewer than a share of 5e-6 of 12 MB."""
+    r = random.Random(5)
+    made = ["".join(r.choice("uvwxyz") for _ in range(9)) for _ in range(40)]
+    own = made * 30
+    r.shuffle(own)
+    docs = spark.createDataFrame([(k, " ".join(own[k::10])) for k in range(10)], "doc_id long, text string")
+    large = spark.range(100, 100 + others).select(F.col("id").alias("doc_id"), F.expr("repeat('abc dea ', 131072)").alias("text"))
+    tree = suffix_tree_lm.fit(docs.unionByName(large))
+    found = suffix_tree_lm.score(docs, tree, F.lit(True)).agg(F.sum("score")).first()[0]
+    # six bytes tell the next one, so a word costs little more than the choice of the word and its first bytes
+    assert found > -len(own) * 3.4
+
+
+def test_blocks_are_told_what_the_whole_tree_says(spark, monkeypatch):
+    from lakelog.llm import exchange
+
+    monkeypatch.setattr(exchange.count_blocks, "__defaults__", (2000,))
+    texts = language(random.Random(6), "abcdeé", 300)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tree = suffix_tree_lm.fit(docs.where("doc_id < 250"))
+    assert tree.buckets > 5 and tree.table.select("bucket").distinct().count() > 5
+    got = [x.score for x in suffix_tree_lm.score(docs, tree, F.lit(True)).orderBy("doc_id").collect()]
+    data, borders = text_bytes(pa.array(texts))
+    assert got == pytest.approx(tree.score(words(LOWER[data], borders, SPACE)).tolist(), rel=1e-6)
