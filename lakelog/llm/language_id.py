@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,7 +22,7 @@ from lakelog.llm.buffers import pieces, text_bytes
 SIZES = (2, 3, 4)
 BUCKETS = 1 << 15
 DIMENSIONS = 16
-DOCS_PER_LANG = 600  # bound of the sample that is fitted; half of it calibrates
+DOCS_PER_LANG = 600  # bound of the distinct texts that are fitted; half of them calibrate
 MOST_LANGS = 1000  # bound of the languages that are learned
 PIECE = 2 << 20
 UNKNOWN = "und"
@@ -92,10 +92,17 @@ def softmax(scores: np.ndarray) -> np.ndarray:
 
 
 def _features(docs: DataFrame) -> DataFrame:
-    """(lang, order, buckets, weights): the distinct buckets of a text and their shares."""
+    """(lang, order, buckets, weights): the distinct buckets of a text and their shares, once a task for all its copies."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[tuple[str, int]] = set()
         for batch in batches:
+            first = []
+            for at, own in enumerate(zip(batch.column("lang").to_pylist(), batch.column("order").to_pylist(), strict=True)):
+                if own not in met:
+                    met.add(own)
+                    first.append(at)
+            batch = batch.take(pa.array(first, pa.int64()))
             for piece in pieces(batch, "text", PIECE):
                 found = list(subwords(*text_bytes(piece.column("text"))))
                 keys, shares = [], []
@@ -113,11 +120,17 @@ def _features(docs: DataFrame) -> DataFrame:
 
 
 def _sample(docs: DataFrame, per_lang: int) -> pa.Table:
-    """About ``per_lang`` rows of each of the most frequent languages, by a hash of the row."""
-    counts = docs.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGS)
-    share = F.least(F.lit(1.0), F.lit(float(per_lang)) / F.col("count"))
-    drawn = docs.join(F.broadcast(counts), "lang").where(F.pmod(F.col("order"), F.lit(1 << 20)) < share * (1 << 20))
-    return _features(drawn.select("lang", "order", "text")).orderBy("lang", "order").toArrow()
+    """At most ``per_lang`` distinct texts of each of the languages with most of them, by a hash of the text."""
+    from lakelog.llm.common import stored
+
+    texts = stored(docs.select("lang", "order").distinct(), "texts-by-language")
+    counts = texts.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGS)
+    share = F.least(F.lit(1.0), F.lit(1.25 * per_lang) / F.col("count"))  # a few more, so that seldom less are left
+    drawn = texts.join(F.broadcast(counts), "lang").where(F.pmod(F.col("order"), F.lit(1 << 20)) < share * (1 << 20))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("order", F.lit(1 << 20)), "order"))
+    drawn = drawn.withColumn("rank", rank).where(F.col("rank") <= per_lang).select("lang", "order")
+    rows = docs.select("lang", "order", "text").join(F.broadcast(drawn), ["lang", "order"], "left_semi")
+    return _features(rows).dropDuplicates(["lang", "order"]).orderBy("lang", "order").toArrow()
 
 
 def fit(
@@ -130,7 +143,9 @@ def fit(
     reject: float = 0.002,
     seed: int = 1,
 ) -> LanguageModel:
-    """Learn from the rows of ``docs`` whose language is not null, at most about ``per_lang`` for each language.
+    """Learn from the rows of ``docs`` whose language is not null, at most ``per_lang`` distinct texts of a language.
+
+    Copies of a text teach as one, and the MOST_LANGS languages with most texts are learned.
 
     Half of the sample is fitted by stochastic gradient descent, the other half sets the temperature and the
     threshold: the ``reject`` quantile of the confidence of its right answers, and at most one half. Rows without

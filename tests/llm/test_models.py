@@ -44,6 +44,17 @@ def test_language_id_without_labels(spark):
     assert language_id.identify(docs.limit(0), language_id.fit(docs.limit(0))).count() == 0
 
 
+def test_copies_of_a_text_are_one_in_the_sample(spark):
+    r = random.Random(7)
+    texts = language(r, "abcdefg", 1000)
+    rows = [(t, "xx") for t in texts + texts[:20] * 500] + [(t, "yy") for t in language(r, "ghijklm", 100)]
+    docs = spark.createDataFrame(rows, "text string, lang string").repartition(5)
+    drawn = language_id._sample(docs.select("lang", "text", F.xxhash64("text", "lang").alias("order")), 300)
+    found = Counter(drawn.column("lang").to_pylist())
+    assert found["xx"] == 300 and found["yy"] == len({t for t, g in rows if g == "yy"})
+    assert len(set(drawn.column("order").to_pylist())) == drawn.num_rows
+
+
 def test_subwords_stay_in_their_row():
     data, edges = np.frombuffer(b"ab cd1efgh", np.uint8), np.array([0, 2, 2, 6, 10])
     together = list(language_id.subwords(data, edges))
