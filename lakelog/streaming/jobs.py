@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lakelog.functions.coords import BUCKET, with_bucket
 from lakelog.operators import archive, cdc
-from lakelog.operators.frontier import Frontier
+from lakelog.operators.coverage import Coverage
 from lakelog.sources.store import Table
 
 
@@ -113,20 +113,21 @@ def latest_stream(stream: DataFrame, key: str, table: Table, pending: Table, che
 def replay_stream(spark: SparkSession, cold: Table, stream: DataFrame, sink: Table,
                   checkpoint: str, *, name: str = "replay",
                   every: str | None = None) -> StreamingQuery:
-    """Deliver the archive first and then the live log from the boundary on.
+    """Deliver the archive first and then the rows of the live log that it lacks.
 
-    The boundary is fixed together with the backfill, so a restart continues
-    with the same cut and no record is missed or delivered twice.
+    The version of the archive that is delivered is kept with the backfill, so a restart
+    continues with the same cut and no record is missed or delivered twice, also where
+    the archive has gaps. A vacuum of the archive has to keep that version.
     """
     if not sink.exists():
         snap = cold.snapshot()
-        known = snap.frontier()
-        rows = cold.read(snap)
-        boundary = Frontier.of(rows) if known is None else Frontier(known)
-        sink.create(rows, props={"boundary": boundary.to_json()})
-    boundary = Frontier.from_json(sink.snapshot().props["boundary"])
+        sink.create(cold.read(snap), props={"archived": snap.version})
+    version = sink.snapshot().props.get("archived")
+    if version is None:
+        raise ValueError("the sink does not say which version of the archive it holds; replay into a new one")
+    coverage = Coverage.of(cold, cold.snapshot(version))
 
     def handle(df: DataFrame, n: int) -> None:
-        sink.append(boundary.after(df), txn=(name, n))
+        sink.append(coverage.unarchived(df), txn=(name, n))
 
     return run(stream, handle, checkpoint, every=every)

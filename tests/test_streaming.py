@@ -1,7 +1,8 @@
 from pyspark.sql import functions as F
 
-from lakelog.functions.coords import OFFSET
+from lakelog.functions.coords import BUCKET, OFFSET
 from lakelog.operators import archive, cdc
+from lakelog.plans import fixtures as fx
 from lakelog.sources.log import decode_payload, read_log, stream_log
 from lakelog.sources.store import Table
 from lakelog.streaming import jobs
@@ -47,6 +48,18 @@ def test_replay_crosses_the_boundary_once(spark, folder):
     assert values(sink.read(), OFFSET) == list(range(160))
 
 
+def test_replay_fills_the_gaps_of_the_archive(spark, folder, sf_dir):
+    topic, sink = fx.late_events(spark, sf_dir), Table(spark, folder + "/sink")
+    live = topic.hot_scan().drop(BUCKET)
+    want = values(topic.merged(), OFFSET)
+    halves = [live.where(F.col(OFFSET) % 2 == k) for k in (0, 1)]
+    stream = feed(spark, folder + "/src", halves)
+    jobs.replay_stream(spark, topic.cold, stream(), sink, folder + "/ck")
+    archive.append(topic.cold, live)
+    jobs.replay_stream(spark, topic.cold, stream(), sink, folder + "/ck")
+    assert values(sink.read(), OFFSET) == want == list(range(fx.events_count(spark, sf_dir)))
+
+
 EVENTS = [
     [("c", 1, 100, "NEW"), ("c", 2, 101, "NEW"), ("c", 3, 102, "NEW")],
     [("u", 1, 110, "SHIPPED"), ("d", 2, 120), ("d", 7, 125)],
