@@ -1,7 +1,7 @@
 """Which rows of a live log an archive holds: the one definition that merge, append and trim share.
 
-The pointer of an archive lists the lowest and highest offset and the number of rows of every folder. A folder with
-as many rows as offsets is *complete*: each offset in between is archived. Other folders may have gaps, so
+The pointer of an archive lists the lowest and highest offset and the number of distinct offsets of every folder. A
+folder that has as many as lie between its bounds is *complete*: each of them is archived. Other folders may have gaps, so
 rows of the live log that fall among them are looked up by their coordinates. Nothing is taken for archived only
 because it lies below the highest archived offset.
 """
@@ -53,7 +53,7 @@ class Coverage:
         whole: Spans = {}
         loose = []
         for leaf in snap.leaves:
-            if leaf.low is not None and leaf.rows == leaf.high - leaf.low + 1:
+            if leaf.low is not None and leaf.offsets == leaf.high - leaf.low + 1:
                 whole.setdefault(leaf.values[PARTITION], []).append((leaf.low, leaf.high))
             else:
                 loose.append(leaf)

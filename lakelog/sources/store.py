@@ -31,6 +31,7 @@ class Leaf:
     low: int | None = None
     high: int | None = None
     rows: int | None = None
+    offsets: int | None = None  # distinct ones; unknown in pointers written without
 
     @property
     def commit(self) -> str:
@@ -318,13 +319,13 @@ class Table:
             self._scan(snap, [f"{self.data}/{commit}"])
             .groupBy(*cols)
             .agg(F.min(OFFSET).alias("low"), F.max(OFFSET).alias("high"),
-                 F.count(F.lit(1)).alias("rows"))
+                 F.count(F.lit(1)).alias("rows"), F.count_distinct(OFFSET).alias("offsets"))
         )
         # One row per folder just written, the same number the listing above returned.
         stats = {tuple(row[c] for c in cols): row for row in bounds.collect()}
         for leaf in found:
             row = stats[tuple(leaf.values[c] for c in cols)]
-            leaf.low, leaf.high, leaf.rows = row["low"], row["high"], row["rows"]
+            leaf.low, leaf.high, leaf.rows, leaf.offsets = row["low"], row["high"], row["rows"], row["offsets"]
         return found
 
     def _publish(self, snap: Snapshot, txn: tuple[str, int] | None = None,

@@ -123,3 +123,16 @@ def test_top_n_reads_one_end_of_the_log(spark, folder, n):
     if n <= 30:
         assert len(topic.newest(n).inputFiles()) < whole / 3
         assert len(topic.oldest(n).inputFiles()) < whole / 3
+
+
+def test_a_repeated_offset_does_not_hide_a_missing_one(spark, folder):
+    """Four rows from 0 to 3, one offset twice and one missing: the folder is not complete."""
+    cold, hot = Table(spark, folder + "/cold"), Table(spark, folder + "/hot")
+    live = log(spark, 0, 6)
+    archive.archive(hot, live, 100)
+    part = live.where(f"{OFFSET} IN (0, 1, 3)")
+    archive.archive(cold, part.unionByName(part.where(f"{OFFSET} = 1")), 100)
+    assert archive.trim_hot(hot, cold) == 3
+    assert values(hot.read(), OFFSET) == [2, 4, 5]
+    archive.append(cold, live)
+    assert values(cold.read(), OFFSET) == [0, 1, 1, 2, 3, 4, 5]
