@@ -99,7 +99,32 @@ SELECT r.page_id, CAST(strlen(r.html) AS BIGINT) AS payload_bytes, n.digest AS p
 FROM ranked r JOIN named n USING (page_id)
 """
 
+# all numbers are whole and below 2**53, so the double inner product is exact
+HARD_NEGATIVES = """
+WITH q AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pair AS (
+    SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS alike,
+           CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+    FROM q a, q r WHERE a.vec_id % 50 = 0 AND a.vec_id <> r.vec_id
+), positive AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM pair WHERE alike
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), negative AS (
+    SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+           row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS rank
+    FROM positive JOIN pair USING (anchor_id)
+    WHERE NOT alike AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INT) AS rank, negative_id, positive_score, negative_score
+FROM negative WHERE rank <= 3
+"""
+
 ORACLES = {
+    "op11_hard_negatives": HARD_NEGATIVES,
     "op3_warc": WARC,
     "op5_line_dedup": LINE_DEDUP,
     "op6_substring_dedup": SUBSTRING_DEDUP,

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lakelog.llm import embedding_dedup, language_id, quality, suffix_tree_lm, warc
+from lakelog.llm import embedding_dedup, hard_negatives, language_id, quality, suffix_tree_lm, warc
 from lakelog.llm.bpe import digests
 from lakelog.llm.decontaminate import find_windows
 from lakelog.llm.line_dedup import dedup_lines
@@ -93,6 +93,13 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector against all; every seventh has its label moved on by one first."""
+    vectors = _table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_suffix_tree_lm": op2_suffix_tree_lm,
@@ -104,5 +111,6 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_embedding_dedup": op10_embedding_dedup,
+    "op11_hard_negatives": op11_hard_negatives,
     "pipeline": corpus_pipeline.run,
 }

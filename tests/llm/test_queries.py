@@ -25,7 +25,7 @@ def documents(duck):
 
 def test_all_are_registered():
     assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(QUERIES)
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)} | {"pipeline"}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)} | {"pipeline"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
