@@ -71,7 +71,11 @@ def words(data: np.ndarray, borders: np.ndarray, separator: np.ndarray) -> Words
     if not len(data):
         none = np.empty(0, np.int64)
         return Words(data, none, none, np.zeros(len(borders), np.int64))
-    inside = ~separator[data]
+    return marked(data, borders, ~separator[data])
+
+
+def marked(data: np.ndarray, borders: np.ndarray, inside: np.ndarray) -> Words:
+    """The runs of marked bytes of rows that lie one after the other in ``data``, which is not empty."""
     filled = borders[:-1][np.diff(borders) > 0]
     before = np.empty_like(inside)
     before[0] = False

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lakelog.llm import embedding_dedup, hard_negatives, language_id, quality, suffix_tree_lm, warc
+from lakelog.llm import embedding_dedup, hard_negatives, language_id, quality, spelling_variants, suffix_tree_lm, warc
 from lakelog.llm.bpe import digests
 from lakelog.llm.decontaminate import find_windows
 from lakelog.llm.line_dedup import dedup_lines
@@ -100,6 +100,12 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Variants among the words of all documents; one run of letters in 97 of a document loses a letter first."""
+    words = spelling_variants.count_words(_table(spark, sf_dir, "documents", "doc_id", "text"), damage=97)
+    return spelling_variants.group(words.where((F.length("word") >= 5) & (F.col("n") >= 3)))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_suffix_tree_lm": op2_suffix_tree_lm,
@@ -112,5 +118,6 @@ QUERIES = {
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_embedding_dedup": op10_embedding_dedup,
     "op11_hard_negatives": op11_hard_negatives,
+    "op13_spelling_variants": op13_spelling_variants,
     "pipeline": corpus_pipeline.run,
 }
