@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lakelog.llm import embedding_dedup, hard_negatives, language_id, quality, spelling_variants, suffix_tree_lm, warc
+from lakelog.llm import embedding_dedup, hard_negatives, language_id, packing, quality, spelling_variants, suffix_tree_lm, warc
 from lakelog.llm.bpe import digests
 from lakelog.llm.decontaminate import find_windows
 from lakelog.llm.line_dedup import dedup_lines
@@ -100,6 +100,13 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
 
 
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as word tokens in sequences of at most 2,048."""
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    pieces = packing.cut(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Variants among the words of all documents; one run of letters in 97 of a document loses a letter first."""
     words = spelling_variants.count_words(_table(spark, sf_dir, "documents", "doc_id", "text"), damage=97)
@@ -118,6 +125,7 @@ QUERIES = {
     "op9_simhash_dedup": op9_simhash_dedup,
     "op10_embedding_dedup": op10_embedding_dedup,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_best_fit_packing": op12_best_fit_packing,
     "op13_spelling_variants": op13_spelling_variants,
     "pipeline": corpus_pipeline.run,
 }
