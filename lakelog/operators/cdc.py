@@ -74,7 +74,8 @@ def deletes(log: DataFrame, key: str) -> DataFrame:
 
 
 def hide_deleted(cold: DataFrame, tombstones: DataFrame, key: str) -> DataFrame:
-    return cold.join(tombstones.select(key), key, "left_anti").select(*cold.columns)
+    gone = tombstones.select(F.col(key).alias("__gone"))
+    return cold.join(gone, F.col(key).eqNullSafe(F.col("__gone")), "left_anti")
 
 
 def _newer(cold_part: Column, cold_off: Column, part: Column, off: Column) -> Column:
@@ -87,15 +88,15 @@ def _fold(cold: DataFrame, state: DataFrame, key: str, how: str = "full_outer")
 
     One join of the archive with one row per live key, instead of an anti join
     and a union that would scan the live log twice.
-    Payload fields that only the log has come after the columns of the archive.
+    Payload fields that only the log has come after the columns of the archive. A null key is a key like others.
     """
     names = [c for c in cold.columns if c not in (*COORDINATES, DELETED, key)]
     names += _added(cold, state, key)
-    both = cold.alias("c").join(
-        state.alias("h"), F.col(f"c.{key}") == F.col("h.__key"), how
+    both = cold.withColumn("__archived", F.lit(True)).alias("c").join(
+        state.withColumn("__live", F.lit(True)).alias("h"), F.col(f"c.{key}").eqNullSafe(F.col("h.__key")), how
     )
-    hot_wins = F.col("h.__key").isNotNull() & (
-        F.col(f"c.{key}").isNull()
+    hot_wins = F.col("h.__live").isNotNull() & (
+        F.col("c.__archived").isNull()
         | _newer(F.col(f"c.{PARTITION}"), F.col(f"c.{OFFSET}"),
                  F.col(f"h.{PARTITION}"), F.col(f"h.{OFFSET}"))
     )
@@ -164,6 +165,7 @@ def roll(table: Table, log: DataFrame, *, keep_deleted: bool = False,
 
     Deleted keys leave, changed keys are updated with all columns and their
     coordinates, new keys are added, and a delete of an unknown key is ignored.
+    A null key is a key like others.
     Only key buckets that the log touches are read and rewritten. Rolling the
     same log again changes nothing. Returns the number of buckets rewritten.
 
@@ -205,10 +207,11 @@ def roll(table: Table, log: DataFrame, *, keep_deleted: bool = False,
     kept, added = None, None
     if sum(counts.values()) <= BROADCAST_KEYS and input_bytes(state) <= BROADCAST_BYTES:
         kept = _fold(before, F.broadcast(state), key, "left")
-        known = before.select(F.col(key).alias("__key")).join(
-            F.broadcast(state.select("__key")), "__key", "left_semi")
+        asked = state.select(F.col("__key").alias("__asked"))
+        known = before.select(F.col(key).alias("__known")).join(
+            F.broadcast(asked), F.col("__known").eqNullSafe(F.col("__asked")), "left_semi")
         # ``known`` is a part of the keys in ``state``, so it is as small.
-        fresh = state.join(F.broadcast(known), "__key", "left_anti")
+        fresh = state.join(F.broadcast(known.distinct()), F.col("__key").eqNullSafe(F.col("__known")), "left_anti")
         added = _inserts(fresh, before, key)
     else:
         added = _fold(before.drop(KEY_BUCKET), state, key)

@@ -2,7 +2,7 @@
 
 The pointer of an archive lists the lowest and highest offset and the number of distinct offsets of every folder. A
 folder that has as many as lie between its bounds is *complete*: each of them is archived. Other folders may have gaps, so
-rows of the live log that fall among them are looked up by their coordinates. Nothing is taken for archived only
+rows of the live log that fall among them are looked up in the bitmaps of offsets that each commit has. Nothing is taken for archived only
 because it lies below the highest archived offset.
 """
 
@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakelog.functions import bitmaps
 from lakelog.functions.coords import OFFSET, PARTITION, any_of
 from lakelog.sources.store import Leaf, Snapshot, Table
 
@@ -92,8 +93,7 @@ class Coverage:
         elif self.complete:
             doubtful = self.snap.leaves
         if any(leaf.low is None for leaf in doubtful):  # no bounds in the pointer: all coordinates are looked up
-            have = self.table.read(self.snap)
-            return self._without(rows, have)
+            return bitmaps.outside(rows, self.table.offset_sets(self.snap))
         reach = _reach(hot, among) if doubtful else {}
         near = {
             leaf.path: leaf
@@ -108,17 +108,11 @@ class Coverage:
         spans = {p: _joined(own) for p, own in spans.items()}
         if sum(map(len, spans.values())) > LITERAL_SPANS:
             spans = {p: [(own[0][0], own[-1][1])] for p, own in spans.items()}
-        have = self.table.read(self.snap, lambda leaf: leaf.path in near)
+        have = self.table.offset_sets(self.snap, lambda leaf: leaf.path in near)
         if len(spans) > LITERAL_SPANS:
-            return self._without(rows, have)
+            return bitmaps.outside(rows, have)
         inside = _text(spans)
-        return rows.where(f"NOT ({inside})").unionByName(self._without(rows.where(inside), have))
-
-    @staticmethod
-    def _without(rows: DataFrame, have: DataFrame) -> DataFrame:
-        have = have.select(F.col(PARTITION).alias("__p"), F.col(OFFSET).alias("__o"))
-        same = (F.col(PARTITION) == F.col("__p")) & (F.col(OFFSET) == F.col("__o"))
-        return rows.join(have, same, "left_anti")
+        return rows.where(f"NOT ({inside})").unionByName(bitmaps.outside(rows.where(inside), have))
 
 
 def _reach(hot: DataFrame, among: list[Leaf] | None) -> dict[int, tuple[int, int]]:

@@ -13,13 +13,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakelog.functions import bitmaps
 from lakelog.functions.coords import OFFSET, PARTITION, TIMESTAMP, offset_range
-from lakelog.operators.frontier import Frontier
 from lakelog.operators.index import OffsetIndex, lookup
 from lakelog.operators.ordering import Ordered, with_previous, write_ordered
 from lakelog.sources.files import Pointer
 
 REPLAY_OFFSET = "replay_offset"
+MOST_PARTS = 8  # parts of a frozen order before neighbours are joined
 
 
 def replay(log: DataFrame, start: int | None = None, width: int | None = None) -> DataFrame:
@@ -190,38 +191,70 @@ class ReorderedLog:
     """A re-sorted log whose numbers stay fixed while its source grows.
 
     Rows that arrive later are numbered after the last number and sorted among
-    themselves, so a position that a consumer has committed stays valid.
+    themselves, so a position that a consumer has committed stays valid. That holds for rows of
+    any offset: what is taken in is known by bitmaps of offsets, not by the highest one.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, rule: Rule):
-        self.spark, self.rule, self.folder = spark, rule, folder.rstrip("/")
+    def __init__(self, spark: SparkSession, folder: str, rule: Rule, most_parts: int = MOST_PARTS):
+        self.spark, self.rule, self.folder, self.most_parts = spark, rule, folder.rstrip("/"), most_parts
         self._pointer = Pointer(spark, f"{self.folder}/_versions")
         self._parts: dict[str, tuple[Ordered, DataFrame]] = {}
 
     def extend(self, log: DataFrame) -> int:
-        """Take in the rows beyond what was numbered so far; returns the next number."""
+        """Take in the rows that were not numbered so far, late ones too; returns the next number.
+
+        Rows without an offset are no rows of a log. More than ``most_parts`` parts are joined, the smallest neighbours
+        first, without new numbers.
+        """
         version, doc = self._pointer.load()
-        parts = doc.get("parts", [])
-        reached = Frontier.from_json(doc.get("reached"))
-        fresh = reached.after(log)
-        upto = Frontier.of(fresh)
+        parts, seen = doc.get("parts", []), doc.get("seen", [])
         start = parts[-1]["start"] + parts[-1]["rows"] if parts else 0
-        if not upto.entries and doc.get("schema"):
+        fresh = bitmaps.outside(log, self._sets(seen)) if seen else log
+        # Written first: the log may grow, and these are the offsets that this part is made of.
+        own = self._new("offsets", version)
+        bitmaps.build(fresh).select(PARTITION, bitmaps.SLOT, bitmaps.BITMAP).write.parquet(own)
+        taken = self._sets([own])
+        if doc.get("schema") and taken.isEmpty():
             return start
         ordered = write_ordered(
-            self.rule.select(upto.upto(fresh)), self.rule.order(), "part",
-            f"{self.folder}/part-{version + 1:06d}-{uuid.uuid4().hex[:8]}",
-        )
+            self.rule.select(bitmaps.inside(fresh, taken)), self.rule.order(), "part", self._new("part", version))
         if ordered.rows:
-            parts = [*parts, {
-                "folder": ordered.folder, "start": start, "rows": ordered.rows,
-                "bases": ordered.bases, "schema": ordered.schema.jsonValue(),
-            }]
-        self._pointer.swap(version, {
-            "parts": parts, "reached": reached.merge(upto).to_json(), "schema": log.schema.jsonValue(),
-        })
+            parts = [*parts, self._entry(ordered, ordered.schema, start)]
+        seen = [*seen, own]
+        if len(seen) > self.most_parts:
+            joined = self._new("joined-offsets", version)
+            bitmaps.unite(self._sets(seen)).write.parquet(joined)
+            seen = [joined]
+        while len(parts) > self.most_parts:
+            parts = self._join(parts, version)
+        self._pointer.swap(version, {"parts": parts, "seen": seen, "schema": log.schema.jsonValue()})
         return start + ordered.rows
 
+    def _new(self, label: str, version: int) -> str:
+        return f"{self.folder}/{label}-{version + 1:06d}-{uuid.uuid4().hex[:8]}"
+
+    def _sets(self, folders: list[str]) -> DataFrame:
+        return self.spark.read.parquet(*folders)
+
+    @staticmethod
+    def _entry(ordered: Ordered, schema: T.StructType, start: int) -> dict[str, Any]:
+        return {
+            "folder": ordered.folder, "start": start, "rows": ordered.rows,
+            "bases": ordered.bases, "schema": schema.jsonValue(),
+        }
+
+    def _join(self, parts: list[dict[str, Any]], version: int) -> list[dict[str, Any]]:
+        """The two neighbours with the fewest rows written as one part, in the order of their numbers."""
+        at = min(range(len(parts) - 1), key=lambda k: parts[k]["rows"] + parts[k + 1]["rows"])
+        pair = [
+            ordered.numbered(df, REPLAY_OFFSET, p["start"]) for p in parts[at : at + 2] for ordered, df in [self._part(p)]
+        ]
+        rows = pair[0].unionByName(pair[1], allowMissingColumns=True)
+        ordered = write_ordered(rows, [F.col(REPLAY_OFFSET)], "part", self._new("joined", version))
+        # the numbers follow from the order, so they are not read back
+        schema = T.StructType([f for f in ordered.schema if f.name != REPLAY_OFFSET])
+        return [*parts[:at], self._entry(ordered, schema, parts[at]["start"]), *parts[at + 2 :]]
+
     def read(self, low: int | None = None, high: int | None = None) -> DataFrame:
         """All numbered rows, or those with ``low <= number < high``; none before the first ``extend``
         has found any."""

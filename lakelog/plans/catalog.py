@@ -117,7 +117,7 @@ class TierCatalog:
         payload = topic.hot.snapshot().schema["after"].dataType.names
         coords = ", ".join(COORDINATES)
         latest = (
-            f"SELECT k, e.* FROM (SELECT COALESCE(after.`{key}`, before.`{key}`) AS k, "
+            f"SELECT k, TRUE AS live, e.* FROM (SELECT COALESCE(after.`{key}`, before.`{key}`) AS k, "
             f"MAX_BY(STRUCT(op, after, {coords}), {OFFSET}) AS e FROM ({log}) GROUP BY 1)"
         )
         fields = ", ".join(f"after.`{n}` AS `{n}`" for n in payload)
@@ -132,10 +132,10 @@ class TierCatalog:
             return views
         views["cold"] = (
             f"SELECT c.* FROM ({stored}) c LEFT ANTI JOIN ({views['deletes']}) d "
-            f"ON c.`{key}` = d.`{key}`"
+            f"ON c.`{key}` <=> d.`{key}`"
         )
         wins = (
-            f"(h.k IS NOT NULL AND (c.`{key}` IS NULL OR c.{PARTITION} <> h.{PARTITION} "
+            f"(h.live IS NOT NULL AND (c.{OFFSET} IS NULL OR c.{PARTITION} <> h.{PARTITION} "
             f"OR h.{OFFSET} >= c.{OFFSET}))"
         )
         archived = [n for n in topic.cold.snapshot().schema.names if n not in (*COORDINATES, KEY_BUCKET, DELETED)]
@@ -151,7 +151,7 @@ class TierCatalog:
         )
         views["merged"] = (
             f"SELECT {chosen} FROM ({stored}) c FULL OUTER JOIN ({latest}) h "
-            f"ON c.`{key}` = h.k WHERE NOT ({wins} AND h.op = 'd')"
+            f"ON c.`{key}` <=> h.k WHERE NOT ({wins} AND h.op = 'd')"
         )
         return views
 

@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakelog.functions.coords import OFFSET, PARTITION
+from lakelog.functions import bitmaps
+from lakelog.functions.coords import PARTITION
 from lakelog.functions.scalars import sql_literal
 from lakelog.sources.files import Files, Pointer
 
@@ -91,6 +92,7 @@ class Table:
         self.spark = spark
         self.path = path.rstrip("/")
         self.data = f"{self.path}/data"
+        self._offsets = f"{self.path}/offsets"
         self._pointer = Pointer(spark, f"{self.path}/_versions")
         self._files = Files(spark)
         self._seen: tuple[int, dict[str, Any]] = (0, {})
@@ -126,6 +128,25 @@ class Table:
             self._frame = (snap.version, df)
         return df
 
+    def offset_sets(self, snap: Snapshot, keep: Callable[[Leaf], bool] | None = None) -> DataFrame:
+        """The offsets of the rows that ``read`` gives, as bitmaps: (partition, slot, bitmap), several of a slot.
+
+        They are read where all folders have them, else made from the coordinates.
+        """
+        leaves = [leaf for leaf in snap.leaves if keep is None or keep(leaf)]
+        if not leaves or any(leaf.offsets is None for leaf in leaves):
+            return bitmaps.build(self.read(snap, keep)).select(PARTITION, bitmaps.SLOT, bitmaps.BITMAP)
+        live: dict[str, list[Leaf]] = {}
+        for leaf in leaves:
+            live.setdefault(leaf.commit, []).append(leaf)
+        sets = self.spark.read.option("basePath", self._offsets).parquet(*(f"{self._offsets}/{c}" for c in live))
+        if any(len(members) < snap.sizes[c] for c, members in live.items()):
+            names, cols = ["commit", *snap.partition_by], snap.partition_by
+            own = [(leaf.commit.split("=", 1)[1], *(leaf.values[c] for c in cols)) for leaf in leaves]
+            form = ", ".join(["commit string", *(f"`{c}` bigint" for c in cols)])
+            sets = sets.join(self.spark.createDataFrame(own, form), names, "left_semi")
+        return sets.select(PARTITION, bitmaps.SLOT, bitmaps.BITMAP)
+
     def _paths(self, snap: Snapshot, leaves: Sequence[Leaf]) -> list[str]:
         """Commit folders where the whole commit is live, else single leaf folders."""
         live: dict[str, list[Leaf]] = {}
@@ -260,6 +281,7 @@ class Table:
         gone = [name for name in self._files.names(self.data) if name not in used]
         for name in gone:
             self._files.delete(f"{self.data}/{name}")
+            self._files.delete(f"{self._offsets}/{name}")
         for v in known[:-keep]:
             self._files.delete(f"{self._pointer.folder}/{v:010d}.json")
         return gone
@@ -315,16 +337,19 @@ class Table:
         ]
         if PARTITION not in cols or not found:
             return found
-        bounds = (
-            self._scan(snap, [f"{self.data}/{commit}"])
-            .groupBy(*cols)
-            .agg(F.min(OFFSET).alias("low"), F.max(OFFSET).alias("high"),
-                 F.count(F.lit(1)).alias("rows"), F.count_distinct(OFFSET).alias("offsets"))
+        # The offsets of the commit stay beside it: coverage is judged by them, not by reading coordinates again.
+        sets = f"{self._offsets}/{commit}"
+        bitmaps.build(self._scan(snap, [f"{self.data}/{commit}"]), *cols).write.parquet(sets)
+        bounds = self.spark.read.parquet(sets).groupBy(*cols).agg(
+            F.min("low").alias("low"), F.max("high").alias("high"), F.sum("rows").alias("rows"),
+            F.sum(F.bitmap_count(bitmaps.BITMAP)).alias("offsets"),
         )
         # One row per folder just written, the same number the listing above returned.
         stats = {tuple(row[c] for c in cols): row for row in bounds.collect()}
         for leaf in found:
-            row = stats[tuple(leaf.values[c] for c in cols)]
+            row = stats.get(tuple(leaf.values[c] for c in cols))
+            if row is None:
+                continue  # no row of the folder has an offset
             leaf.low, leaf.high, leaf.rows, leaf.offsets = row["low"], row["high"], row["rows"], row["offsets"]
         return found
 
