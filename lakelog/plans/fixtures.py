@@ -211,6 +211,18 @@ def hot_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_log(spark, sf_dir).where(F.col(OFFSET) * 3 >= orders_count(spark, sf_dir))
 
 
+def keyless_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live change log, every seventh key lost in all events but deletes."""
+    log = hot_orders(spark, sf_dir)
+    lost = (F.col("op") != "d") & (F.coalesce("after.OrderID", "before.OrderID") % 7 == 0)
+
+    def without(name: str):
+        kept = F.col(name).withField("OrderID", F.when(~lost, F.col(f"{name}.OrderID")))
+        return F.when(F.col(name).isNotNull(), kept)
+
+    return log.withColumns({"after": without("after"), "before": without("before")})
+
+
 def cold_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The creates of the first third, archived before any update."""
     log = table(spark, sf_dir, "orders").where(

@@ -270,6 +270,16 @@ _BODIES: dict[str, str] = {
     "cdc_current": f"SELECT {_OR} FROM live",
     "cdc_merged": f"SELECT {_OR} FROM mergedo",
     "cdc_roll": f"SELECT {_OR} FROM mergedo",
+    "cdc_roll_null_key": f"""
+        SELECT * FROM (WITH event AS (
+            SELECT * REPLACE (CASE WHEN op = 'd' OR "OrderID" % 7 <> 0 THEN "OrderID" END AS "OrderID")
+            FROM O WHERE kafka_offset * 3 >= n
+        ), last AS (
+            SELECT *, ROW_NUMBER() OVER (PARTITION BY "OrderID" ORDER BY kafka_offset DESC) AS rn FROM event
+        )
+        SELECT {_OR} FROM last WHERE rn = 1 AND op <> 'd'
+        UNION ALL
+        SELECT {_OR} FROM coldo c WHERE NOT EXISTS (SELECT 1 FROM event e WHERE e."OrderID" = c."OrderID")) t""",
     "cdc_merged_evolved": f"""
         SELECT {_OR}, CASE WHEN kafka_offset * 3 >= n THEN "Amount" / 10 END AS "Risk" FROM mergedo""",
     "cdc_roll_evolved": f"""
@@ -345,6 +355,11 @@ _BODIES: dict[str, str] = {
         SELECT ROW_NUMBER() OVER (ORDER BY late, value DESC, kafka_partition, kafka_offset) - 1
                  AS replay_offset, {_EV}
         FROM (SELECT *, event_id * 10 >= n * 7 AS late FROM L WHERE event_type = 'error') t""",
+    "reordered_late": f"""
+        SELECT ROW_NUMBER() OVER (ORDER BY late, value DESC, kafka_partition, kafka_offset) - 1
+                 AS replay_offset, {_EV}
+        FROM (SELECT *, event_id * 10 >= n * 7 OR event_id * 10 >= n * 3 AND event_id * 10 < n * 5 AS late
+              FROM L WHERE event_type = 'error') t""",
     "replay_rule": f"""
         SELECT 'audit' AS group_id,
                ROW_NUMBER() OVER (ORDER BY ts DESC, kafka_partition, kafka_offset) - 1

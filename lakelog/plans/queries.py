@@ -496,6 +496,16 @@ def cdc_roll(spark, sf_dir):
     return cdc.read_archive(target).select(*ORDER_COLUMNS)
 
 
+@query
+def cdc_roll_null_key(spark, sf_dir):
+    """The archive after three rolls of a log that has lost the key of some events: they are one key."""
+    target = fx.order_archive(spark, sf_dir)
+    hot = fx.keyless_orders(spark, sf_dir)
+    for _ in range(3):
+        cdc.roll(target, hot)
+    return cdc.read_archive(target).select(*ORDER_COLUMNS)
+
+
 @query
 def cdc_merged_evolved(spark, sf_dir):
     """A payload field that only newer events carry is null for archived rows."""
@@ -789,6 +799,18 @@ def reordered_resume(spark, sf_dir):
     return frozen.read().select(replay.REPLAY_OFFSET, *EVENT_COLUMNS)
 
 
+@query
+def reordered_late(spark, sf_dir):
+    """A frozen order that was numbered on an archive with a gap: the rows of the gap come last."""
+    topic = fx.late_events(spark, sf_dir)
+    rule = replay.Rule("audit", "events", "event_type = 'error'", "value DESC")
+    frozen = replay.ReorderedLog(spark, new_folder(spark, "frozen"), rule)
+    frozen.extend(topic.cold_scan())
+    frozen.extend(topic.merged())
+    frozen.extend(topic.merged())
+    return frozen.read().select(replay.REPLAY_OFFSET, *EVENT_COLUMNS)
+
+
 @query
 def replay_rule(spark, sf_dir):
     """The same topic read by a group with a rule and by one without."""

@@ -166,3 +166,22 @@ def test_new_payload_fields_reach_merged_and_the_archive(spark, folder):
     for rows in (kept.merged(), kept.cold_scan(), kept.cold_logical() if kept.hot else kept.cold_scan()):
         assert {r["OrderID"]: r["risk"] for r in rows.collect()} == {1: 0.5, 3: 0.5, 5: None}
         assert "is_deleted" not in rows.columns
+
+
+def test_null_keys_are_one_key(spark, folder):
+    def lost(log):
+        kept = lambda c: F.when(F.col(c).isNotNull(), F.col(c).withField("OrderID", F.lit(None).cast("int")))
+        return log.withColumns({"before": kept("before"), "after": kept("after")})
+
+    table = Table(spark, folder)
+    cdc.create_archive(table, cold_rows(spark, [1, 2]), "OrderID", 2)
+    log = lost(change_log(spark, [("c", 7, 100, "A"), ("u", 8, 110, "B")])).unionByName(change_log(spark, STORY))
+    for _ in range(3):
+        cdc.roll(table, log)
+        assert sorted(r["Status"] for r in cdc.read_archive(table).collect()) == ["AGAIN", "B", "SHIPPED"]
+        state = cdc.merged(cdc.read_archive(table), log, "OrderID")
+        assert sorted(r["Status"] for r in state.collect()) == ["AGAIN", "B", "SHIPPED"]
+    gone = lost(change_log(spark, [("d", 9, 200)]))
+    assert statuses(cdc.hide_deleted(cdc.read_archive(table), cdc.deletes(gone, "OrderID"), "OrderID")) == {1: "SHIPPED", 3: "AGAIN"}
+    cdc.roll(table, gone)
+    assert statuses(cdc.read_archive(table)) == {1: "SHIPPED", 3: "AGAIN"}
