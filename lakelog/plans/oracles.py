@@ -387,6 +387,7 @@ _BODIES: dict[str, str] = {
     "stream_ingest": f"SELECT {_EV} FROM hot",
     "stream_archive": f"SELECT {_EV} FROM L",
     "stream_cdc": f"SELECT {_OR} FROM mergedo",
+    "stream_cdc_seeded": f"SELECT {_OR} FROM mergedo",
     "stream_cdc_state": f"SELECT {_OR} FROM mergedo",
     "stream_replay": f"SELECT {_EV} FROM L",
 }

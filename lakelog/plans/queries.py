@@ -21,6 +21,7 @@ from lakelog.plans.catalog import TierCatalog
 from lakelog.sources.log import decode_payload, stream_log
 from lakelog.sources.workdir import new_folder
 from lakelog.streaming import jobs
+from lakelog.streaming.seeded import seeded_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -903,6 +904,16 @@ def stream_cdc_state(spark, sf_dir):
     return cdc.state(target, pending).select(*ORDER_COLUMNS)
 
 
+@query
+def stream_cdc_seeded(spark, sf_dir):
+    """A change feed whose state starts from the archive, run twice: the second run finds nothing new."""
+    stream, target, pending = _change_feed(spark, sf_dir)
+    state = _checkpoint(spark)
+    for _ in range(2):
+        seeded_stream(stream, "OrderID", target, pending, state, share=10)
+    return cdc.state(target, pending).select(*ORDER_COLUMNS)
+
+
 @query
 def stream_replay(spark, sf_dir):
     """Archive, then live log from the boundary, in one sink without a seam."""

@@ -82,13 +82,13 @@ def roll_stream(stream: DataFrame, table: Table, pending: Table, checkpoint: str
 
     def handle(df: DataFrame, n: int) -> None:
         pending.append(cdc.newest_events(df, key), txn=(name, n))
-        if _due(table, pending, share, roll_after, n):
+        if due(table, pending, share, roll_after, n):
             cdc.fold_pending(table, pending, txn=(f"{name}-fold", n))
 
     return run(stream, handle, checkpoint, every=every)
 
 
-def _due(table: Table, pending: Table, share: float, roll_after: int | None, n: int) -> bool:
+def due(table: Table, pending: Table, share: float, roll_after: int | None, n: int) -> bool:
     return bool(roll_after and (n + 1) % roll_after == 0) or cdc.fold_is_due(table, pending, share)
 
 
@@ -103,7 +103,7 @@ def latest_stream(stream: DataFrame, key: str, table: Table, pending: Table, che
 
     def handle(df: DataFrame, n: int) -> None:
         pending.append(df, txn=(name, n))
-        if _due(table, pending, share, roll_after, n):
+        if due(table, pending, share, roll_after, n):
             cdc.fold_pending(table, pending, txn=(f"{name}-fold", n))
 
     newest = cdc.newest_events(stream, key)

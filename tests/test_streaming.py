@@ -6,6 +6,7 @@ from lakelog.plans import fixtures as fx
 from lakelog.sources.log import decode_payload, read_log, stream_log
 from lakelog.sources.store import Table
 from lakelog.streaming import jobs
+from lakelog.streaming.seeded import seeded_stream
 from tests.test_cdc import SCHEMA, change_log, cold_rows, statuses
 from tests.test_store import log, values
 
@@ -133,3 +134,24 @@ def test_small_batches_do_not_rewrite_the_archive(spark, folder):
     assert folds <= 2 and len(written) <= 8 * (1 + folds)
     want = {k: "PENDING" for k in range(20_000)} | {e[1]: e[3] for e in events}
     assert statuses(cdc.state(table, pending)) == want
+
+
+def test_state_starts_from_the_archive(spark, folder):
+    """Deletes and changes of archived keys are known as such, stale events are dropped, and a restart goes on."""
+    table, pending = Table(spark, folder + "/a"), Table(spark, folder + "/p")
+    cdc.create_archive(table, cold_rows(spark, [7, 8, 9]).withColumn(OFFSET, F.col(OFFSET) + 50), "OrderID", 4)
+    cdc.create_pending(pending, spark.createDataFrame([], SCHEMA), "OrderID")
+    runs = [
+        [("c", 1, 100, "NEW"), ("d", 7, 125), ("d", 20, 126), ("u", 8, 30, "STALE")],
+        [("u", 1, 110, "SHIPPED"), ("c", 7, 140, "AGAIN"), ("d", 9, 58), ("d", 9, 127), ("u", 7, 139, "STALE")],
+    ]
+    want = [[("c", 1), ("d", 7)], [("u", 1), ("c", 7), ("d", 9)]]
+    seen = 0
+    for n, events in enumerate(runs):
+        change_log(spark, events).coalesce(1).write.mode("append").parquet(folder + "/src")
+        stream = spark.readStream.schema(SCHEMA).parquet(folder + "/src")
+        seeded_stream(stream, "OrderID", table, pending, folder + "/ck", share=10)
+        told = [(r["op"], (r["after"] or r["before"])["OrderID"]) for r in pending.read().collect()]
+        assert sorted(told) == sorted(sum(want[: n + 1], [])) and len(told) > seen
+        seen = len(told)
+    assert statuses(cdc.state(table, pending)) == {1: "SHIPPED", 7: "AGAIN", 8: "PENDING"}
