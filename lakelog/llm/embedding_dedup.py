@@ -26,7 +26,6 @@ PIVOTS = 512  # about the most pivots of a label
 CHUNK = 8192  # vectors that are assigned to cells at a time
 BLOCK = 4096  # members that are compared with as many others at a time: 134 MB of cosines
 STRIPE = 256  # rows of a link matrix that are searched at a time
-SLACK = 1e-9
 
 
 def _packed(vectors: DataFrame) -> DataFrame:
@@ -74,13 +73,16 @@ def _assign(angle: float, form: str):
     def run(rows: pa.Table, pivots: pa.Table) -> pa.Table:
         pivots = pivots.sort_by("node")
         x, p = _unit(rows.column("vec"), form), _unit(pivots.column("vec"), form)
+        # A cosine is right to about the number of components times the rounding unit. Angles and chords of vectors that
+        # nearly agree are wrong by up to the root of that, so the bounds give way by more.
+        slack = 4 * np.sqrt(x.shape[1] * np.finfo(np.float64).eps)
         close = x @ p.T
         turn = np.arccos(np.clip(close, -1, 1))
         home = close.argmax(axis=1)
         at = np.arange(len(x))
-        near = turn <= (turn[at, home] + 2 * angle + SLACK)[:, None]
+        near = turn <= (turn[at, home] + 2 * angle + slack)[:, None]
         gap = np.sqrt(np.maximum(2 - 2 * p @ p.T, 0))[home]  # from the home pivot to each other one
-        near &= close[at, home][:, None] - close <= np.sin(min(angle, np.pi / 2)) * gap + SLACK
+        near &= close[at, home][:, None] - close <= np.sin(min(angle, np.pi / 2)) * gap + slack
         near &= np.arange(len(p))[None, :] < home[:, None]
         near[at, home] = True
         row, cell = np.nonzero(near)
