@@ -201,17 +201,20 @@ def fit(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
     sample: int = SAMPLE,
 ) -> AdditiveModel:
-    """Learn from ``labels`` (id, 0 or 1) of documents in ``docs``, at most about ``sample`` of them, drawn by hash.
+    """Learn from ``labels`` (id, 0 or 1) of documents in ``docs``, at most ``sample`` of them, the first by a hash of the id.
 
-    Labels that are null or belong to no document teach nothing; a document with several labels counts once for each.
-    Without any label the score is one half everywhere.
+    Labels that are null or belong to no document teach nothing. Equal labels of an id count once, different ones once
+    each, and of several texts under one id one is learned from, so however often an id stands in either table, no more
+    than ``sample`` rows are gathered. Without any label the score is one half everywhere.
     """
     known = labels.select(labels[f"`{id_col}`"].alias("id"), labels[f"`{label_col}`"].cast("double").alias("y"))
-    known = known.where("id is not null and y in (0, 1)")
-    share = sample / max(sample, known.count())
-    drawn = known.where(F.pmod(F.xxhash64(F.lit(7), "id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    known = known.where("id is not null and y in (0, 1)").distinct()
+    order = F.pmod(F.xxhash64(F.lit(7), "id"), F.lit(1 << 40))
+    share = 1.25 * sample / max(sample, known.count())  # a few more, so that seldom less are left
+    drawn = known.where(order < int(share * (1 << 40))).orderBy(order, "id", "y").limit(sample)
     texts = docs.select(docs[f"`{id_col}`"].alias("id"), docs[f"`{text_col}`"].alias("text"))
-    rows = describe(texts.join(F.broadcast(drawn), "id"), keep_text=False).orderBy("id", "y").toArrow()
+    texts = texts.join(F.broadcast(drawn), "id").groupBy("id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    rows = describe(texts, keep_text=False).orderBy("id", "y").toArrow()
     x = np.array(rows.column("features").to_pylist(), dtype=float).reshape(-1, len(FEATURES))
     return boost(x, rows.column("y").to_numpy())
 
