@@ -3,13 +3,15 @@
 A greedy longest match proposes the tokens of each distinct word of a batch. The proposal is the BPE encoding if
 and only if every two neighbours are compatible, that is if no merge across their border comes before the merges
 that take the two border symbols away; this is checked for all pairs at once in numpy. Only words with an
-incompatible pair are merged exactly.
+incompatible pair are merged exactly. A word of LONG bytes or more is matched at all its bytes at once, and merged from a
+heap if that has to be.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Iterator
+from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import numpy as np
@@ -25,6 +27,7 @@ from lakelog.llm.buffers import WordHash, mix, pieces
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 CACHE = 200_000  # words whose tokens a worker remembers, a few hundred bytes each
 PIECE = 4 << 20
+LONG = 512  # bytes of a word from which it is handled by itself
 NEVER = np.int64(1) << 40
 
 
@@ -212,6 +215,53 @@ class ByteBPE:
         places = np.flatnonzero(chosen >= 0)
         return chosen[places], np.searchsorted(ends, places, side="right")
 
+    def propose_long(self, word: bytes) -> np.ndarray:
+        """Greedy longest matches of one word: first at all its bytes at once, then along the path from the first."""
+        text = np.frombuffer(word, np.uint8)
+        sums = self.hashing.sums(text)
+        second = np.append(text[1:], np.uint8(0))
+        limit = np.minimum(self.longest[text.astype(np.int64) << 8 | second], len(text) - np.arange(len(text)))
+        token = np.full(len(text), -1, dtype=np.int64)
+        for size in range(int(limit.max()), 0, -1):
+            look = np.flatnonzero((token < 0) & (limit >= size))
+            found = self.tokens.find(self.hashing.span(sums, look, size))
+            token[look] = np.where(found >= 0, self.token_ids[found], -1)
+        ahead, path, at = (np.arange(len(text)) + self.lengths[token]).tolist(), [], 0
+        while at < len(word):
+            path.append(at)
+            at = ahead[at]
+        return token[np.array(path)]
+
+    def merge_long(self, word: bytes) -> list[int]:
+        """The exact encoding of one word, merges taken from a heap by rank and place."""
+        ids = self.letter[np.frombuffer(word, np.uint8)].tolist()
+        size, get = len(ids), self.merges.get
+        after, before = list(range(1, size + 1)), list(range(-1, size - 1))
+        heap = [(m[0], i) for i in range(size - 1) if (m := get((ids[i], ids[i + 1])))]
+        heapify(heap)
+        while heap:
+            rank, i = heappop(heap)
+            j = after[i]
+            if ids[i] < 0 or j >= size or (m := get((ids[i], ids[j]))) is None or m[0] != rank:
+                continue  # one of the two has gone into another token since
+            ids[i], ids[j] = m[1], -1
+            k, b = after[j], before[i]
+            after[i] = k
+            if k < size:
+                before[k] = i
+                if m := get((ids[i], ids[k])):
+                    heappush(heap, (m[0], i))
+            if b >= 0 and (m := get((ids[b], ids[i]))):
+                heappush(heap, (m[0], b))
+        return [i for i in ids if i >= 0]
+
+    def encode_long(self, word: bytes) -> list[int]:
+        """The tokens of one long word, in time that grows about as its length."""
+        flat = self.propose_long(word)
+        if b"".join(map(self.bytes_of.__getitem__, flat.tolist())) != word:
+            raise RuntimeError("two different spellings have one hash")
+        return flat.tolist() if self.compatible(flat[:-1], flat[1:]).all() else self.merge_long(word)
+
     def compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether BPE keeps the border between tokens ``a`` and ``b``, for all pairs at once.
 
@@ -238,6 +288,9 @@ class ByteBPE:
 
     def encode_words(self, words: list[bytes]) -> list[list[int]]:
         """Token lists of the given words."""
+        if any(len(w) >= LONG for w in words):
+            short = iter(self.encode_words([w for w in words if len(w) < LONG]))
+            return [self.encode_long(w) if len(w) >= LONG else next(short) for w in words]
         flat, owner = self.propose_all(words)
         if b"".join(map(self.bytes_of.__getitem__, flat.tolist())) != b"".join(words):
             raise RuntimeError("two different spellings have one hash")
