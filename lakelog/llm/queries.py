@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -20,12 +20,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFr
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+def _told(held_out: Column) -> Column:
+    """The flag as a result: rows without an id, which teach nothing either, are not held out."""
+    return F.coalesce(held_out, F.lit(False)).alias("held_out")
+
+
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text", "lang")
     held_out = language_id.bucket_of("doc_id", 4) == 2
     model = language_id.fit(docs.where(~held_out))
     found = language_id.identify(docs.select("doc_id", "text"), model, keep_text=False)
-    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+    return found.select("doc_id", _told(held_out), "lang_pred", "score", "rejected")
 
 
 def op2_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,7 +38,7 @@ def op2_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     train = language_id.bucket_of("doc_id", 5) != 1
     tree = suffix_tree_lm.fit(docs.where(train))
     found = suffix_tree_lm.score(docs, tree, train)
-    return found.withColumn("held_out", ~train)
+    return found.withColumn("held_out", _told(~train))
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,7 +91,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = language_id.bucket_of("doc_id", 5) == 0
     labels = _table(spark, sf_dir, "labels", "doc_id", "quality").where(~held_out)
     found = quality.score(docs, quality.fit(docs, labels), keep_text=False)
-    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+    return found.select("doc_id", _told(held_out), "score", "predicted")
 
 
 def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
