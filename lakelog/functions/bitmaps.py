@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lakelog.functions.coords import OFFSET, PARTITION
 
 SLOT, BITMAP = "slot", "bitmap"
+SIZE = 32_768  # offsets in a slot, as Spark's bitmap functions have it
 
 
 def build(rows: DataFrame, *within: str) -> DataFrame:
@@ -29,6 +30,16 @@ def build(rows: DataFrame, *within: str) -> DataFrame:
     )
 
 
+def slot_of(offset: int) -> int:
+    """The slot of an offset, as ``bitmap_bucket_number`` gives it."""
+    return 1 + (offset - 1) // SIZE if offset > 0 else -(-offset // SIZE)
+
+
+def end_of(slot: int) -> int:
+    """The first offset after a slot."""
+    return slot * SIZE + 1
+
+
 def unite(sets: DataFrame) -> DataFrame:
     """(partition, slot, bitmap) of all offsets that any of the sets holds."""
     return sets.groupBy(PARTITION, SLOT).agg(F.bitmap_or_agg(BITMAP).alias(BITMAP))

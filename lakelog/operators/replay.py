@@ -16,7 +16,8 @@ from pyspark.sql import types as T
 from lakelog.functions import bitmaps
 from lakelog.functions.coords import OFFSET, PARTITION, TIMESTAMP, offset_range
 from lakelog.operators.index import OffsetIndex, lookup
-from lakelog.operators.ordering import Ordered, with_previous, write_ordered
+from lakelog.operators.ordering import Ordered, range_tasks, with_previous, write_ordered
+from lakelog.operators.tiers import Topic
 from lakelog.sources.files import Pointer
 
 REPLAY_OFFSET = "replay_offset"
@@ -29,6 +30,37 @@ def replay(log: DataFrame, start: int | None = None, width: int | None = None) -
     return rows.orderBy(PARTITION, OFFSET)
 
 
+def _cut(borders: list[tuple[int, int]], first: int = 0) -> str:
+    """The number of borders (partition, offset) that a row is not before, as SQL: a search by halves."""
+    if not borders:
+        return str(first)
+    half = len(borders) // 2
+    p, at = borders[half]
+    before = f"{PARTITION} < {p} OR ({PARTITION} = {p} AND {OFFSET} < {at})"
+    return f"IF({before}, {_cut(borders[:half], first)}, {_cut(borders[half + 1 :], first + half + 1)})"
+
+
+def replay_topic(topic: Topic, start: int | None = None, tasks: int | None = None) -> DataFrame:
+    """Both tiers in order per partition, like ``replay``, without sampling: a stored log knows where its offsets lie.
+
+    The folders in the pointers give borders between ``tasks`` runs of about as many rows, and a row goes straight to its run.
+    Rows that arrive meanwhile lie between the same borders. Topics with a side that is no stored log are
+    sorted as ``replay`` does.
+    """
+    log, folders = topic.merged(), topic.folders()
+    if not folders:
+        return replay(log, start, topic.width)
+    tasks = tasks or range_tasks(log)
+    share, borders, run = sum(rows for *_, rows in folders) / tasks, [], 0
+    for p, low, rows in folders:
+        if run >= share * (len(borders) + 1) and (not borders or (p, low) > borders[-1]):
+            borders.append((p, low))
+        run += rows
+    rows = log if start is None else log.where(offset_range(low=start, width=topic.width))
+    number = F.expr(f"CAST({_cut(borders)} AS INT)")
+    return rows.repartitionById(len(borders) + 1, number).sortWithinPartitions(PARTITION, OFFSET)
+
+
 def starts(log: DataFrame) -> DataFrame:
     """The first retained offset of each partition."""
     return log.groupBy(PARTITION).agg(F.min(OFFSET).alias("start_offset"))
@@ -57,6 +89,28 @@ def page(log: DataFrame, partition: int, position: int, size: int,
     return part.orderBy(OFFSET).limit(size)
 
 
+def page_topic(topic: Topic, partition: int, position: int, size: int) -> DataFrame:
+    """The same page of both tiers of a topic, read by one job wherever records are rare.
+
+    How many records lie in each slot of offsets is known from the bitmaps that commits keep, so the end of the page is
+    found before any record is read: at most ``size`` + 1 small rows come to the driver. Topics with a side that is no stored
+    log are searched as ``page`` does.
+    """
+    sets = topic.offset_sets()
+    if sets is None:
+        return page(topic.merged(), partition, position, size, topic.width)
+    first = bitmaps.slot_of(position)
+    ahead = sets.where((F.col(PARTITION) == partition) & (F.col(bitmaps.SLOT) >= first))
+    counts = bitmaps.unite(ahead).select(bitmaps.SLOT, F.bitmap_count(bitmaps.BITMAP).alias("n"))
+    end, found = None, 0
+    for slot, n in counts.orderBy(bitmaps.SLOT).limit(size + 1).collect():
+        found += n if slot > first else 0  # of the first slot some may lie before the position
+        if found >= size:
+            end = bitmaps.end_of(slot)
+            break
+    return topic.merged().where(offset_range(position, end, partition, topic.width)).orderBy(OFFSET).limit(size)
+
+
 class Progress:
     """Committed positions per consumer group, topic and partition."""
 

@@ -124,6 +124,30 @@ class Topic:
         paths = {leaf.path for leaf in leaves}
         return coverage.unarchived(self.hot.read(snap, lambda leaf: leaf.path in paths), leaves)
 
+    def _logs(self) -> list[tuple[Table, Snapshot]] | None:
+        """Both sides with their snapshots; None if one of them is no stored log with offset folders."""
+        out = []
+        for side in (self.cold, self.hot):
+            if side is None:
+                continue
+            snap = side.snapshot() if isinstance(side, Table) and not self.key else None
+            if snap is None or snap.frontier() is None or any(leaf.offsets is None for leaf in snap.leaves):
+                return None
+            out.append((side, snap))
+        return out
+
+    def offset_sets(self) -> DataFrame | None:
+        """The offsets of both sides as bitmaps, from what their commits keep; None if they keep none."""
+        sets = [table.offset_sets(snap) for table, snap in self._logs() or [] if snap.leaves]
+        return reduce(DataFrame.unionByName, sets) if sets else None
+
+    def folders(self) -> list[tuple[int, int, int]] | None:
+        """(partition, first offset, rows) of the folders of both sides, in order; None if the pointers do not say."""
+        logs = self._logs()
+        if logs is None:
+            return None
+        return sorted((leaf.values[PARTITION], leaf.low, leaf.rows) for _, snap in logs for leaf in snap.leaves)
+
     def newest(self, n: int) -> DataFrame:
         """The merged rows with the ``n`` highest offsets; of equal ones, of the lowest partitions."""
         return self._ends(n, True).orderBy(F.desc(OFFSET), PARTITION).limit(n)

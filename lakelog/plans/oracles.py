@@ -340,6 +340,10 @@ _BODIES: dict[str, str] = {
         GROUP BY value""",
     # replay
     "replay": f"SELECT {_EV} FROM L ORDER BY kafka_partition, kafka_offset",
+    "replay_stored": f"SELECT {_EV} FROM L",
+    "replay_page_stored": f"""
+        SELECT {_EV} FROM L WHERE kafka_partition = 1 AND kafka_offset >= (n * 7 + 9) // 10 - 50
+        ORDER BY kafka_offset LIMIT 200""",
     "replay_hot_start": """
         SELECT kafka_partition, MIN(kafka_offset) AS start_offset FROM hot GROUP BY 1""",
     "replay_page": f"""

@@ -750,6 +750,19 @@ def replay_log(spark, sf_dir):
     return replay.replay(_merged(spark, sf_dir), 0).select(*EVENT_COLUMNS)
 
 
+@query
+def replay_stored(spark, sf_dir):
+    """The same from stored tiers, put in order by the borders of their folders."""
+    return replay.replay_topic(fx.stored_events(spark, sf_dir), 0).select(*EVENT_COLUMNS)
+
+
+@query
+def replay_page_stored(spark, sf_dir):
+    """A page across the boundary of stored tiers, its end found from the counts of their commits."""
+    start = fx.share(fx.events_count(spark, sf_dir), 7) - 50
+    return replay.page_topic(fx.stored_events(spark, sf_dir), 1, start, 200).select(*EVENT_COLUMNS)
+
+
 @query
 def replay_hot_start(spark, sf_dir):
     return replay.starts(fx.events(spark, sf_dir).hot_scan())
