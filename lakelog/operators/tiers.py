@@ -137,8 +137,12 @@ class Topic:
         return out
 
     def offset_sets(self) -> DataFrame | None:
-        """The offsets of both sides as bitmaps, from what their commits keep; None if they keep none."""
-        sets = [table.offset_sets(snap) for table, snap in self._logs() or [] if snap.leaves]
+        """The offsets of both sides as bitmaps, with a column ``tier``, from what their commits keep; None if they keep none."""
+        sets = [
+            table.offset_sets(snap).withColumn("tier", F.lit("hot" if table is self.hot else "cold"))
+            for table, snap in self._logs() or []
+            if snap.leaves
+        ]
         return reduce(DataFrame.unionByName, sets) if sets else None
 
     def folders(self) -> list[tuple[int, int, int]] | None:

@@ -373,6 +373,17 @@ def tier_distribution(spark, sf_dir):
     return reports.tier_distribution(topic.hot_scan(), topic.cold_scan(), topic.merged())
 
 
+@query
+def tier_distribution_stored(spark, sf_dir):
+    """The same of stored tiers, from what their commits know of offsets."""
+    return reports.stored_distribution(fx.stored_events(spark, sf_dir))
+
+
+@query
+def contiguity_stored(spark, sf_dir):
+    return reports.stored_contiguity(fx.stored_events(spark, sf_dir))
+
+
 @query
 def freshness(spark, sf_dir):
     return reports.freshness(fx.route_events(_merged(spark, sf_dir)), AS_OF_MS)

@@ -8,9 +8,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakelog.functions.coords import OFFSET
+from lakelog.functions import bitmaps
+from lakelog.functions.coords import OFFSET, PARTITION
 from lakelog.functions.scalars import hour_text, json_int, percent, percent_share
 from lakelog.operators.ordering import pick_ranks
+from lakelog.operators.tiers import Topic
 
 
 def tier_counts(tiers: Mapping[str, DataFrame], distinct: bool = False,
@@ -53,6 +55,45 @@ def tier_distribution(hot: DataFrame, cold: DataFrame, merged: DataFrame) -> Dat
     )
 
 
+def _slots(topic: Topic) -> DataFrame:
+    """What the commits of both tiers know of each slot of offsets, in one row; no record is read."""
+    sets = topic.offset_sets()
+    if sets is None:
+        raise ValueError(f"{topic.name} has a side that keeps no offsets: use the reports over its rows")
+    own = lambda tier, column: F.when(F.col("tier") == tier, F.col(column))
+    return sets.groupBy(PARTITION, bitmaps.SLOT).agg(
+        F.bitmap_or_agg(bitmaps.BITMAP).alias("both"), F.min("low").alias("low"), F.max("high").alias("high"),
+        *[f(own(tier, c)).alias(f"{tier}_{name}") for tier in ("hot", "cold")
+          for f, c, name in ((F.sum, "rows", "count"), (F.min, "low", "earliest"), (F.max, "high", "latest"))],
+    )
+
+
+def stored_distribution(topic: Topic) -> DataFrame:
+    """``tier_distribution`` of stored tiers from the bitmaps of their commits: a row of a slot instead of one of a record.
+
+    All tiers are seen at one moment, so the highest offset is the peg. An offset of the log counts once in the merged count.
+    """
+    names = [f"{tier}_{name}" for tier in ("hot", "cold") for name in ("count", "earliest", "latest")]
+    how = {"count": F.sum, "earliest": F.min, "latest": F.max}
+    total = _slots(topic).agg(
+        F.coalesce(F.max("high"), F.lit(0)).alias("offset_peg"), F.coalesce(F.sum(F.bitmap_count("both")), F.lit(0)).alias("merged_count"),
+        *[how[n.split("_")[1]](n).alias(n) for n in names],
+    ).fillna(0, ["hot_count", "cold_count"])
+    return total.select(
+        "offset_peg", *names, "merged_count",
+        percent_share(F.col("hot_count"), F.col("merged_count")).alias("hot_pct"),
+        percent_share(F.col("cold_count"), F.col("merged_count")).alias("cold_pct"),
+    )
+
+
+def stored_contiguity(topic: Topic) -> DataFrame:
+    """Per log partition of stored tiers: bounds, records, and how many offsets between them are missing; no record is read."""
+    return _slots(topic).groupBy(PARTITION).agg(
+        F.min("low").alias("first_offset"), F.max("high").alias("last_offset"), F.sum(F.bitmap_count("both")).alias("records"),
+        (F.max("high") - F.min("low") + 1 - F.sum(F.bitmap_count("both"))).alias("missing"),
+    )
+
+
 def uniqueness(df: DataFrame, key: str) -> DataFrame:
     return df.agg(
         F.count(F.lit(1)).alias("total"),

@@ -129,23 +129,24 @@ class Table:
         return df
 
     def offset_sets(self, snap: Snapshot, keep: Callable[[Leaf], bool] | None = None) -> DataFrame:
-        """The offsets of the rows that ``read`` gives, as bitmaps: (partition, slot, bitmap), several of a slot.
+        """The offsets of the rows that ``read`` gives, as bitmaps: (partition, slot, bitmap, low, high, rows), several of a slot.
 
         They are read where all folders have them, else made from the coordinates.
         """
+        names = [PARTITION, bitmaps.SLOT, bitmaps.BITMAP, "low", "high", "rows"]
         leaves = [leaf for leaf in snap.leaves if keep is None or keep(leaf)]
         if not leaves or any(leaf.offsets is None for leaf in leaves):
-            return bitmaps.build(self.read(snap, keep)).select(PARTITION, bitmaps.SLOT, bitmaps.BITMAP)
+            return bitmaps.build(self.read(snap, keep)).select(*names)
         live: dict[str, list[Leaf]] = {}
         for leaf in leaves:
             live.setdefault(leaf.commit, []).append(leaf)
         sets = self.spark.read.option("basePath", self._offsets).parquet(*(f"{self._offsets}/{c}" for c in live))
         if any(len(members) < snap.sizes[c] for c, members in live.items()):
-            names, cols = ["commit", *snap.partition_by], snap.partition_by
+            cols = snap.partition_by
             own = [(leaf.commit.split("=", 1)[1], *(leaf.values[c] for c in cols)) for leaf in leaves]
             form = ", ".join(["commit string", *(f"`{c}` bigint" for c in cols)])
-            sets = sets.join(self.spark.createDataFrame(own, form), names, "left_semi")
-        return sets.select(PARTITION, bitmaps.SLOT, bitmaps.BITMAP)
+            sets = sets.join(self.spark.createDataFrame(own, form), ["commit", *cols], "left_semi")
+        return sets.select(*names)
 
     def _paths(self, snap: Snapshot, leaves: Sequence[Leaf]) -> list[str]:
         """Commit folders where the whole commit is live, else single leaf folders."""

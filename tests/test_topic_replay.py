@@ -7,6 +7,7 @@ from lakelog.functions import bitmaps
 from lakelog.functions.coords import OFFSET, PARTITION
 from lakelog.operators import archive, replay
 from lakelog.operators.tiers import Topic
+from lakelog.plans import reports
 from lakelog.sources.store import Table
 
 
@@ -69,3 +70,17 @@ def test_other_topics_are_sorted(spark, folder):
 def test_slots():
     for k in range(-70_000, 70_000, 7):
         assert k < bitmaps.end_of(bitmaps.slot_of(k)) and (bitmaps.slot_of(k) == bitmaps.slot_of(k - 1) or k == bitmaps.end_of(bitmaps.slot_of(k - 1)) or k <= 0)
+
+
+def test_reports_from_bitmaps_alone(spark, topic):
+    own = coordinates(sparse(spark, 0, 400_000))
+    found = {r[PARTITION]: tuple(r)[1:] for r in reports.stored_contiguity(topic).collect()}
+    for p in (0, 1):
+        mine = [o for q, o in own if q == p]
+        assert found[p] == (min(mine), max(mine), len(mine), max(mine) - min(mine) + 1 - len(mine))
+    row = reports.stored_distribution(topic).first()
+    hot, cold = topic.hot.read(), topic.cold.read()
+    assert (row.hot_count, row.cold_count, row.merged_count) == (hot.count(), cold.count(), len(own))
+    assert (row.offset_peg, row.cold_earliest, row.cold_latest, row.hot_earliest) == (399_999, 0, 249_999, 93_000)
+    with pytest.raises(ValueError, match="keeps no offsets"):
+        reports.stored_distribution(Topic("t", hot=hot))
