@@ -6,7 +6,7 @@ known. A set of a partition without gaps takes a bit for each offset, whatever i
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakelog.functions.coords import OFFSET, PARTITION
@@ -66,3 +66,41 @@ def outside(rows: DataFrame, sets: DataFrame) -> DataFrame:
 def inside(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """Rows whose offset one of the sets holds."""
     return _met(rows, sets).where(F.coalesce(_holds(F.col("__bitmap")), F.lit(False))).select(*rows.columns)
+
+
+# Offsets of a bitmap in order. Slots up to 0 count downwards.
+_BITS = (
+    "FLATTEN(TRANSFORM(SEQUENCE(0, 4095), i -> TRANSFORM(FLATTEN(TRANSFORM("
+    f"ARRAY(CAST(CONV(HEX(SUBSTRING({BITMAP}, i + 1, 1)), 16, 10) AS INT)), "
+    "v -> FILTER(SEQUENCE(0, 7), b -> (SHIFTRIGHT(v, b) & 1) = 1))), b -> i * 8 + b)))"
+)
+_PRESENT = (
+    f"IF({SLOT} > 0, TRANSFORM({_BITS}, p -> ({SLOT} - 1) * {SIZE}L + 1 + p), "
+    f"REVERSE(TRANSFORM({_BITS}, p -> {SLOT} * {SIZE}L - p)))"
+)
+_WHOLE = f"ARRAY(({SLOT} - 1) * {SIZE}L + 1, {SLOT} * {SIZE}L)"  # only its ends: nothing is missing between
+_INNER = (
+    "FILTER(ZIP_WITH(SLICE(present, 1, SIZE(present) - 1), SLICE(present, 2, SIZE(present) - 1), "
+    "(x, y) -> STRUCT(x + 1 AS gap_start, y - 1 AS gap_end)), g -> g.gap_start <= g.gap_end)"
+)
+
+
+def gaps(sets: DataFrame) -> DataFrame:
+    """(partition, gap_start, gap_end): ranges between the lowest and the highest offset of a partition that no set holds.
+
+    Only bitmaps with holes are opened. What is ordered is a row of a slot, and not of an offset.
+    """
+    known = unite(sets)
+    whole = (F.col(SLOT) > 0) & (F.bitmap_count(BITMAP) == SIZE)
+    slots = (
+        known.withColumn("present", F.when(whole, F.expr(_WHOLE)).otherwise(F.expr(_PRESENT)))
+        .select(
+            PARTITION, SLOT, F.element_at("present", 1).alias("first"), F.element_at("present", -1).alias("last"),
+            F.when(whole, F.expr("ARRAY()").cast("array<struct<gap_start:bigint,gap_end:bigint>>"))
+            .otherwise(F.expr(_INNER)).alias("inner"),
+        )
+    )
+    before = F.lag("last").over(Window.partitionBy(PARTITION).orderBy(SLOT))
+    ahead = F.struct((before + 1).alias("gap_start"), (F.col("first") - 1).alias("gap_end"))
+    ranges = slots.select(PARTITION, F.concat(F.array(ahead), "inner").alias("ranges"))
+    return ranges.select(PARTITION, F.inline("ranges")).where("gap_start <= gap_end")

@@ -167,9 +167,16 @@ class Pinned:
         return apply_template(template, sql_literal(value))
 
     def blocks(self, probe: str) -> DataFrame:
-        hits = self.table.read(self.snap).where(f"{VALUE} = {probe}")
+        """Blocks of a value; ``probe`` may list several with commas."""
+        hits = self.table.read(self.snap).where(f"{VALUE} IN ({probe})")
         return hits.select(PARTITION, GRANULE)
 
+    def blind(self, probe: str) -> bool:
+        """Whether the probe is null, as of a template that makes null of a value: the index holds no nulls."""
+        if "(" not in probe:  # a literal, or several
+            return False
+        return self.table.spark.sql(f"SELECT EXISTS(ARRAY({probe}), x -> x IS NULL) AS n").first()["n"]
+
     def prune(self, log: DataFrame, probe: str, bucket_width: int | None = None,
               partitions: Iterable[int] | None = None) -> DataFrame:
         """Rows of ``log`` in matching blocks or in the tail: a superset of the matches.
@@ -179,6 +186,8 @@ class Pinned:
         that the value is everywhere, and the whole log is read.
         ``partitions`` names all log partitions that ``log`` has, if that is known.
         """
+        if self.blind(probe):
+            return log
         width, reached = self.snap.props["width"], self.reached
         found = self.blocks(probe)
         # Sorted, so that one job finds them all; each task keeps no more than the limit.
@@ -213,13 +222,13 @@ class Pinned:
         return hits.unionByName(reached.at_or_after(log))
 
     def explain(self, probe: str) -> DataFrame:
-        """The offset ranges that a lookup reads; an open end is the unindexed tail."""
-        width = self.snap.props["width"]
+        """The offset ranges that a lookup reads; an open end is the unindexed tail, from 0 if the index cannot tell."""
+        width, blind = self.snap.props["width"], self.blind(probe)
         ranges = self.blocks(probe).distinct().select(
             PARTITION, F.col(GRANULE).alias("low"), (F.col(GRANULE) + width).alias("high")
         )
         tails = self.table.spark.createDataFrame(
-            [(p, at, None) for p, at in sorted(self.reached.entries.items())],
+            [(p, 0 if blind else at, None) for p, at in sorted(self.reached.entries.items())],
             f"{PARTITION} int, low bigint, high bigint",
         )
         return ranges.unionByName(tails)

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from lakelog.functions import bitmaps
 from lakelog.functions.coords import OFFSET, PARTITION, TIMESTAMP, offset_range
 from lakelog.operators.index import OffsetIndex, lookup
-from lakelog.operators.ordering import Ordered, range_tasks, with_previous, write_ordered
+from lakelog.operators.ordering import Ordered, range_tasks, write_ordered
 from lakelog.operators.tiers import Topic
 from lakelog.sources.files import Pointer
 
@@ -165,14 +165,22 @@ class VirtualTopic:
         return log.where(F.expr(self.where)) if self.where else log
 
 
-def gaps(log: DataFrame, width: int = 1_000_000) -> DataFrame:
-    """Missing offset ranges inside each partition."""
-    prev = F.col(f"previous.{OFFSET}")
-    steps = with_previous(log.select(PARTITION, OFFSET), [PARTITION], [OFFSET], width)
-    return steps.where(F.col(OFFSET) > prev + 1).select(
-        PARTITION, (prev + 1).alias("gap_start"), (F.col(OFFSET) - 1).alias("gap_end"),
-        (F.col(OFFSET) - prev - 1).alias("missing"),
-    )
+def gaps(log: DataFrame) -> DataFrame:
+    """Missing offset ranges inside each partition.
+
+    One scan of the offsets: they become bitmaps before the shuffle, so no record is sorted or sent to a neighbour.
+    """
+    return _missing(bitmaps.build(log.select(PARTITION, OFFSET)))
+
+
+def gaps_topic(topic: Topic) -> DataFrame:
+    """The same of all tiers of a topic; stored ones answer from the bitmaps of their commits, without reading records."""
+    sets = topic.offset_sets()
+    return gaps(topic.merged()) if sets is None else _missing(sets)
+
+
+def _missing(sets: DataFrame) -> DataFrame:
+    return bitmaps.gaps(sets).withColumn("missing", F.col("gap_end") - F.col("gap_start") + 1)
 
 
 def contiguity(log: DataFrame) -> DataFrame:

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from lakelog.operators.cdc import DELETED, KEY_BUCKET
 from lakelog.operators.coverage import Coverage
 from lakelog.operators.index import OffsetIndex, choose
 from lakelog.operators.tiers import Topic
+from lakelog.plans import served
 from lakelog.sources.store import Table
 from lakelog.sources.workdir import new_folder
 
@@ -161,28 +163,59 @@ class TierCatalog:
         self.indexes.setdefault(name, []).append(index)
 
     def query(self, sql: str, tier: str = "merged", *,
-              index: tuple[str, str, Any] | None = None) -> DataFrame:
+              index: bool | tuple[str, str, Any] = False) -> DataFrame:
         """Run ``sql`` with unqualified table names resolved to ``tier``.
 
-        ``index`` names what the query looks for, as (table, expression over
-        ``$field`` written with the field's name, value). The table then only
-        holds the blocks that can match, and the predicate in ``sql`` decides.
+        With ``index=True`` the tables hold only the blocks that can match, if their indexes serve what the
+        query asks of them; what it asks is found in Spark's own plan of it (``served``). A tuple says it instead,
+        as (table, expression over ``$field`` written with the field's name, value). Either way
+        the predicates in ``sql`` decide, and tiers other than cold and merged are read whole.
         """
         mentioned = [n for n in self.topics if re.search(rf"\b{re.escape(n)}\b", sql)]
         for name in mentioned:
             self.refresh(name)
         before = self.spark.catalog.currentDatabase()
-        narrowed = None
         self.spark.catalog.setCurrentDatabase(tier)
         try:
-            if index:
-                narrowed = index[0]
-                self._narrow(tier, *index).createOrReplaceTempView(narrowed)
-            return self.spark.sql(sql)
+            narrowed = {}
+            if index is True:
+                narrowed = self._served(sql, tier, mentioned)
+            elif index:
+                narrowed = {index[0]: self._narrow(tier, *index)}
+            with self._standing_in(narrowed):
+                return self.spark.sql(sql)
         finally:
             self.spark.catalog.setCurrentDatabase(before)
-            if narrowed:
-                self.spark.catalog.dropTempView(narrowed)
+
+    @contextmanager
+    def _standing_in(self, frames: dict[str, DataFrame]) -> Iterator[None]:
+        """Temporary views in the place of tables while a text is resolved."""
+        try:
+            for name, frame in frames.items():
+                frame.createOrReplaceTempView(name)
+            yield
+        finally:
+            for name in frames:
+                self.spark.catalog.dropTempView(name)
+
+    def _served(self, sql: str, tier: str, mentioned: list[str]) -> dict[str, DataFrame]:
+        """The indexed tables of a query that its predicates narrow. A temporary view hides a table of its name."""
+        views = self.spark._jsparkSession.sessionState().catalog()
+        names = [
+            n for n in mentioned
+            if tier in ("cold", "merged") and (tier, n) in self._published and self.indexes.get(n)
+            and not self.topics[n].key and views.getTempView(n).isEmpty()
+        ]
+        if not names:
+            return {}
+        columns = {n: self.spark.table(f"{tier}.{n}").schema for n in names}
+        indexes = {n: [index.pinned() for index in self.indexes[n]] for n in names}
+        with self._standing_in({n: served.stand_in(self.spark, n, columns[n]) for n in names}):
+            found = served.probes(self.spark, sql, indexes)
+        return {
+            n: self.topics[n].candidates(index, ", ".join(values), tier == "merged").select(*columns[n].names)
+            for n, (index, values) in found.items()
+        }
 
     def _narrow(self, tier: str, name: str, expression: str, value: Any) -> DataFrame:
         topic = self.topics[name]

@@ -131,6 +131,11 @@ _BODIES: dict[str, str] = {
     "query_in_set_indexed": """
         SELECT c_custkey, c_name, c_acctbal FROM C
         WHERE UPPER(TRIM(c_name)) = 'CUSTOMER#000000042'""",
+    "query_indexed_report": """
+        SELECT c_mktsegment AS segment, n_regionkey, COUNT(*) AS customers, SUM(c_acctbal) AS balance
+        FROM C JOIN nation ON n_nationkey = c_nationkey
+        WHERE UPPER(TRIM(c_name)) IN ('CUSTOMER#000000007', 'CUSTOMER#000000042', 'CUSTOMER#000000099')
+        GROUP BY 1, 2""",
     # projections and filters
     "project_rename": 'SELECT "OrderID", "Status" AS hotset_status FROM live',
     "filter_eq": f"""SELECT {_OR} FROM live WHERE "Status" = 'SHIPPED'""",
@@ -389,6 +394,13 @@ _BODIES: dict[str, str] = {
                      LAG(kafka_offset) OVER (PARTITION BY kafka_partition ORDER BY kafka_offset)
                        AS prev FROM L) t
         WHERE kafka_offset > prev + 1""",
+    "offset_gaps_stored": """
+        SELECT kafka_partition, prev + 1 AS gap_start, kafka_offset - 1 AS gap_end,
+               kafka_offset - prev - 1 AS missing
+        FROM (SELECT kafka_partition, kafka_offset,
+                     LAG(kafka_offset) OVER (PARTITION BY kafka_partition ORDER BY kafka_offset)
+                       AS prev FROM L) t
+        WHERE kafka_offset > prev + 1""",
     "contiguity": """
         SELECT kafka_partition, MIN(kafka_offset) AS first_offset,
                MAX(kafka_offset) AS last_offset, COUNT(*) AS records,

@@ -182,16 +182,33 @@ def query_in_set(spark, sf_dir):
     ])
 
 
+def _indexed(spark, sf_dir) -> TierCatalog:
+    cat = _catalog(spark, sf_dir)
+    cat.add_index("customers", fx.upper_index(spark, sf_dir))
+    return cat
+
+
 @query
 def query_in_set_indexed(spark, sf_dir):
     """SQL with a predicate on an indexed expression reads matching blocks only."""
-    cat = _catalog(spark, sf_dir)
-    cat.add_index("customers", fx.upper_index(spark, sf_dir))
-    value = "CUSTOMER#000000042"
-    return cat.query(
-        "SELECT c_custkey, c_name, c_acctbal FROM customers "
-        f"WHERE UPPER(TRIM(c_name)) = '{value}'",
-        "merged", index=("customers", "UPPER(TRIM(c_name))", value),
+    return _indexed(spark, sf_dir).query(
+        "SELECT c_custkey, c_name, c_acctbal FROM customers WHERE UPPER(TRIM(c_name)) = 'CUSTOMER#000000042'",
+        index=True,
+    )
+
+
+@query
+def query_indexed_report(spark, sf_dir):
+    """The index serves predicates that Spark moves to the table: out of a derived table, beside a join, in a list."""
+    return _indexed(spark, sf_dir).query(
+        """
+        SELECT c.segment, n.n_regionkey, COUNT(*) AS customers, SUM(c.c_acctbal) AS balance
+        FROM (SELECT UPPER(TRIM(c_name)) AS name, c_mktsegment AS segment, c_nationkey, c_acctbal FROM customers) c
+        JOIN parquet.`{0}/nation.parquet` n ON n.n_nationkey = c.c_nationkey
+        WHERE (c.name IN ('CUSTOMER#000000007', 'CUSTOMER#000000042') OR c.name = 'CUSTOMER#000000099')
+          AND c.c_acctbal IS NOT NULL
+        GROUP BY c.segment, n.n_regionkey""".format(sf_dir),
+        index=True,
     )
 
 
@@ -853,7 +870,13 @@ def replay_rule(spark, sf_dir):
 @query
 def offset_gaps(spark, sf_dir):
     """Gaps in the offsets of each partition of the log."""
-    return replay.gaps(_merged(spark, sf_dir), fx.window_width(spark, sf_dir))
+    return replay.gaps(_merged(spark, sf_dir))
+
+
+@query
+def offset_gaps_stored(spark, sf_dir):
+    """The same of stored tiers, from the bitmaps that their commits keep."""
+    return replay.gaps_topic(fx.stored_events(spark, sf_dir))
 
 
 @query

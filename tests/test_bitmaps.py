@@ -2,8 +2,9 @@
 
 from lakelog.functions import bitmaps
 from lakelog.functions.coords import OFFSET, PARTITION
-from lakelog.operators import archive
+from lakelog.operators import archive, replay
 from lakelog.operators.coverage import Coverage
+from lakelog.operators.tiers import Topic
 from lakelog.sources.store import Table
 
 SCHEMA = f"{PARTITION} int, {OFFSET} long, v string"
@@ -63,3 +64,33 @@ def test_append_does_not_shuffle_offsets(spark, folder):
     plan = fresh._jdf.queryExecution().optimizedPlan().toString()
     assert "bitmap_or_agg" in plan and f"{OFFSET}#" in plan and "LeftAnti" not in plan
     assert offsets(fresh) == list(range(1, 300, 2))
+
+
+def test_gaps_are_those_of_the_sorted_offsets(spark):
+    size = bitmaps.SIZE
+    odd = {0: {0, 1, 5, size - 1, size, size + 1, 2 * size, 2 * size + 1, 5 * size + 7},
+           1: set(range(-size - 3, 2 * size + 1)) - {-size, -1, 0, 7, 8, 9, size},
+           2: set(range(1, 3 * size + 1)) - set(range(40, size + 20)), 3: {12}, 4: set(range(10_000, 40_000, 2)),
+           None: {3, 5}}
+    rows = spark.createDataFrame([(p, o) for p, own in odd.items() for o in own] + [(3, 12), (0, None), (5, None)],
+                                 f"{PARTITION} int, {OFFSET} bigint")
+    want = sorted((str(p), a + 1, b - 1, b - a - 1) for p, own in odd.items()
+                  for a, b in zip(sorted(own), sorted(own)[1:], strict=False) if b > a + 1)
+    found = replay.gaps(rows)
+    assert sorted((str(r[0]), *r[1:]) for r in found.collect()) == want
+    assert replay.gaps(rows.where("FALSE")).count() == 0
+
+
+def test_gaps_take_one_scan_and_stored_tiers_read_no_records(spark, folder):
+    rows = log(spark, [*range(300), *range(400, 900)])
+    cold = Table(spark, folder)
+    archive.archive(cold, rows.where(f"{OFFSET} < 600"), 100)
+    archive.append(cold, rows)
+    plain = replay.gaps(cold.read())
+    got = list(map(tuple, plain.collect()))
+    assert got == [(0, 300, 399, 100)]
+    plan = plain._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan") == 1 and f"ReadSchema: struct<{OFFSET}:bigint>" in plan
+    stored = replay.gaps_topic(Topic("t", cold=cold))
+    assert list(map(tuple, stored.collect())) == got
+    assert OFFSET not in stored._jdf.queryExecution().executedPlan().toString()

@@ -92,6 +92,82 @@ def test_index_narrows_a_sql_query(spark, folder, catalog):
     assert [r[0] for r in other.collect()] == [3]
 
 
+@pytest.fixture
+def indexed(spark, folder):
+    """A topic with two indexes, and rows that are live only."""
+    rows = log(spark, 0, 400).withColumn("Name", F.concat(F.lit(" n"), (F.col("kafka_offset") % 50).cast("string")))
+    cold, hot = Table(spark, folder + "/c"), Table(spark, folder + "/h")
+    archive.archive(cold, rows.where("kafka_offset < 300"), 100)
+    archive.archive(hot, rows.where("kafka_offset >= 250"), 100)
+    catalog = TierCatalog(spark, [Topic("names", hot=hot, cold=cold, width=100)]).publish()
+    for template in ("UPPER(TRIM($field))", "SUBSTRING($field, 1, 3)"):
+        catalog.add_index("names", OffsetIndex.build(spark, f"{folder}/{len(template)}", cold, "Name", template, 2))
+    return catalog
+
+
+# The text, and how many values an index is asked for; none if it does not serve the query.
+TEXTS = [
+    ("SELECT * FROM names WHERE UPPER(TRIM(Name)) = 'N7'", 1),
+    ("SELECT * FROM names WHERE 'N7' = upper(trim(name)) AND kafka_offset > 60", 1),
+    ("SELECT * FROM names WHERE Name = ' n7'", 1),
+    ("SELECT * FROM names WHERE UPPER(TRIM(Name)) IN ('N7', 'N8', NULL)", 2),
+    ("SELECT * FROM names WHERE UPPER(TRIM(Name)) = 'N7' OR (UPPER(TRIM(Name)) = 'N8' AND v > 0)", 2),
+    ("SELECT * FROM names WHERE UPPER(TRIM(Name)) = 'N7' OR v > 3900", None),
+    ("SELECT * FROM names WHERE NOT UPPER(TRIM(Name)) = 'N7'", None),
+    ("SELECT * FROM names WHERE UPPER(Name) = ' N7'", None),
+    ("SELECT * FROM names WHERE UPPER(TRIM(Name)) = NULL", None),
+    ("SELECT * FROM (SELECT UPPER(TRIM(Name)) AS k, v FROM names) WHERE k = 'N9'", 1),
+    ("WITH x AS (SELECT Name, v FROM names) SELECT v FROM x WHERE Name = ' n9' UNION ALL SELECT v FROM x WHERE Name = ' n3'", 2),
+    ("SELECT a.v FROM names a JOIN names b ON a.Name = b.Name WHERE a.Name = ' n9'", 1),
+    ("SELECT COUNT(*) FROM names a JOIN names b ON a.v = b.v WHERE a.Name = ' n9'", None),
+    ("SELECT COUNT(*) FROM names WHERE Name = ' n9' AND v > (SELECT AVG(v) FROM names)", None),
+    ("SELECT COUNT(*) FROM names WHERE Name = ' n9' AND v > (SELECT MIN(v) FROM names WHERE Name = ' n8')", 2),
+    ("SELECT a.v FROM names a LEFT JOIN (SELECT * FROM names WHERE Name = ' n9') b ON a.v = b.v", None),
+    ("SELECT Name, COUNT(*) FROM names GROUP BY Name HAVING Name = ' n9'", 1),
+    ("SELECT COUNT(*) FROM merged.names WHERE Name = ' n9'", None),
+]
+
+
+def test_the_plan_tells_what_an_index_is_asked(spark, indexed, monkeypatch):
+    asked: list[str] = []
+    candidates = Topic.candidates
+    monkeypatch.setattr(Topic, "candidates", lambda self, index, probe, live: (
+        asked.append(probe), candidates(self, index, probe, live))[1])
+    for text, values in TEXTS:
+        asked.clear()
+        got = sorted(map(tuple, indexed.query(text, index=True).collect()))
+        assert [p.count("SUBSTRING") or p.count(",") + 1 for p in asked] == ([] if values is None else [values]), text
+        assert got == sorted(map(tuple, indexed.query(text).collect())), text
+        assert not spark.catalog.tableExists("names")
+
+
+def test_long_lists_and_odd_constants(spark, indexed):
+    names = ", ".join(f"'N{i}'" for i in range(0, 50, 2))
+    for text in (f"SELECT v FROM names WHERE UPPER(TRIM(Name)) IN ({names})",
+                 "SELECT v FROM names WHERE UPPER(TRIM(Name)) = 'it\\'s \\\\ odd'"):
+        assert sorted(indexed.query(text, index=True).collect()) == sorted(indexed.query(text).collect())
+    assert spark.conf.get("spark.sql.optimizer.inSetConversionThreshold") == "10"
+
+
+def test_only_matching_blocks_are_read_and_commands_run_once(spark, indexed):
+    text = "SELECT v FROM names WHERE Name = ' n7'"
+    plan = indexed.query(text, "cold", index=True)._jdf.queryExecution().executedPlan().toString()
+    assert "kafka_offset" in plan and "kafka_offset" not in (
+        indexed.query(text, "cold")._jdf.queryExecution().executedPlan().toString())
+    assert indexed.query(text, "hot", index=True).count() == indexed.query(text, "hot").count() == 3
+    indexed.query("CREATE DATABASE names_once -- names", index=True)  # a second run would fail
+    spark.sql("DROP DATABASE names_once")
+
+
+def test_a_temporary_view_hides_the_table(spark, indexed):
+    spark.range(3).selectExpr("' n7' AS Name").createOrReplaceTempView("names")
+    try:
+        assert indexed.query("SELECT * FROM names WHERE Name = ' n7'", index=True).count() == 3
+        assert spark.table("names").count() == 3
+    finally:
+        spark.catalog.dropTempView("names")
+
+
 def test_stale_topics_are_dropped(catalog):
     del catalog.topics["clicks"]
     catalog.publish()

@@ -143,3 +143,13 @@ def test_effective_predicate_shows_all_ranges(spark, folder):
     idx = OffsetIndex.build(spark, folder, log.where(f"{OFFSET} % 4 < 2"), "Name", "SUBSTRING($field, 1, 3)", 2)
     shown = index.effective_predicate(idx, "Name", "  N", "SUBSTRING($field, 1, 3)")["effective"]
     assert shown.count(" AND kafka_offset <") > 1000
+
+
+def test_a_template_that_makes_null_of_the_value_reads_everything(spark, folder):
+    cold = Table(spark, folder + "/c")
+    archive.archive(cold, people(spark), 100)
+    topic = Topic("people", cold=cold, width=100)
+    idx = OffsetIndex.build(spark, folder + "/i", cold, "Name", "NULLIF(TRIM($field), 'Name 7')", 2)
+    for value in ("  Name 7", "  Name 8"):
+        assert offsets(topic.find("Name", value, indexes=[idx])) == offsets(topic.find("Name", value)) != []
+    assert {r["low"] for r in idx.explain(idx.probe("$field", "  Name 7")).collect()} == {0}
