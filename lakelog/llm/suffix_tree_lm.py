@@ -449,8 +449,9 @@ class Block:
         """Tokens and known tokens of each row, the tokens of the corpus, base score and score of each row."""
         c = np.zeros(len(self.keys))
         total = kinds = 0
-        name, own = self.names()
-        name, at = np.unique(name, return_inverse=True)
+        named, own = self.names()
+        name = np.sort(named)
+        name = name[_runs(name)[0]]
         value, (_, borders) = np.zeros(len(name)), split(name, self.deep)
         for b, raw, n, v in zip(*(told.column(x).to_pylist() for x in ("bucket", "counts", "tokens", "kinds")), strict=True):
             if b < 0:
@@ -462,7 +463,16 @@ class Block:
         rows = len(self.train)
         one = np.log10((c + 0.5) / (total + 0.5 * (kinds + 1)))
         sums = lambda x: np.bincount(self.row, weights=x[self.at], minlength=rows)
-        score = np.bincount(own, weights=value[at], minlength=rows)
+        score = np.zeros(rows)
+        for low in range(0, rows, 256):  # the eight lowest bits of a name are free for the row
+            a, b = np.searchsorted(own, (low, low + 256))
+            ordered = np.sort(named[a:b] | (own[a:b] - low).astype(np.uint64))
+            head, count = _runs(ordered)
+            pair = ordered[head]
+            new, times = _runs(pair >> np.uint64(8))
+            one_of = np.repeat(value[np.searchsorted(name, pair[new] & ~np.uint64(255))], times)
+            row = (pair & np.uint64(255)).astype(np.int64)
+            score[low : low + 256] = np.bincount(row, weights=one_of * count, minlength=min(256, rows - low))
         return np.bincount(self.row, minlength=rows), sums(c > 0).astype(np.int64), total, sums(one), score
 
 
@@ -487,14 +497,14 @@ def _answer(rows: pa.Table) -> pa.Table:
 def _probabilities(rows: pa.Table, tree: SuffixTree) -> pa.Table:
     """The log10 probabilities of all keys that blocks ask for, in single precision on their way back."""
     asked = [unpacked(x) for x in rows.column("keys").to_pylist()]
-    borders = np.cumsum([0, *map(len, asked)])
-    name, at = np.unique(np.concatenate(asked), return_inverse=True)
-    value = tree.log_prob(unmixed(name)).astype(np.float32)[at]
+    name = np.sort(np.concatenate(asked))
+    name = name[_runs(name)[0]]
+    value = tree.log_prob(unmixed(name)).astype(np.float32)
     return pa.table(
         {
             "block": rows.column("block"),
             "bucket": rows.column("bucket"),
-            "counts": pa.array([value[a:b].tobytes() for a, b in zip(borders[:-1], borders[1:], strict=True)], pa.binary()),
+            "counts": pa.array([value[np.searchsorted(name, own)].tobytes() for own in asked], pa.binary()),
             "tokens": pa.nulls(len(asked), pa.int64()),
             "kinds": pa.nulls(len(asked), pa.int64()),
         }
