@@ -33,6 +33,12 @@ _UNSTABLE = (
 )
 
 
+def require_stable(text: str, what: str) -> None:
+    """Refuse SQL text whose value can change while the row does not."""
+    if re.search(r"\b(" + "|".join(_UNSTABLE) + r")\b", text, re.IGNORECASE):
+        raise ValueError(f"{what} needs a deterministic expression: {text}")
+
+
 def granules(log: DataFrame, field: str, template: str = FIELD, width: int = 1000) -> DataFrame:
     """Distinct (value, partition, block); nulls never match an equality and stay out."""
     value = F.expr(apply_template(template, f"`{field}`"))
@@ -57,8 +63,7 @@ class OffsetIndex:
         later are found and taken in whatever their offsets. Of a frame it knows the
         offsets only: rows that come late below them are not seen. Entries are sorted by value, so that a probe reads a few row groups.
         """
-        if re.search(r"\b(" + "|".join(_UNSTABLE) + r")\b", template, re.IGNORECASE):
-            raise ValueError(f"an index needs a deterministic template: {template}")
+        require_stable(template, "an index")
         if FIELD not in template:
             raise ValueError(f"the template has to use {FIELD}: {template}")
         index = OffsetIndex(spark, path)

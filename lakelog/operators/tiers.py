@@ -219,6 +219,44 @@ class Topic:
             sides.append(self._fresh())
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sides)
 
+    def narrowed(self, seen: set[str], narrow: Callable[[DataFrame, Snapshot], DataFrame]) -> DataFrame:
+        """Merged rows, of which those that commits in ``seen`` of a stored side hold are narrowed before tiers meet."""
+
+        def split(rows: Callable[[list[Leaf]], DataFrame], snap: Snapshot, leaves: list[Leaf]) -> DataFrame:
+            known = [leaf for leaf in leaves if leaf.commit in seen]
+            rest = [leaf for leaf in leaves if leaf.commit not in seen]
+            if not known:
+                return rows(rest)
+            sides = narrow(rows(known), snap)
+            return sides.unionByName(rows(rest)) if rest else sides
+
+        def cold_rows(leaves: list[Leaf]) -> DataFrame:
+            paths = {leaf.path for leaf in leaves}
+            return self._bucketed(self.cold.read(archived, lambda leaf: leaf.path in paths))
+
+        def hot_rows(leaves: list[Leaf]) -> DataFrame:
+            paths = {leaf.path for leaf in leaves}
+            if self.cold is None:
+                return self._bucketed(self.hot.read(live, lambda leaf: leaf.path in paths))
+            return self._bucketed(self._rest(coverage, live, leaves))
+
+        cold = fresh = archived = None
+        if isinstance(self.cold, Table):
+            archived = self.cold.snapshot()
+            cold = split(cold_rows, archived, archived.leaves)
+        elif self.cold is not None:
+            cold = self._bucketed(self.cold_scan())
+        if isinstance(self.hot, Table) and (archived or self.cold is None):
+            live = self.hot.snapshot()
+            leaves = live.leaves
+            if archived:
+                coverage = Coverage.of(self.cold, archived)
+                leaves = [leaf for leaf in leaves if not coverage.covers(leaf)]
+            fresh = split(hot_rows, live, leaves)
+        elif self.hot is not None:
+            fresh = self._fresh() if self.cold is not None else self.hot_scan()
+        return fresh if cold is None else cold if fresh is None else _union(cold, fresh)
+
     def tier(self, name: str) -> DataFrame:
         return {
             "hot": self.hot_scan,
