@@ -21,8 +21,10 @@ from lakelog.operators.replay import VirtualTopic
 from lakelog.operators.tiers import Topic
 from lakelog.sources.store import Snapshot, Table
 
-MOST_RANGES = 256  # ranges of a pointer: beyond that the nearest ones are joined, which reads more and loses nothing
-FINE_MEMBERS = 32_768  # up to so many members their single offsets make the ranges, beyond that their slots
+# Ranges of a pointer: beyond that the nearest ones are joined, which reads more and loses nothing. A condition of twice
+# as many is too large a method for the JVM to compile, and each row pays for it.
+MOST_RANGES = 32
+LEAST_GAP = 20_000  # offsets between two ranges: about a page of a Parquet file, less lets a scan pass over nothing
 
 
 class Membership:
@@ -104,24 +106,17 @@ class Membership:
 
 
 def _ranges(sets: DataFrame, most: int) -> list[list[int]] | None:
-    """At most ``most`` ranges (partition, low, high) that hold all offsets of the bitmaps; None if there are more partitions.
+    """At most ``most`` ranges (partition, low, high) in which all offsets of the sets are; None if there are more partitions.
 
-    The widest gaps between members part the ranges. They are found by a top-k over all partitions.
+    The widest gaps between members of neighbouring slots part the ranges. They are found by a top-k over all partitions.
     """
-    slots = sets.groupBy(PARTITION, bitmaps.SLOT).agg(
-        F.bitmap_or_agg(bitmaps.BITMAP).alias(bitmaps.BITMAP), F.min("low").alias("low"), F.max("high").alias("high")
-    )
-    bounds = slots.groupBy(PARTITION).agg(
-        F.min("low").alias("low"), F.max("high").alias("high"), F.sum(F.bitmap_count(bitmaps.BITMAP)).alias("n")
-    ).limit(most + 1).collect()
+    slots = sets.groupBy(PARTITION, bitmaps.SLOT).agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    bounds = slots.groupBy(PARTITION).agg(F.min("low").alias("low"), F.max("high").alias("high")).limit(most + 1).collect()
     if len(bounds) > most:
         return None
-    if sum(r["n"] for r in bounds) <= FINE_MEMBERS:
-        gaps = bitmaps.gaps(sets)
-    else:
-        before = F.lag("high").over(Window.partitionBy(PARTITION).orderBy("low"))
-        ahead = slots.select(PARTITION, (before + 1).alias("gap_start"), (F.col("low") - 1).alias("gap_end"))
-        gaps = ahead.where("gap_start <= gap_end")
+    before = F.lag("high").over(Window.partitionBy(PARTITION).orderBy("low"))
+    gaps = slots.select(PARTITION, (before + 1).alias("gap_start"), (F.col("low") - 1).alias("gap_end"))
+    gaps = gaps.where(F.col("gap_end") - F.col("gap_start") >= LEAST_GAP)
     widest = gaps.orderBy(F.desc(F.col("gap_end") - F.col("gap_start")), PARTITION, "gap_start").limit(most - len(bounds))
     parted: dict[int, list[tuple[int, int]]] = {}
     for r in widest.collect():

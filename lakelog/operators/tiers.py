@@ -29,6 +29,14 @@ def _scan(source: Source) -> DataFrame:
     return source() if callable(source) else source
 
 
+def _folders(table: Table, snap: Snapshot, leaves: list[Leaf]) -> DataFrame:
+    """The rows of some folders; all of them are the table as it is, whose files are listed already."""
+    if len(leaves) == len(snap.leaves):
+        return table.read(snap)
+    paths = {leaf.path for leaf in leaves}
+    return table.read(snap, lambda leaf: leaf.path in paths)
+
+
 def archived_upto(cold: Source) -> Frontier:
     """The archive boundary, from the table's pointer if it has one."""
     if isinstance(cold, Table):
@@ -121,8 +129,7 @@ class Topic:
 
     def _rest(self, coverage: Coverage, snap: Snapshot, leaves: list[Leaf]) -> DataFrame:
         """Unarchived rows of some folders of the live log."""
-        paths = {leaf.path for leaf in leaves}
-        return coverage.unarchived(self.hot.read(snap, lambda leaf: leaf.path in paths), leaves)
+        return coverage.unarchived(_folders(self.hot, snap, leaves), leaves)
 
     def _logs(self) -> list[tuple[Table, Snapshot]] | None:
         """Both sides with their snapshots; None if one of them is no stored log with offset folders."""
@@ -231,13 +238,11 @@ class Topic:
             return sides.unionByName(rows(rest)) if rest else sides
 
         def cold_rows(leaves: list[Leaf]) -> DataFrame:
-            paths = {leaf.path for leaf in leaves}
-            return self._bucketed(self.cold.read(archived, lambda leaf: leaf.path in paths))
+            return self._bucketed(_folders(self.cold, archived, leaves))
 
         def hot_rows(leaves: list[Leaf]) -> DataFrame:
-            paths = {leaf.path for leaf in leaves}
             if self.cold is None:
-                return self._bucketed(self.hot.read(live, lambda leaf: leaf.path in paths))
+                return self._bucketed(_folders(self.hot, live, leaves))
             return self._bucketed(self._rest(coverage, live, leaves))
 
         cold = fresh = archived = None

@@ -370,6 +370,8 @@ _BODIES: dict[str, str] = {
         FROM (SELECT *, ROW_NUMBER() OVER (ORDER BY kafka_offset) AS r
               FROM L WHERE kafka_partition = 0) t WHERE r <= 300""",
     "virtual_topic": f"SELECT {_CU} FROM C WHERE c_mktsegment = 'BUILDING'",
+    "virtual_topic_kept": f"SELECT {_EV} FROM L WHERE event_type = 'error' AND user_id % 10 = 3",
+    "virtual_topic_late": f"SELECT {_EV} FROM L WHERE event_type = 'error'",
     "reordered_replay": f"SELECT replay_offset, {_EV} FROM ({_ERRORS}) t",
     "reordered_resume": f"""
         SELECT ROW_NUMBER() OVER (ORDER BY late, value DESC, kafka_partition, kafka_offset) - 1

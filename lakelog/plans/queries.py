@@ -14,6 +14,7 @@ from lakelog.functions.coords import BUCKET, OFFSET, PARTITION, TIMESTAMP, block
 from lakelog.operators import archive, cdc, replay
 from lakelog.operators.frontier import Frontier
 from lakelog.operators.index import OffsetIndex, granules, lookup
+from lakelog.operators.membership import Membership
 from lakelog.operators.tiers import Topic, drop_consecutive_duplicates, merge_tiers
 from lakelog.plans import fixtures as fx
 from lakelog.plans import reports
@@ -823,6 +824,25 @@ def virtual_topic(spark, sf_dir):
     return topic.read().select(*CUSTOMER_COLUMNS)
 
 
+@query
+def virtual_topic_kept(spark, sf_dir):
+    """A virtual topic over stored tiers whose membership is kept: the archive at first, the live log by a refresh."""
+    topic = fx.stored_events(spark, sf_dir)
+    kept = Membership.build(spark, new_folder(spark, "members"), Topic("events", cold=topic.cold, width=topic.width),
+                            "event_type = 'error' AND user_id % 10 = 3")
+    kept.refresh(topic)
+    return kept.virtual("errors", topic).read().select(*EVENT_COLUMNS)
+
+
+@query
+def virtual_topic_late(spark, sf_dir):
+    """The same where the archive lacks a stretch; live rows, of which a part fills it, are not taken in yet."""
+    topic = fx.late_events(spark, sf_dir)
+    kept = Membership.build(spark, new_folder(spark, "members"), Topic("events", cold=topic.cold, width=topic.width),
+                            "event_type = 'error'")
+    return kept.read(topic).select(*EVENT_COLUMNS)
+
+
 @query
 def reordered_replay(spark, sf_dir):
     rule = replay.Rule("audit", "events", "event_type = 'error'", "ts ASC")

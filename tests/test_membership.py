@@ -43,7 +43,7 @@ def test_members_are_the_filter(spark, folder, topic, kind):
     assert kept.refresh(topic) == 0
 
 
-def test_ranges_are_single_offsets_or_join_over_the_smallest_gaps(spark, folder, topic, monkeypatch):
+def test_ranges_part_at_wide_gaps_and_join_over_the_others(spark, folder, topic, monkeypatch):
     monkeypatch.setattr(membership, "MOST_RANGES", 4)
     kept = Membership.build(spark, folder, topic, "kind = 'rare'")
     ranges = kept.table.snapshot().props["ranges"]
@@ -57,15 +57,6 @@ def test_ranges_are_single_offsets_or_join_over_the_smallest_gaps(spark, folder,
     assert offsets(wide.read(topic)) == want(spark, 400_000, "kind = 'rare'")
 
 
-def test_slots_bound_the_ranges_of_many_members(spark, folder, topic, monkeypatch):
-    monkeypatch.setattr(membership, "FINE_MEMBERS", 10)
-    kept = Membership.build(spark, folder, topic, "kind = 'rare'")
-    ranges = kept.table.snapshot().props["ranges"]
-    assert 4 <= len(ranges) <= 20
-    assert not any(low <= 200_000 <= high for _, low, high in ranges)
-    assert offsets(kept.read(topic)) == want(spark, 400_000, "kind = 'rare'")
-
-
 def test_only_row_groups_and_folders_of_members_are_read(spark, folder, topic):
     kept = Membership.build(spark, folder, topic, "kind = 'rare' AND kafka_offset BETWEEN 20000 AND 49999")
     found = kept.read(topic)
