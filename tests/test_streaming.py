@@ -155,3 +155,18 @@ def test_state_starts_from_the_archive(spark, folder):
         assert sorted(told) == sorted(sum(want[: n + 1], [])) and len(told) > seen
         seen = len(told)
     assert statuses(cdc.state(table, pending)) == {1: "SHIPPED", 7: "AGAIN", 8: "PENDING"}
+
+
+def test_seeded_state_needs_no_setting_of_the_session(spark, folder):
+    """A session with Spark's default state store runs the job too, and keeps its setting."""
+    setting, plain = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    own = spark.conf.get(setting)
+    spark.conf.set(setting, plain)
+    try:
+        table, pending = _tables(spark, folder)
+        stream = feed(spark, folder + "/src", [change_log(spark, EVENTS[i]) for i in (0, 1)])
+        seeded_stream(stream(), "OrderID", table, pending, folder + "/ck", share=10)
+        assert spark.conf.get(setting) == plain
+    finally:
+        spark.conf.set(setting, own)
+    assert statuses(cdc.state(table, pending)) == {1: "SHIPPED", 3: "NEW", 8: "PENDING"}
