@@ -19,6 +19,7 @@ from lakelog.operators.tiers import Topic, drop_consecutive_duplicates, merge_ti
 from lakelog.plans import fixtures as fx
 from lakelog.plans import reports
 from lakelog.plans.catalog import TierCatalog
+from lakelog.sources.files import Files
 from lakelog.sources.log import decode_payload, stream_log
 from lakelog.sources.workdir import new_folder
 from lakelog.streaming import jobs
@@ -914,15 +915,19 @@ def batch_statistics(spark, sf_dir):
 # ---- streaming ---------------------------------------------------------------
 
 
-def _feed(spark: SparkSession, rows: DataFrame, files: int = 4) -> DataFrame:
-    """``rows`` as a stream of several files, written one after the other by offset."""
+def _feed(spark: SparkSession, rows: DataFrame, batches: int = 4) -> DataFrame:
+    """``rows`` as a stream of so many batches, written one after the other by offset.
+
+    A batch takes as many files as a part has, so larger logs give larger batches, not more of them.
+    """
     folder = new_folder(spark, "feed")
     low, high = rows.agg(F.min(OFFSET), F.max(OFFSET)).first()
-    cuts = [low + (high + 1 - low) * i // files for i in range(files + 1)]
+    cuts = [low + (high + 1 - low) * i // batches for i in range(batches + 1)]
     for start, end in zip(cuts, cuts[1:], strict=False):
         part = rows.where((F.col(OFFSET) >= start) & (F.col(OFFSET) < end))
         part.write.mode("append").parquet(folder)
-    return stream_log(spark, folder, rows.schema, files_per_trigger=1)
+    files = sum(name.endswith(".parquet") for name in Files(spark).names(folder))
+    return stream_log(spark, folder, rows.schema, files_per_trigger=-(-files // batches))
 
 
 def _checkpoint(spark: SparkSession) -> str:

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 from lakelog.functions.coords import BUCKET, OFFSET
 from lakelog.operators import archive, cdc
 from lakelog.plans import fixtures as fx
+from lakelog.plans.queries import _feed
 from lakelog.sources.log import decode_payload, read_log, stream_log
 from lakelog.sources.store import Table
 from lakelog.streaming import jobs
@@ -170,3 +171,13 @@ def test_seeded_state_needs_no_setting_of_the_session(spark, folder):
     finally:
         spark.conf.set(setting, own)
     assert statuses(cdc.state(table, pending)) == {1: "SHIPPED", 3: "NEW", 8: "PENDING"}
+
+
+def test_larger_logs_give_larger_batches(spark, folder):
+    """A feed of many files comes in as many batches as one of few."""
+    for n, tasks in enumerate((1, 8)):
+        rows, hot = log(spark, 0, 4000).repartition(tasks), Table(spark, f"{folder}/{n}")
+        hot.create(rows.where(F.lit(False)))
+        jobs.ingest(_feed(spark, rows), hot, f"{folder}/ck{n}")
+        assert hot.snapshot().applied["ingest"] == 3  # batches 0 to 3
+        assert values(hot.read(), OFFSET) == list(range(4000))
