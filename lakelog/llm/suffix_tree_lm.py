@@ -34,6 +34,7 @@ LEAST = 10  # least count of a context
 END = 0x0A  # never inside a word
 END_WORD = np.uint64(0x5851F42D4C957F2D)  # the name of the end among word hashes
 MOST_PAIRS = 1 << 20  # distinct (context, byte) pairs that a counting task holds
+COUNTED_AT_ONCE = 2 << 20  # bytes of text; each takes some 100 bytes of memory while it is counted
 RESULT = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
@@ -286,7 +287,7 @@ def _count(docs: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_key, held_n = np.empty(0, np.uint64), np.empty(0, np.int64)
         for batch in batches:
-            for piece in pieces(batch, "text", 4 << 20):
+            for piece in pieces(batch, "text", COUNTED_AT_ONCE):
                 data, borders = text_bytes(piece.column("text"))
                 key, _ = keys(*symbols(words(LOWER[data], borders, SPACE)))
                 ordered = np.sort(mixed(key))

@@ -63,3 +63,28 @@ def test_rows_without_id_are_not_held_out(spark, tmp_path):
     rows = [(1, "some english words here", "en"), (None, "some english words too", "en"), (2, "more of these", "en")]
     spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
     assert all(x.held_out in (True, False) for x in op1_language_id(spark, str(tmp_path)).collect())
+
+
+def test_counting_contexts_holds_little_memory():
+    """Two such tasks share the memory of an executor with its JVM."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from lakelog.llm import suffix_tree_lm
+
+    class Docs:
+        def mapInArrow(self, run, schema):  # noqa: N802
+            return run
+
+    letters = np.random.default_rng(5).integers(97, 123, 12_000_000, dtype=np.uint8)
+    letters[::6] = 0x20
+    text = letters.tobytes().decode()
+    batch = pa.record_batch({"text": [text[k : k + 1000] for k in range(0, len(text), 1000)]})
+    run = suffix_tree_lm._count(Docs(), 4)
+    tracemalloc.start()
+    n = sum(np.frombuffer(c, np.int64).sum() for part in run(iter([batch])) for c in part.column("counts").to_pylist())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n > 12_000_000 and peak < 300 << 20
